@@ -1,0 +1 @@
+"""Every job in scope is a bounded batch over ``dt`` partitions, so no streaming operator is defined here."""
