@@ -111,7 +111,8 @@ def csv_items(value: Column) -> Column:
 
 
 def counts_from_json(value: Column) -> Column:
-    return F.from_json(value, "map<string,bigint>")
+    """JSON object of row counts as a map; an entry that is no number stays, with a NULL count."""
+    return F.transform_values(F.from_json(value, "map<string,string>"), lambda _, n: n.try_cast("bigint"))
 
 
 def counts_to_json(value: Column) -> Column:

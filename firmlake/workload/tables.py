@@ -189,7 +189,7 @@ MANIFEST_COLUMNS = [
     "CASE WHEN event_type = 'error' THEN '' ELSE 'Order Lines, items#A,, Stock (EU) ' END AS table_names",
     "CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN '' "
     "WHEN event_id % 3 = 0 THEN concat('{{\"lines\":', {k}, ',\"items\":', event_id % 50, '}}') "
-    "ELSE concat('{{\"lines\":', {k}, ',\"stock\":', event_id % 7, '}}') END AS table_counts",
+    "ELSE concat('{{\"lines\":', {k}, ',\"stock\":', CASE WHEN event_id % 7 = 3 THEN '\"err\"' ELSE concat(event_id % 7) END, '}}') END AS table_counts",
     "CASE WHEN event_type = 'error' THEN concat('failed: no ', event_id) ELSE 'success' END AS status",
     "event_id",
 ]
