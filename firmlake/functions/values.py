@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# JSON text of the values that count as empty
-EMPTY_SCALARS = ['""', "0", "0.0", "-0.0", "false"]
+# text of the values that count as empty, unless the value is a quoted string
+EMPTY_SCALARS = ["", "0", "0.0", "-0.0", "false"]
 EMPTY_LISTS = ["[]", "{}"]
 
 MILLISECONDS_FROM = 10_000_000_000
@@ -22,18 +22,23 @@ def text(value: Column) -> Column:
     return value.cast("string")
 
 
+def is_json_string(value: Column) -> Column:
+    return F.to_json(value).startswith('"')
+
+
+def _is_one_of(value: Column, texts: list[str]) -> Column:
+    # the text is at hand anyway; only the few candidates are looked at once more for their quotes
+    return text(value).isin(texts) & ((text(value) == "") | ~is_json_string(value))
+
+
 def is_empty(value: Column) -> Column:
     """True for ``''``, 0 and false (NULL for a missing or null value)."""
-    return F.to_json(value).isin(EMPTY_SCALARS)
+    return _is_one_of(value, EMPTY_SCALARS)
 
 
 def is_falsy(value: Column) -> Column:
     """True for ``''``, 0, false, ``[]``, ``{}``, a JSON null and a missing value."""
-    return F.coalesce(F.to_json(value).isin(EMPTY_SCALARS + EMPTY_LISTS + ["null"]), F.lit(True))
-
-
-def is_json_string(value: Column) -> Column:
-    return F.to_json(value).startswith('"')
+    return F.coalesce(_is_one_of(value, EMPTY_SCALARS + EMPTY_LISTS), F.lit(True))
 
 
 def null_if_empty(value: Column) -> Column:
@@ -41,7 +46,7 @@ def null_if_empty(value: Column) -> Column:
 
 
 def null_if_falsy(value: Column) -> Column:
-    return F.when(~is_falsy(value), text(value))
+    return F.when(~_is_one_of(value, EMPTY_SCALARS + EMPTY_LISTS), text(value))
 
 
 def blank_to_null(value: Column) -> Column:

@@ -11,19 +11,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmlake.operators.latest import first_per
 from firmlake.registry import MAX_ATTEMPTS, MAX_PAGES, PAGE_SIZE
 
 HTTP_ERROR, OTHER_ERROR = -1, -2
 
 
-def merge_pages(pages: DataFrame, call_keys: Sequence[str], page_size: int = PAGE_SIZE, max_pages: int = MAX_PAGES) -> DataFrame:
-    """One response per call from its pages (``page_num, error_code, total, items``), one row per page.
+def merge_pages(
+    pages: DataFrame,
+    call_keys: Sequence[str],
+    page_size: int = PAGE_SIZE,
+    max_pages: int = MAX_PAGES,
+    newest_first: Sequence[Column] | None = None,
+) -> DataFrame:
+    """One response per call from its pages (``page_num, error_code, total, items``).
 
     Page 1 decides the status and the total. Pages follow in order up to the page count of the total and stop before
-    the first page that failed or is missing.
+    the first page that failed or is missing. A call holds a page once; where a log may repeat pages, ``newest_first``
+    is the order that picks one of them, so that no call gathers more than ``max_pages``.
     """
     first = F.col("page_num") == 1
-    called = pages.where(F.col("page_num").between(1, max_pages)).groupBy(*call_keys)
+    wanted_pages = pages.where(F.col("page_num").between(1, max_pages))
+    if newest_first is not None:
+        wanted_pages = first_per(wanted_pages, [*call_keys, "page_num"], newest_first)
+    called = wanted_pages.groupBy(*call_keys)
     gathered = called.agg(
         F.max(F.when(first, F.col("error_code"))).alias("status_code"),
         F.max(F.when(first, F.col("total"))).alias("total"),
@@ -60,7 +71,7 @@ def resolve_attempts(
     The first success ends a call, so does a normal code where the interface stops at those; at most three attempts
     count, and only one where every query is billed. Without an end the last attempt gives the outcome.
     """
-    allowed = F.when(F.coalesce(retries, F.lit(True)), MAX_ATTEMPTS).otherwise(1) if retries is not None else F.lit(MAX_ATTEMPTS)
+    allowed = F.lit(MAX_ATTEMPTS) if retries is None else F.when(retries, MAX_ATTEMPTS).otherwise(1)
     ends = F.col("code") == 0
     if normal_codes is not None and stops_at_normal_code is not None:
         ends = ends | (stops_at_normal_code & F.coalesce(F.array_contains(normal_codes, F.col("code")), F.lit(False)))

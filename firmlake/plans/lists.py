@@ -34,7 +34,8 @@ def branch_list(profiles: DataFrame, customers: DataFrame, dt: str, batch_dt: st
                 mark: str = BRANCH_MARK) -> DataFrame:
     """Customers whose newest profile of two partitions is that of a branch.
 
-    The newest profile is picked before its type is tested. Every listing of a customer gives a row.
+    The newest profile is picked before its type is tested. Every listing of a customer gives a row; its place in the
+    customer table orders equal listings, so that many of them need not end in one range.
     """
     known = named(profiles, "company_name").where(F.col("dt").isin(dt, batch_dt))
     newest = first_per(known, ["company_name"], [F.col("update_time").desc_nulls_last(), F.col(tie).desc()])
@@ -44,8 +45,10 @@ def branch_list(profiles: DataFrame, customers: DataFrame, dt: str, batch_dt: st
         F.date_format("update_time", "yyyy-MM-dd HH:mm:ss").alias("update_time"),
         F.col("dt").alias("source_dt"),
     )
-    rows = named(customers).select("name", "is_prepaid").join(branches, "name").withColumnRenamed("name", "company_name")
-    return dense_ids(rows, [F.col("company_name"), F.col("is_prepaid")]).withColumn("dt", F.lit(dt))
+    listings = named(customers).select("name", "is_prepaid", F.monotonically_increasing_id().alias("_listing"))
+    rows = listings.join(branches, "name").withColumnRenamed("name", "company_name")
+    numbered = dense_ids(rows, [F.col("company_name"), F.col("is_prepaid"), F.col("_listing")])
+    return numbered.drop("_listing").withColumn("dt", F.lit(dt))
 
 
 def active_customers(accounts: DataFrame, groups: DataFrame, on_dt: str) -> DataFrame:

@@ -53,8 +53,9 @@ def newest_file(listing: DataFrame) -> DataFrame:
 
 def keep_newest(listing: DataFrame, n: int = 3) -> DataFrame:
     """Marks all but the ``n`` last changed files for removal. The kept ones are found as a top-n, not by a global sort."""
-    kept = listing.orderBy(F.col("modified_ms").desc(), F.col("filename").desc()).limit(n).select("filename", F.lit(True).alias("keep"))
-    return listing.join(F.broadcast(kept), "filename", "left").withColumn("keep", F.coalesce("keep", F.lit(False)))
+    last = listing.orderBy(F.col("modified_ms").desc(), F.col("filename").desc()).limit(n)
+    kept = last.select("filename", F.lit(True).alias("keep"))
+    return listing.join(kept, "filename", "left").withColumn("keep", F.coalesce("keep", F.lit(False)))
 
 
 def expired(keys: DataFrame, date: Column, days: int, column: str = "dt") -> DataFrame:
@@ -121,7 +122,7 @@ def count_changes(current: DataFrame, previous: DataFrame, on: list[str]) -> Dat
         .when(F.col("_now").isNull(), REMOVED)
         .when(delta.isNull(), NOT_A_COUNT)
         .when(delta == 0, UNCHANGED)
-        .otherwise(F.concat(F.when(delta > 0, "+").otherwise(""), F.format_number(delta, "#,##0")))
+        .otherwise(F.concat(F.when(delta > 0, "+").otherwise(""), F.format_number(delta, 0)))
     )
     return joined.select(*on, "table_name", "previous_rows", "current_rows", change.alias("change"))
 

@@ -16,9 +16,9 @@ from firmlake.session import cut_lineage
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Table with ``dt`` as text; without a schema, type inference of partition columns must be off."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    """Table with ``dt`` as text, also where a session infers a number from the folder names."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    return df.withColumn("dt", F.col("dt").cast("string")) if "dt" in df.columns else df
 
 
 def scan(df: DataFrame, *dts: str) -> DataFrame:
@@ -106,7 +106,7 @@ def replace_in_partition(spark: SparkSession, path: str, dt: str, new: DataFrame
     kept = replace_keys(scan(table, dt), new.withColumn("dt", F.lit(dt)).select(*table.columns), keys, [on])
     settled = cut_lineage(kept)
     if settled.isEmpty():
-        settled.drop("dt").write.mode("overwrite").parquet(f"{path}/dt={dt}")
+        settled.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/dt={dt}")
     else:
         overwrite_partitions(settled, path)
 

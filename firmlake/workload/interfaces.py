@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from firmlake.operators.latest import latest_success
 from firmlake.plans import parsing as P
 from firmlake.schemas import PARSED, parsed_schema
+from firmlake.session import scratch_path
 from firmlake.workload.tables import SPARK_NAME, SQL_NAME, filled, table
 
 CASES = 6
@@ -68,6 +69,13 @@ def call_records(spark: SparkSession, sf_dir: str, interface_key: str, payload:
     return table(spark, sf_dir, "orders").selectExpr(*columns, f"{payload} AS output_result")
 
 
+def stored_log(spark: SparkSession, sf_dir: str, interface_key: str, payload: str, files: int) -> DataFrame:
+    """The call records as a table on disk, the way a parse job finds them."""
+    path = scratch_path(spark, f"log-{interface_key}")
+    call_records(spark, sf_dir, interface_key, payload).repartition(files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # newest successful orders of a customer and year, ties kept
 SQL_LATEST = f"""logged AS (SELECT {', '.join(filled(RECORD, name=SQL_NAME, key=''))}, o_orderkey AS n,
     epoch(o_orderdate)::BIGINT AS t FROM orders),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
@@ -14,10 +17,14 @@ from tests.harness import compare  # noqa: E402
 
 if __name__ == "__main__":
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session(
-        master="local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"},
-    )
+    conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}
+    if os.environ.get("PLAIN_SESSION"):  # Spark's own defaults, as in a session that was set up elsewhere
+        builder = SparkSession.builder.master("local[8]")
+        for key, value in conf.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session(master="local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     oracle, bad = entry.oracle_sql(), 0
     for name, query in entry.queries().items():
