@@ -386,42 +386,42 @@ def _plain(value: Column) -> Column:
     """Lists of strings as a comma list, other lists and objects as JSON text, scalars as they are."""
     items = v.variant_list(value)
     listed = F.when(F.forall(items, v.is_json_string), v.list_to_csv(items)).otherwise(v.text(value))
-    return F.when(v.is_list(value), listed).otherwise(v.text(value))
+    return F.when(v.text(value).startswith("[") & v.is_list(value), listed).otherwise(v.text(value))
 
 
-def _named(members: Column, rename: Callable[[Column], Column]) -> Column:
-    """Members of an object as (target column, text, explicitly renamed) triples."""
-    return F.transform(
-        F.map_entries(members),
-        lambda e: F.struct(
-            rename(e["key"]).alias("key"),
-            _plain(e["value"]).alias("value"),
-            e["key"].isin(list(PROFILE_RENAMES)).alias("renamed"),
-        ),
-    )
+def _last_wins(columns: str, texts: str, keys: str) -> Column:
+    """Target columns and their texts as a map.
+
+    Of two members for one column the later one is kept, an explicitly renamed one only without another.
+    """
+    members = F.arrays_zip(columns, texts, keys)
+    renamed = F.filter(members, lambda m: m[keys].isin(list(PROFILE_RENAMES)))
+    ranked = F.concat(renamed, F.filter(members, lambda m: ~m[keys].isin(list(PROFILE_RENAMES))))
+    backwards = F.reverse(F.transform(ranked, lambda m: m[columns]))
 
+    def newest(order: Column) -> Column:
+        kept = F.filter(ranked, lambda m, i: F.array_position(order, m[columns]) == F.size(columns) - i)
+        return F.map_from_entries(F.transform(kept, lambda m: F.struct(m[columns], m[texts])))
 
-def _last_wins(entries: str) -> Column:
-    """Triples as a map. Of two equal keys the later one is kept, an explicitly renamed one only without another."""
-    keys = F.transform(entries, lambda e: e["key"])
-    ranked = F.concat(F.filter(entries, lambda e: e["renamed"]), F.filter(entries, lambda e: ~e["renamed"]))
-    ranked_keys = F.reverse(F.transform(ranked, lambda e: e["key"]))
-    newest = F.filter(ranked, lambda e, i: F.array_position(ranked_keys, e["key"]) == F.size(entries) - i)
-    chosen = F.when(F.size(F.array_distinct(keys)) < F.size(keys), newest).otherwise(F.col(entries))
-    return F.map_from_entries(F.transform(chosen, lambda e: F.struct(e["key"], e["value"])))
+    # the order is an element of an array so that it is worked out once and not for every member
+    deduplicated = F.get(F.transform(F.array(backwards), newest), F.lit(0))
+    repeated = F.size(F.array_distinct(columns)) < F.size(columns)
+    return F.when(repeated, deduplicated).otherwise(F.map_from_arrays(columns, texts))
 
 
 def _profile_rows(df: DataFrame) -> DataFrame:
     result = F.col("doc.result")
     industry = F.try_variant_get(result["industryAll"], "$", "map<string,variant>")
+    described = F.coalesce(industry, F.expr("CAST(map() AS map<string,variant>)"))
     members = F.map_filter(result, lambda k, _: ~k.isin(PROFILE_OWN_RULE))
-    entries = F.concat(
-        _named(
-            F.coalesce(industry, F.expr("CAST(map() AS map<string,variant>)")),
-            lambda k: F.concat(F.lit("industry_all_"), names.camel_to_snake(k)),
+    entries = {
+        "columns": F.concat(
+            F.transform(F.map_keys(described), lambda k: F.concat(F.lit("industry_all_"), names.camel_to_snake(k))),
+            F.transform(F.map_keys(members), lambda k: names.target_name(k, PROFILE_RENAMES)),
         ),
-        _named(members, lambda k: names.target_name(k, PROFILE_RENAMES)),
-    )
+        "texts": F.concat(F.transform(F.map_values(described), _plain), F.transform(F.map_values(members), _plain)),
+        "keys": F.concat(F.transform(F.map_keys(described), lambda k: F.lit("")), F.map_keys(members)),
+    }
     staff = v.member(result["staffList"], "result")
     own_rule = {
         "staff_list_total": v.text(v.member(result["staffList"], "total")),
@@ -432,9 +432,9 @@ def _profile_rows(df: DataFrame) -> DataFrame:
     }
     own = [value.alias(f"own_{column}") for column, value in own_rule.items()]
     targets = parsed_schema("819").fieldNames()[3:-1]  # all but the keys in front and dt
-    gathered = df.select(*_own_row(), entries.alias("entries"), *own)
+    gathered = df.select(*_own_row(), *[e.alias(name) for name, e in entries.items()], *own)
     # read into a struct by name: dozens of separate map lookups would make a method too long to be compiled
-    by_name = F.from_json(F.to_json(_last_wins("entries")), ", ".join(f"{c} STRING" for c in targets))
+    by_name = F.from_json(F.to_json(_last_wins(*entries)), ", ".join(f"{c} STRING" for c in targets))
     looked_up = gathered.withColumn("member", by_name)
 
     def column(name: str) -> Column:
