@@ -14,6 +14,8 @@ from firmlake.functions.values import NO, YES, failure_reason, page_count
 from firmlake.operators.decode import unknown
 from firmlake.operators.latest import first_per
 from firmlake.registry import HALF_YEAR_MONTHS, INTERFACES, MONTHLY_DAY
+from firmlake.schemas import company_column
+from firmlake.sources.files import export_csv
 from firmlake.sources.tables import created_between
 
 # fixed values: report texts
@@ -206,12 +208,18 @@ def normal_failures(report: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def succeeded_rows(parsed: DataFrame, records: DataFrame, company: str) -> DataFrame:
+def succeeded_rows(parsed: DataFrame, records: DataFrame) -> DataFrame:
     """Parsed rows of companies with a success among ``records`` in the same partition."""
+    company = company_column(parsed.columns)
     done = records.where("status_code = 0").select("interface_key", "dt", F.col("input_param").alias(company)).distinct()
     return parsed.join(done, ["interface_key", "dt", company], "left_semi")
 
 
+def export_succeeded(parsed: DataFrame, records: DataFrame, path: str) -> bool:
+    """CSV of the parsed rows that go back to a success among ``records``, none when there are no rows."""
+    return export_csv(succeeded_rows(parsed, records), path)
+
+
 def parse_report(parsed: DataFrame, records: DataFrame, customers: DataFrame, registry: DataFrame) -> DataFrame:
     """Successful calls and parsed rows per interface and partition, the rows split by customer class.
 
@@ -221,7 +229,7 @@ def parse_report(parsed: DataFrame, records: DataFrame, customers: DataFrame, re
     ok = records.where("status_code = 0")
     calls = ok.groupBy("interface_key", "dt").agg(F.count("*").alias("success_count"))
     per_company = parsed.groupBy("interface_key", "dt", "company_name").agg(F.count("*").alias("rows"))
-    done = succeeded_rows(per_company, records, "company_name")
+    done = succeeded_rows(per_company, records)
     split = done.join(customer_classes(customers).withColumnRenamed("name", "company_name"), "company_name", "left")
     listings = {c: F.coalesce(f"{c}_listings", F.lit(0)) for c in ("prepaid", "post_paid", "other")}
     unlisted = F.coalesce("other_listings", F.lit(1))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from firmlake.functions import calendar as cal
 from firmlake.functions.values import NO, YES
 from firmlake.registry import HALF_YEAR_MONTHS, MONTHLY_DAY
+from firmlake.schemas import company_column
 
 
 def named(df: DataFrame, column: str = "name") -> DataFrame:
@@ -129,9 +130,11 @@ def call_plan(
     return plan.select("interface_key", own_dt.alias("dt"), "name")
 
 
-def supplementary(customers: DataFrame, parsed: DataFrame, company: str, batch_dt: str,
-                  white_list: DataFrame | None = None) -> DataFrame:
+def supplementary(
+    customers: DataFrame, parsed: DataFrame, batch_dt: str, white_list: DataFrame | None = None
+) -> DataFrame:
     """Prepaid customers without a parsed row in the batch partition."""
+    company = company_column(parsed.columns)
     prepaid = named(customers).where(F.col("is_prepaid") == YES).select("name").distinct()
     present = parsed.where(F.col("dt") == batch_dt).select(F.col(company).alias("name")).distinct()
     return unlisted(prepaid.join(present, "name", "left_anti"), white_list)

@@ -1,4 +1,4 @@
-"""Column layout of the record log, the parsed tables and the list tables."""
+"""Column layout of the parsed tables and the load manifest."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import re
 
 from pyspark.sql import types as T
 
-CALL_RECORD = """
-    id BIGINT, interface_name STRING, call_datetime TIMESTAMP, input_param STRING, status_code INT,
-    output_result STRING, create_time TIMESTAMP, interface_key STRING, dt STRING"""
-
 MANIFEST = """
     filename STRING, md5 STRING, processed_at TIMESTAMP, table_names STRING, table_counts STRING, status STRING"""
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # generated methods above 8000 bytes are not JIT compiled; wide parsers split better without whole-stage codegen
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # checkpoints go once nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # dt is a yyyyMMdd string; never let a path read turn it into an INT
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

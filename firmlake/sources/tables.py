@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firmlake.schemas import company_column
 from firmlake.session import cut_lineage
 
 
@@ -120,8 +121,9 @@ def replace_records(existing: DataFrame, new: DataFrame) -> DataFrame:
     return replace_keys(existing, new, new.where(F.coalesce("input_param", F.lit("")) != ""), on)
 
 
-def restamp(parsed: DataFrame, keys: DataFrame, company: str, dt: str, target_dt: str) -> DataFrame:
+def restamp(parsed: DataFrame, keys: DataFrame, dt: str, target_dt: str) -> DataFrame:
     """Rows of some companies from one partition, stamped for another; their creation time is kept."""
+    company = company_column(parsed.columns)
     wanted = keys.select(F.col(keys.columns[0]).alias(company)).distinct()
     return scan(parsed, dt).join(wanted, company, "left_semi").withColumn("dt", F.lit(target_dt))
 

@@ -11,7 +11,6 @@ from firmlake.functions import calendar as cal
 from firmlake.plans import lists, scopes
 from firmlake.registry import INTERFACES
 from firmlake.workload.tables import (
-    KEYS,
     MONTHLY_KEYS,
     SQL_ACCOUNTS,
     SQL_CUSTOMERS,
@@ -41,6 +40,7 @@ SQL_DAILY = f"(day(run_date) = 5 OR {SQL_POST_PAID_OR_NEW})"
 SQL_MONTHLY = f"(day(run_date) = 5 OR {SQL_NEW})"
 SQL_HALF = f"CASE WHEN day(run_date) = 5 THEN month(run_date) IN (1, 7) OR {SQL_POST_PAID_OR_NEW} ELSE {SQL_NEW} END"
 PLAN_DATE = dt.date(2024, 1, 17)
+BATCH_DATE = dt.date(2024, 1, 5)
 
 
 def dated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,14 +88,27 @@ def call_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def call_plan_targeted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A monthly batch day in a half-year month, with the branch interface run on the new customers."""
+    listed = customers(spark, sf_dir)
+    return scopes.call_plan(
+        listed, branch_names(spark, sf_dir), white(spark, sf_dir), records(spark, sf_dir), INTERFACES, F.lit(BATCH_DATE),
+        new_customers=listed.where("is_new_customer = '是'").select(F.col("name").alias("company_name")),
+    )
+
+
+def open_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the log without any success."""
+    log = records(spark, sf_dir)
+    return scopes.without_success(log.select("interface_key", "dt", F.col("input_param").alias("name")).distinct(), log)
+
+
 def branch_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles(spark, sf_dir).where(F.col("company_org_type").contains("HIGH")).select("company_name")
 
 
 def supplementary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scopes.supplementary(
-        customers(spark, sf_dir), profiles(spark, sf_dir), "company_name", "20240102", white(spark, sf_dir)
-    )
+    return scopes.supplementary(customers(spark, sf_dir), profiles(spark, sf_dir), "20240102", white(spark, sf_dir))
 
 
 def white_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +173,8 @@ QUERIES = {
     "scope_one": scope_one,
     "scope_listed": scope_listed,
     "call_plan": call_plan,
+    "call_plan_targeted": call_plan_targeted,
+    "open_calls": open_calls,
     "supplementary": supplementary,
     "white_list": white_list,
     "branch_list": branch_list,
@@ -177,6 +192,20 @@ _active = """SELECT trim(a.accountName) AS company_name, CASE WHEN a.new_ord_pay
     AND coalesce(a.new_dispensercustomer, false) <> true"""
 _strict = "CASE WHEN day >= make_date(year(day), 7, 5) THEN year(day) || '0704' WHEN day >= make_date(year(day), 1, 5) THEN year(day) || '0104' ELSE (year(day) - 1) || '0704' END"
 
+def plan_sql(date: dt.date, daily_dt: str, monthly_dt: str, branches: str) -> str:
+    registry = ", ".join(f"('{r[0]}', '{r[3]}', '{r[10]}', {r[12]})" for r in INTERFACES)
+    return f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}, {SQL_RECORDS},
+registry AS (SELECT * FROM (VALUES {registry}) AS r(interface_key, frequency, source, half_year)),
+dated AS (SELECT *, DATE '{date}' AS run_date FROM customers),
+wanted AS (
+  SELECT interface_key, name FROM dated, registry WHERE source = 'customers' AND CASE WHEN half_year THEN {SQL_HALF}
+    WHEN frequency = 'daily' THEN {SQL_DAILY} ELSE {SQL_MONTHLY} END
+  UNION SELECT interface_key, company_name FROM (SELECT company_name FROM {branches}) b, registry WHERE source = 'branches'),
+placed AS (SELECT interface_key, name, CASE WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) THEN '{monthly_dt}' ELSE '{daily_dt}' END AS dt FROM wanted)
+SELECT interface_key, dt, name FROM placed p WHERE name NOT IN (SELECT company_name FROM white)
+  AND NOT EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.name)"""
+
+
 ORACLE = {
     "scope_daily": scope_sql(SQL_DAILY),
     "scope_monthly": scope_sql(SQL_MONTHLY),
@@ -187,16 +216,12 @@ SELECT name FROM (VALUES ('Customer#000000000'), ('Elsewhere Ltd')) AS t(name) W
     "scope_listed": f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}
 SELECT DISTINCT company_name AS name FROM profiles WHERE dt = (SELECT max(dt) FROM profiles)
   AND company_name NOT IN (SELECT company_name FROM white)""",
-    "call_plan": f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}, {SQL_RECORDS},
-registry AS (SELECT * FROM (VALUES {', '.join(f"('{r[0]}', '{r[3]}', '{r[10]}', {r[12]})" for r in INTERFACES)}) AS r(interface_key, frequency, source, half_year)),
-dated AS (SELECT *, DATE '{PLAN_DATE}' AS run_date FROM customers),
-wanted AS (
-  SELECT interface_key, name FROM dated, registry WHERE source = 'customers' AND CASE WHEN half_year THEN {SQL_HALF}
-    WHEN frequency = 'daily' THEN {SQL_DAILY} ELSE {SQL_MONTHLY} END
-  UNION SELECT interface_key, company_name FROM profiles, registry WHERE source = 'branches' AND company_org_type LIKE '%HIGH%'),
-placed AS (SELECT interface_key, name, CASE WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) THEN '20240104' ELSE '20240116' END AS dt FROM wanted)
-SELECT interface_key, dt, name FROM placed p WHERE name NOT IN (SELECT company_name FROM white)
-  AND NOT EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.name)""",
+    "call_plan": plan_sql(PLAN_DATE, "20240116", "20240104", "profiles WHERE company_org_type LIKE '%HIGH%'"),
+    "call_plan_targeted": plan_sql(
+        BATCH_DATE, "20240104", "20240104", "(SELECT name AS company_name FROM customers WHERE is_new_customer = '是')"
+    ),
+    "open_calls": f"""WITH {SQL_RECORDS}
+SELECT interface_key, dt, input_param AS name FROM records EXCEPT SELECT interface_key, dt, input_param FROM records WHERE status_code = 0""",
     "supplementary": f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}
 SELECT name FROM customers WHERE is_prepaid = '是' AND name NOT IN (SELECT company_name FROM white)
 EXCEPT SELECT company_name FROM profiles WHERE dt = '20240102'""",

@@ -137,7 +137,7 @@ def restamp_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = profiles(spark, sf_dir).select("api_record_id", "company_name", "data_create_time", "dt")
     tables.overwrite_partitions(old, path)
     keys = customers(spark, sf_dir).where("is_prepaid = '是'").select("name")
-    tables.append(tables.restamp(old, keys, "company_name", "20240103", "20240101"), path)
+    tables.append(tables.restamp(old, keys, "20240103", "20240101"), path)
     return text_time(tables.read_table(spark, path, old.schema), "data_create_time")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firmlake.plans import reports
 from firmlake.registry import response_codes
+from firmlake.session import scratch_path
 from firmlake.workload.records import SQL_CODES
 from firmlake.workload.tables import (
     KEYS,
@@ -88,11 +89,19 @@ def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def succeeded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = reports.succeeded_rows(parsed_lines(spark, sf_dir), records(spark, sf_dir), "company_name")
+    done = reports.succeeded_rows(parsed_lines(spark, sf_dir), records(spark, sf_dir))
     return done.groupBy("interface_key", "company_name").agg(F.count("*").alias("rows"))
 
 
+def export_succeeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export of those rows, read back."""
+    path = scratch_path(spark, "export")
+    reports.export_succeeded(parsed_lines(spark, sf_dir), records(spark, sf_dir), path)
+    return spark.read.csv(path, header=True, schema="interface_key STRING, dt STRING, company_name STRING")
+
+
 QUERIES = {
+    "export_succeeded": export_succeeded,
     "status_counts": status_counts,
     "call_report": call_report,
     "call_report_day": call_report_day,
@@ -187,6 +196,9 @@ rows_found AS (SELECT interface_key, dt, count(*) AS total, count(*) FILTER (WHE
 SELECT interface_key, dt, interface_name, {_frequency} AS frequency, relation, {', '.join(_listed.format(c) for c in ('success_count', 'total', 'prepaid', 'non_prepaid', 'uncategorized'))},
   coalesce(total, 0) > 0 AS has_data
 FROM calls FULL JOIN rows_found USING (interface_key, dt) JOIN registry USING (interface_key) WHERE reported""",
+    "export_succeeded": f"""WITH {SQL_RECORDS}, parsed AS (SELECT {_parsed} FROM lineitem)
+SELECT interface_key, dt, company_name FROM parsed p
+WHERE EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.company_name)""",
     "succeeded_rows": f"""WITH {SQL_RECORDS}, parsed AS (SELECT {_parsed} FROM lineitem)
 SELECT interface_key, company_name, count(*) AS rows FROM parsed p
 WHERE EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.company_name)

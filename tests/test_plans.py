@@ -52,7 +52,7 @@ def test_white_list_is_null_safe_and_optional(spark, customers):
 
 def test_supplementary(spark, customers):
     parsed = spark.createDataFrame([("pre_old", "20260604"), ("back", "20260605")], "main_company_name STRING, dt STRING")
-    assert names(scopes.supplementary(customers, parsed, "main_company_name", "20260604")) == ["back", "both", "pre_new"]
+    assert names(scopes.supplementary(customers, parsed, "20260604")) == ["back", "both", "pre_new"]
 
 
 def test_call_plan(spark, customers):
@@ -70,6 +70,16 @@ def test_call_plan(spark, customers):
     assert calls == expected and plan.count() == len(expected)
 
 
+def test_call_plan_of_a_targeted_batch_day(spark, customers):
+    empty = spark.createDataFrame([], "company_name STRING")
+    added = spark.createDataFrame([("pre_new",)], "company_name STRING")
+    records = spark.createDataFrame([], "interface_key STRING, dt STRING, input_param STRING, status_code INT")
+    plan = scopes.call_plan(customers, empty, empty, records, INTERFACES, F.lit(dt.date(2026, 7, 5)), new_customers=added)
+    counts = {r.interface_key: r["count"] for r in plan.groupBy("interface_key").count().collect()}
+    assert counts == {row[0]: 1 if row[0] == "1001" else 5 for row in INTERFACES}
+    assert {r.dt for r in plan.collect()} == {"20260704"}
+
+
 def test_white_list_ignores_a_later_move(spark):
     profiles = spark.createDataFrame(
         [("a", "hk", "20260101", 1), ("a", "gd", "20260102", 2), ("b", "tw", "20260103", 3), ("c", "gd", "20260101", 1)],

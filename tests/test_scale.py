@@ -9,7 +9,10 @@ import __spark_entry__ as registered
 from firmlake.operators.latest import first_per, latest_success
 from firmlake.plans import parsing, reports
 from firmlake.registry import interface_registry
+from firmlake.session import scratch_path
+from firmlake.sources import tables
 from firmlake.workload import interfaces
+from firmlake.workload import records as tables_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES_A_FAILING_LOAD = {"load_tables"}
@@ -70,3 +73,15 @@ def test_report_counts_a_hot_company_before_the_join(spark, skewed):
     report = reports.call_report(log, customers, interface_registry(spark)).where("interface_key = '819'").first()
     assert (report.total, report.prepaid_calls, report.non_prepaid_calls) == (30000, 10000, 10000)
     assert report.abnormal_failure == 3000
+
+
+def test_scans_are_pruned(spark):
+    log = tables_queries.records(spark, SF_DIR).select(*tables_queries.LOG)
+    path = scratch_path(spark, "log")
+    tables.overwrite_partitions(log, path)
+    table = tables.read_table(spark, path, log.schema)
+    window = plan_of(tables.created_between(tables.scan(table, "20240116"), "2024-01-17", "2024-01-18").select("id"))
+    assert re.search(r"PartitionFilters: \[[^]]*dt#\d+ = 20240116", window)
+    assert "GreaterThanOrEqual(create_time" in window and "LessThan(create_time" in window
+    assert "ReadSchema: struct<id:bigint,create_time" in window
+    assert re.search(r"PartitionFilters: \[[^]]*dt#\d+ = Subquery", plan_of(tables.scan_latest(table)))

@@ -55,7 +55,7 @@ def test_replace_key_without_new_rows_clears_it(spark, log):
 def test_restamp_appends(spark, log):
     table = tables.read_table(spark, log)
     keys = spark.createDataFrame([("a",), ("a",)], "name STRING")
-    tables.append(tables.restamp(table, keys, "company_name", "20240102", "20240101"), log)
+    tables.append(tables.restamp(table, keys, "20240102", "20240101"), log)
     assert (4, "a", "20240101") in read(spark, log) and len(read(spark, log)) == 5
 
 
