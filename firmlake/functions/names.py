@@ -30,6 +30,15 @@ def _collapse(name: Column) -> Column:
     return F.trim(F.regexp_replace(name, "_+", "_"), F.lit("_"))
 
 
+def _plain_clean(name: str, invalid: str) -> str:
+    return re.sub("_+", "_", re.sub(invalid, "_", name)).strip("_")
+
+
+def table_name(name: str) -> str:
+    """``clean_table_name`` for a name at hand."""
+    return _plain_clean(name.lower(), NOT_IN_TABLE_NAME)
+
+
 def clean_table_name(name: Column) -> Column:
     return _collapse(F.regexp_replace(F.lower(name), NOT_IN_TABLE_NAME, "_"))
 
@@ -49,8 +58,7 @@ def number_repeats(names: list[str]) -> list[str]:
 
 
 def clean_columns(df: DataFrame) -> DataFrame:
-    cleaned = [re.sub("_+", "_", re.sub(NOT_IN_COLUMN_NAME, "_", c)).strip("_") for c in df.columns]
-    return df.toDF(*number_repeats(cleaned))
+    return df.toDF(*number_repeats([_plain_clean(c, NOT_IN_COLUMN_NAME) for c in df.columns]))
 
 
 def stringify(df: DataFrame, all_null: list[str]) -> DataFrame:

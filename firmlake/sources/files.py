@@ -74,8 +74,8 @@ def load_table(df: DataFrame, name: str, path: str, prefix: str = "manual_") ->
     rows = profile[0]["row_count"] if profile else 0
     no_value = [p["column_name"] for p in profile if p["filled"] == 0]
     table = names.stringify(cleaned, no_value)
-    target = df.sparkSession.range(1).select(names.clean_table_name(F.lit(name))).first()[0]
-    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{prefix}{target}")
+    target = f"{path}/{prefix}{names.table_name(name)}"
+    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
     return rows
 
 

@@ -64,15 +64,18 @@ RECORD = [
 ]
 
 
+def as_records(orders: DataFrame, interface_key: str, payload: str) -> DataFrame:
+    return orders.selectExpr(*filled(RECORD, name=SPARK_NAME, key=interface_key), f"{payload} AS output_result")
+
+
 def call_records(spark: SparkSession, sf_dir: str, interface_key: str, payload: str) -> DataFrame:
-    columns = filled(RECORD, name=SPARK_NAME, key=interface_key)
-    return table(spark, sf_dir, "orders").selectExpr(*columns, f"{payload} AS output_result")
+    return as_records(table(spark, sf_dir, "orders"), interface_key, payload)
 
 
 def stored_log(spark: SparkSession, sf_dir: str, interface_key: str, payload: str, files: int) -> DataFrame:
     """The call records as a table on disk, the way a parse job finds them."""
     path = scratch_path(spark, f"log-{interface_key}")
-    call_records(spark, sf_dir, interface_key, payload).repartition(files).write.parquet(path)
+    as_records(table(spark, sf_dir, "orders").repartition(files), interface_key, payload).write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -14,7 +14,6 @@ from firmlake.workload.tables import (
     MONTHLY_KEYS,
     SQL_ACCOUNTS,
     SQL_CUSTOMERS,
-    SQL_NAME,
     SQL_PROFILES,
     SQL_RECORDS,
     SQL_WHITE,
@@ -246,8 +245,9 @@ SELECT name, is_prepaid,
   CASE WHEN EXISTS (SELECT 1 FROM accounts a WHERE a.dt = '20240103' AND trim(a.accountName) = name) THEN '是' ELSE '否' END AS in_monthly_batch
 FROM customers""",
     "parent_company": f"""WITH {SQL_PROFILES}, branches AS (SELECT c_custkey, {BRANCH} AS company_name FROM customer),
-ranked AS (SELECT company_name, 'P' || api_record_id AS parent, row_number() OVER (PARTITION BY company_name ORDER BY dt DESC, api_record_id DESC) AS rn
-  FROM profiles WHERE dt >= '20240102' AND api_record_id % 3 > 0)
+parents AS (SELECT *, CASE WHEN api_record_id % 3 > 0 THEN 'P' || api_record_id END AS parent FROM profiles),
+ranked AS (SELECT company_name, parent, row_number() OVER (PARTITION BY company_name ORDER BY dt DESC, api_record_id DESC) AS rn
+  FROM parents WHERE dt >= '20240102' AND parent IS NOT NULL)
 SELECT c_custkey, b.company_name, CASE WHEN c_custkey % 4 = 0 THEN '甲' || c_custkey || '公司' ELSE parent END AS parent_name,
   CASE WHEN c_custkey % 4 = 0 THEN 'name' WHEN parent IS NOT NULL THEN 'record' END AS found_by
 FROM branches b LEFT JOIN ranked r ON b.company_name = r.company_name AND rn = 1""",

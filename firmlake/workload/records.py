@@ -191,7 +191,6 @@ def max_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CALL_TOTAL = "o_orderkey % 150"
 PAGE_ERROR = "CASE WHEN (o_orderkey + page_num * 3) % 11 = 0 THEN 300004 ELSE 0 END"
-PAGE_THERE = "(page_num = 1 OR (o_orderkey + page_num) % 13 <> 0)"
 
 
 def merge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +199,7 @@ def merge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"explode(sequence(1, cast(ceil({CALL_TOTAL} / 20.0) AS int) + 1)) AS page_num",
     )
     item = "transform(sequence(0, cast((o_orderkey + page_num) % 3 AS int)), x -> concat(o_orderkey, '-', page_num, '-', x))"
-    pages = calls.where(PAGE_THERE).selectExpr("*", f"{PAGE_ERROR} AS error_code", f"{item} AS items")
+    pages = calls.selectExpr("*", f"{PAGE_ERROR} AS error_code", f"{item} AS items")
     return responses.merge_pages(pages, ["o_orderkey"]).withColumn("items", F.array_join("items", ","))
 
 
@@ -380,8 +379,8 @@ SELECT name, (SELECT max(event_id) FROM events) + row_number() OVER (ORDER BY na
     "max_ids": f"WITH {SQL_RECORDS} SELECT coalesce(max(id), -1) AS max_id, max(dt) AS max_dt FROM records",
     "merge_pages": f"""WITH calls AS (SELECT o_orderkey, ({CALL_TOTAL})::INTEGER AS total,
   unnest(range(1, ceil(({CALL_TOTAL}) / 20.0)::INTEGER + 2)) AS page_num FROM orders),
-pages AS (SELECT *, {PAGE_ERROR} AS error_code, row_number() OVER (PARTITION BY o_orderkey ORDER BY page_num) AS rn FROM calls WHERE {PAGE_THERE}),
-stops AS (SELECT o_orderkey, min(page_num) AS stop FROM pages WHERE error_code <> 0 OR rn <> page_num GROUP BY ALL),
+pages AS (SELECT *, {PAGE_ERROR} AS error_code FROM calls),
+stops AS (SELECT o_orderkey, min(page_num) AS stop FROM pages WHERE error_code <> 0 GROUP BY ALL),
 good AS (SELECT p.* FROM pages p LEFT JOIN stops s USING (o_orderkey)
   WHERE p.page_num <= greatest(1, ceil(total / 20.0)) AND (stop IS NULL OR p.page_num < stop)),
 used AS (SELECT o_orderkey, count(*) AS pages_used FROM good GROUP BY ALL),

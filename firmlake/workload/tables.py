@@ -91,13 +91,14 @@ CUSTOMER_COLUMNS = [
     "CASE WHEN c_custkey % 4 = 0 THEN '是' ELSE '否' END AS in_monthly_batch",
     "c_custkey",
     "c_nationkey",
+    "c_mktsegment",
 ]
 SQL_CUSTOMERS = f"customers AS (SELECT {', '.join(CUSTOMER_COLUMNS)} FROM customer)"
-# some customers are listed a second time as post-paid
+# customers of one segment are listed a second time as post-paid, those of another without a class
 SQL_LISTINGS = f"""{SQL_CUSTOMERS},
 listings AS (SELECT name, is_prepaid FROM customers
-  UNION ALL SELECT name, '否' FROM customers WHERE c_custkey % 5 = 0
-  UNION ALL SELECT name, NULL FROM customers WHERE c_custkey % 13 = 0)"""
+  UNION ALL SELECT name, '否' FROM customers WHERE c_mktsegment = 'BUILDING'
+  UNION ALL SELECT name, NULL FROM customers WHERE c_mktsegment = 'MACHINERY')"""
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,8 +110,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = F.array_compact(
         F.array(
             F.struct(F.col("is_prepaid")),
-            F.when(F.col("c_custkey") % 5 == 0, F.struct(F.lit("否").alias("is_prepaid"))),
-            F.when(F.col("c_custkey") % 13 == 0, F.struct(F.lit(None).cast("string").alias("is_prepaid"))),
+            F.when(F.col("c_mktsegment") == "BUILDING", F.struct(F.lit("否").alias("is_prepaid"))),
+            F.when(F.col("c_mktsegment") == "MACHINERY", F.struct(F.lit(None).cast("string").alias("is_prepaid"))),
         )
     )
     return base.select("name", F.explode(flags).alias("f")).select("name", "f.is_prepaid")
