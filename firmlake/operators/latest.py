@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 RECORD_KEYS = ("interface_key", "dt", "input_param")
 
 
-def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """First ``n`` rows of each key; ``order`` must end in a unique column to be repeatable.
+def ranked_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+    """First ``n`` rows of each key with their ``place``; ``order`` must end in a unique column to be repeatable.
 
     Spark puts a group limit ahead of the shuffle, so a task passes on at most ``n`` rows of a key.
     """
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return df.withColumn("place", place).where(F.col("place") <= n)
+
+
+def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+    return ranked_per(df, keys, order, n).drop("place")
 
 
 def latest_success(records: DataFrame, keys: Sequence[str] = RECORD_KEYS) -> DataFrame:
@@ -38,4 +42,4 @@ def latest_success(records: DataFrame, keys: Sequence[str] = RECORD_KEYS) -> Dat
 def nth_newest(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """The n-th row of the whole table in ``order``, no row when there are fewer."""
     place = F.row_number().over(Window.orderBy(*order))
-    return df.orderBy(*order).limit(n).withColumn("_place", place).where(F.col("_place") == n).drop("_place")
+    return df.orderBy(*order).limit(n).withColumn("place", place).where(F.col("place") == n).drop("place")

@@ -44,7 +44,7 @@ def trace_ratio(parsed: DataFrame, records: DataFrame) -> DataFrame:
     Rows are counted per record before the join, so a record with many rows weighs no more than any other.
     """
     per_record = parsed.groupBy("api_record_id", "dt").agg(F.count("*").alias("rows"))
-    known = records.select(F.col("id").alias("api_record_id"), "dt", F.lit(True).alias("known")).distinct()
+    known = records.select(F.col("id").alias("api_record_id"), "dt").distinct().withColumn("known", F.lit(True))
     linked = F.when(F.col("known"), F.col("rows")).otherwise(0)
     joined = per_record.join(known, ["api_record_id", "dt"], "left")
     counted = joined.groupBy("dt").agg(F.sum("rows").alias("parsed_rows"), F.sum(linked).alias("linked_rows"))

@@ -82,8 +82,8 @@ def new_customers(accounts: DataFrame, groups: DataFrame, dt: str, previous_dt:
 
 def customer_flags(today: DataFrame, yesterday: DataFrame, batch_companies: DataFrame) -> DataFrame:
     """``is_new_customer``: not listed the day before. ``in_monthly_batch``: in the last monthly batch partition."""
-    known = yesterday.select("name", F.lit(True).alias("_known")).distinct()
-    batch = batch_companies.select("name", F.lit(True).alias("_batch")).distinct()
+    known = yesterday.select("name").distinct().withColumn("_known", F.lit(True))
+    batch = batch_companies.select("name").distinct().withColumn("_batch", F.lit(True))
     flagged = today.join(known, "name", "left").join(batch, "name", "left")
     return flagged.select(
         "name",

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlake.operators.latest import first_per
+from firmlake.operators.latest import ranked_per
 from firmlake.operators.profile import table_counts
 from firmlake.session import scratch_path
 from firmlake.sources import files
@@ -53,11 +53,8 @@ def count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last two counted loads of every file side by side."""
     loads = files.counted_loads(manifest(spark, sf_dir)).select("filename", "processed_at", "event_id", "table_counts")
     order = [F.col("processed_at").desc(), F.col("event_id").desc()]
-    last_two = first_per(loads, ["filename"], order, 2)
-    current = first_per(last_two, ["filename"], order)
-    previous = last_two.join(current.select("event_id"), "event_id", "left_anti")
-    sides = [files.exploded_counts(side, ["filename"]) for side in (current, previous)]
-    return files.count_changes(*sides, ["filename"])
+    last_two = files.exploded_counts(ranked_per(loads, ["filename"], order, 2), ["filename", "place"])
+    return files.count_changes(last_two.where("place = 1"), last_two.where("place = 2"), ["filename"])
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
