@@ -67,23 +67,34 @@ def expired(keys: DataFrame, date: Column, days: int, column: str = "dt") -> Dat
 # --- loads ------------------------------------------------------------------------------------------------------------
 
 
-def load_table(df: DataFrame, name: str, path: str, prefix: str = "manual_") -> int:
-    """Write one uploaded table under its cleaned name, with clean columns; returns its row count."""
+def load_table(df: DataFrame, name: str, path: str, prefix: str = "manual_") -> int | None:
+    """Write one uploaded table under its cleaned name, with clean columns.
+
+    Returns its row count, or None for a table that cannot be read; that one is left out.
+    """
     cleaned = names.clean_columns(df)
-    profile = column_profile(cleaned).collect()  # one row per column
+    try:
+        profile = column_profile(cleaned).collect()  # one row per column
+    except Exception:
+        return None
     rows = profile[0]["row_count"] if profile else 0
     no_value = [p["column_name"] for p in profile if p["filled"] == 0]
-    table = names.stringify(cleaned, no_value)
     target = f"{path}/{prefix}{names.table_name(name)}"
+    table = names.stringify(cleaned, no_value)
     table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
     return rows
 
 
 def load_file(spark: SparkSession, tables: Mapping[str, DataFrame], path: str, filename: str, md5: str,
               processed_at: dt.datetime) -> DataFrame:
-    """Load all tables of a file and return its manifest row; an error is recorded, cut to 200 characters."""
+    """Load all tables of a file and return its manifest row.
+
+    The row lists every table and the counts of those that could be read. When a table cannot be written the file has
+    failed; the error is recorded, cut to 200 characters.
+    """
     try:
-        counts = {name: load_table(df, name, path) for name, df in tables.items()}
+        loaded = {name: load_table(df, name, path) for name, df in tables.items()}
+        counts = {name: rows for name, rows in loaded.items() if rows is not None}
         row = (filename, md5, processed_at, ",".join(tables), json.dumps(counts, ensure_ascii=False), SUCCESS)
     except Exception as error:  # whatever went wrong belongs into the manifest
         row = (filename, md5, processed_at, "", "", f"failed: {str(error)[:MESSAGE_LENGTH]}")

@@ -15,14 +15,13 @@ from firmlake.workload import interfaces
 from firmlake.workload import records as tables_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITES_A_FAILING_LOAD = {"load_tables"}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(registered.queries()) - WRITES_A_FAILING_LOAD))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_no_nested_loops_and_no_python(spark, name):
     plan = plan_of(registered.queries()[name](spark, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):

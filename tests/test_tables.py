@@ -111,8 +111,11 @@ def test_load_file_records_counts_and_failures(spark):
     # a reload with other columns replaces the table
     files.load_file(spark, {"T 1": spark.createDataFrame([("x",)], "z STRING")}, path, "f", "m", when)
     assert spark.read.parquet(f"{path}/manual_t_1").columns == ["z"]
-    broken = {"T": spark.range(1).select(F.raise_error(F.lit("x" * 500)).cast("string").alias("e"))}
-    row = files.load_file(spark, broken, path, "f", "m", when).first()
+    # a table that cannot be read is left out, one that cannot be written fails the file
+    unread = spark.range(1).select(F.raise_error(F.lit("x")).cast("string").alias("e"))
+    row = files.load_file(spark, {"T": unread, **good}, path, "f", "m", when).first()
+    assert (row.status, row.table_names, row.table_counts) == ("success", "T,T 1", '{"T 1": 2}')
+    row = files.load_file(spark, good, f"{path}/manual_t_1/_SUCCESS", "f", "m", when).first()
     assert row.status.startswith("failed: ") and len(row.status) <= 208 and row.table_names == ""
 
 
