@@ -65,12 +65,16 @@ def customer_classes(customers: DataFrame) -> DataFrame:
     )
 
 
+def counted_calls(reported: DataFrame) -> DataFrame:
+    """Calls behind each record: its pages for a paged interface, else one."""
+    return reported.withColumn("calls", F.when(F.col("paged"), page_count(F.col("output_result"))).otherwise(F.lit(1)))
+
+
 def status_counts(records: DataFrame, registry: DataFrame) -> DataFrame:
     """Records and calls (pages for paged interfaces) per date, interface and status."""
-    calls = F.when(F.col("paged"), page_count(F.col("output_result"))).otherwise(F.lit(1))
-    reported = reported_records(records, registry)
+    reported = counted_calls(reported_records(records, registry))
     return reported.groupBy("report_date", "interface_key", "status_code").agg(
-        F.count("*").alias("records"), F.sum(calls).alias("calls")
+        F.count("*").alias("records"), F.sum("calls").alias("calls")
     )
 
 
@@ -80,11 +84,10 @@ def call_report(records: DataFrame, customers: DataFrame, registry: DataFrame, d
 
     ``dates`` (``report_date``) are the business dates to cover; by default those with records.
     """
-    code = F.col("status_code")
-    calls = F.when(F.col("paged"), page_count(F.col("output_result"))).otherwise(F.lit(1))
+    code, calls = F.col("status_code"), F.col("calls")
     normal = F.array_contains("normal_codes", code)
     per_company = (
-        reported_records(records, registry, monthly_day)
+        counted_calls(reported_records(records, registry, monthly_day))
         .groupBy("report_date", "interface_key", "input_param")
         .agg(
             F.sum(calls).alias("total"),
