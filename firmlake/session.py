@@ -44,8 +44,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place, files = _hadoop_file(spark, path)
+    files.deleteOnExit(place)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes scratch data that nothing reads any more."""
+    place, files = _hadoop_file(spark, path)
+    files.delete(place, True)
+
+
+def _hadoop_file(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored as Parquet in the shared folder and read from there: lineage ends, a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
