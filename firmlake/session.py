@@ -47,7 +47,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     place, files = _hadoop_file(spark, path)
+    files.mkdirs(place.getParent())
+    files.create(place).close()  # only a path that exists can be marked
     files.deleteOnExit(place)
+    files.delete(place, False)
     return path
 
 
