@@ -66,7 +66,7 @@ _WORDS = r"""regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ab
 
 def _shingles(table_name: str, key: str, size: int) -> str:
     return f"""SELECT {key}, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), i -> array_to_string(w[i:i + {size - 1}], ' '))) END) s
+        ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) END) s
     FROM (SELECT {key}, {_WORDS.format("text")} w FROM {table_name} WHERE text IS NOT NULL)"""
 
 
