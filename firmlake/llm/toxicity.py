@@ -94,9 +94,10 @@ def fit(texts: list[bytes], labels: list[int]) -> Model:
     begin = np.cumsum(size) - size
     slots = np.array([word_features(w) for w in vocabulary], np.int64)
     # a slot counts when two documents have it; what a single document has would just name that document
-    held = np.unique(np.repeat(bag, size) * np.int64(len(slots)) + word)
-    pairs = np.unique(np.repeat(held // len(slots), slots.shape[1]) * np.int64(1 << BITS) + slots[held % len(slots)].ravel())
-    active = np.bincount(pairs % (1 << BITS), minlength=1 << BITS) >= SEEN_IN
+    documents = np.zeros(1 << BITS, np.int32)
+    for own in np.split(word, np.flatnonzero(np.diff(np.repeat(bag, size))) + 1):
+        documents[np.unique(slots[own])] += 1
+    active = documents >= SEEN_IN
     y = np.array(labels, float)
     share = y.mean()
     # both labels weigh in, the rarer one with the root of its odds
@@ -132,9 +133,20 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     for value, most in ((1, positives), (0, negatives)):
         some = known.where(F.col("toxic") == value).orderBy(drawn, "doc_id").limit(most)
         chosen = some if chosen is None else chosen.union(some)
-    # a proven size: at most positives + negatives ids
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").collect()
-    return fit([bytes(r.text or b"") for r in rows], [r.toxic for r in rows])
+    # a proven size: at most positives + negatives ids, and one task for as many documents
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = rows.select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), "toxic").repartition(1).sortWithinPartitions("doc_id", "text")
+    found = sample.mapInArrow(_fit, "weights binary, bias double").first()
+    return Model(np.frombuffer(found.weights, np.float32), found.bias)
+
+
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        labels += batch.column("toxic").to_pylist()
+    model = fit(texts, labels)
+    yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
 
 def scorer(model: Model):
