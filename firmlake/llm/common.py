@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlake.session import drop_path, write_and_read
@@ -26,7 +29,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hash of a word, remembered while at most ``limit`` words are held."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -40,6 +43,29 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=U64, count=len(words))
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Texts are long, so tasks get them in batches of ``rows`` at most, unless the session asks for even fewer."""
+    if int(spark.conf.get(BATCH_ROWS, "10000")) not in range(1, rows + 1):
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
+def give_back(run):
+    """``run`` over a task's batches; memory that it no longer needs goes back at the end, as workers are kept for other tasks."""
+
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words of a text in UTF-8 with A-Z lower-cased; bytes.split knows just the blanks 0x20 and 0x09-0x0D."""
     return text.lower().split() if text else []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmlake.llm.common import U64, WordHashes, mix, shingle_set, shingles, words_of
+from firmlake.llm.common import U64, WordHashes, mix, shingle_set, shingles, small_batches, words_of
 
 MINIMA = 16
 MISS = 1e-6  # chance to overlook an item that is contained just enough
@@ -107,6 +107,7 @@ def items_in(items: DataFrame, words: int = 5, percent: int = 80, block_bytes: i
 
     Only one block of items is on the driver at a time while it is packed; null and blank items are left out.
     """
+    small_batches(items.sparkSession)
     blocks, block, held = [], [], 0
     rows = items.where("text is not null").select("item_id", F.col("text").cast("binary").alias("text")).orderBy("item_id", "text")
     for row in rows.toLocalIterator():

@@ -24,14 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlake.llm import files
+from firmlake.llm.common import give_back, small_batches
 from firmlake.session import write_and_read
 
 MAGIC = b"FLDAC\x00\x00\x01"
 WIDTHS = (12, 4, 8, 8)  # 32 bits in all; ids below 4096 take one chunk
 BLOCK = 512
-IDS_PER_FILE = 4_000_000  # a file closes after the document that reaches it
+IDS_PER_FILE = 2_000_000  # a file closes after the document that reaches it
 TEXT_AT_ONCE = 8 << 20  # bytes of text tokenized together; a longer document goes alone
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 200_000
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -258,7 +259,7 @@ def _write(folder: str, tokenizer_file: str, end_id: int, ids_per_file: int):
         if docs:
             yield close()
 
-    return run
+    return give_back(run)
 
 
 def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 0, ids_per_file: int = IDS_PER_FILE) -> DataFrame:
@@ -267,6 +268,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int = 0, ids_per_
     The documents are range partitioned by doc_id and sorted in place. Equal doc_ids stand in order of their texts; rows without
     doc_id come first. A null or empty text is just the end id. Other columns are ignored; an empty table writes no file.
     """
+    small_batches(docs.sparkSession)
     folder = files.shared_folder(docs.sparkSession, "tokens")
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     ranged = docs.select("doc_id", "text").repartitionByRange(*order[:2]).sortWithinPartitions(*order)
@@ -297,5 +299,5 @@ def read_tokens(listed: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     placed = listed.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
     return files.one_task_each(placed, "file").mapInArrow(
-        _read, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, place long"
+        give_back(_read), "doc_id long, start long, n_tokens long, ids_crc32 long, file string, place long"
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlake.llm.common import U64, WordHashes, components, list_array, mix, shingle_set, signed, words_of
+from firmlake.llm.common import U64, WordHashes, components, give_back, list_array, mix, shingle_set, signed, small_batches, words_of
 from firmlake.session import write_and_read
 
 PERMUTATIONS = 64
@@ -69,7 +69,7 @@ def _sign(words: int, permutations: int, rows: int):
                 names=["doc_id", "n_shingles", "key", "bands"],
             )
 
-    return run
+    return give_back(run)
 
 
 def _sets(words: int):
@@ -79,7 +79,7 @@ def _sets(words: int):
             parts = [signed(shingle_set(known.of(words_of(text.as_py())), words)) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_array(parts)], names=["id", "shingles"])
 
-    return run
+    return give_back(run)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -133,6 +133,7 @@ def near_duplicates(
     own n_shingles. Rows without doc_id link with nothing, their component_id is null and kept is false. Texts of any length
     are taken whole; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     signs = write_and_read(
         source.mapInArrow(_sign(words, permutations, rows), "doc_id long, n_shingles long, key binary, bands array<long>"), "signatures"

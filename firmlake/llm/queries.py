@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlake.llm import containment, dac, minhash, mixing, toxicity
+from firmlake.llm import containment, dac, minhash, mixing, multiindex, reputation, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,6 +29,20 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is a bad outcome when the label with its number says quality 0."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return reputation.judge(table(spark, sf_dir, "pages"), labels, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -38,6 +52,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op8_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(listed).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = dac.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
     return dac.read_tokens(listed).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -57,7 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op4_near_duplicates, op7_mixing, op9_tokens, op10_toxicity)
+    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
 }
 
 #: A-Z lower-cased, then words
@@ -70,7 +89,39 @@ def _shingles(table_name: str, key: str, size: int) -> str:
     FROM (SELECT {key}, {_WORDS.format("text")} w FROM {table_name} WHERE text IS NOT NULL)"""
 
 
+def _shrink(children: str, strength: str) -> str:
+    """SQL of one level: posterior mean of each row of ``children`` (n, bad, prior), with the fitted strength."""
+    rho = "(sum(pow(bad - n * prior, 2) / (prior * (1 - prior))) - sum(n)) / nullif(sum(n * (n - 1)), 0)"
+    return f"""{strength} AS (SELECT 1 / greatest(1e-4, least(0.99, coalesce({rho}, 1e-4))) - 1 k FROM {children})"""
+
+
 ORACLE = {
+    "op2_embeddings": """
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] e, sqrt(list_dot_product(e, e)) n FROM embeddings),
+        links AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.9 * a.n * b.n),
+        reach AS (SELECT vec_id id, vec_id r FROM embeddings UNION SELECT reach.id, b FROM reach JOIN links ON reach.r = a),
+        least AS (SELECT id vec_id, min(r) component_id FROM reach GROUP BY id)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least""",
+    "op3_url_filters": f"""
+        WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') host,
+            coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') path FROM pages),
+        l AS (SELECT doc_id page_id, max(1 - quality) bad FROM labels GROUP BY ALL),
+        h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') dom, string_split(host, '.')[-1] suf, count(bad) n, coalesce(sum(bad), 0) bad FROM p LEFT JOIN l USING (page_id) GROUP BY ALL),
+        s AS (SELECT suf, sum(n) n, sum(bad) bad, (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) FROM h) prior FROM h GROUP BY suf), {_shrink("s", "ks")},
+        d AS (SELECT dom, h.suf, sum(h.n) n, sum(h.bad) bad, any_value((s.bad + s.prior * k) / (s.n + k)) prior FROM h JOIN s USING (suf), ks GROUP BY ALL), {_shrink("d", "kd")},
+        hh AS (SELECT host, h.n, h.bad, (d.bad + d.prior * k) / (d.n + k) prior FROM h JOIN d USING (dom), kd), {_shrink("hh", "kh")},
+        r AS (SELECT host, n + k total, (bad + prior * k) / (n + k) rate FROM hh, kh),
+        rules(rh, rp, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        m AS (SELECT host, path, arg_max(rh || rp, strlen(rh || rp)) rule, arg_max(verdict, strlen(rh || rp)) v FROM (SELECT DISTINCT host, path FROM p) JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL)
+        SELECT page_id, p.host, p.path, rule,
+            coalesce(v, CASE WHEN p.host <> '' AND rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM p JOIN r USING (host) LEFT JOIN m ON m.host = p.host AND m.path = p.path""",
+    "op8_archives": """
+        WITH p AS (SELECT page_id, coalesce(html, '') t, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+        g AS (SELECT payload_digest, min(page_id) lead FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+        SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN lead <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN lead <> page_id THEN lead END AS refers_to
+        FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest""",
     "op1_decontamination": f"""
         WITH d AS ({_shingles("documents", "doc_id", 5)}), i AS ({_shingles("benchmark", "item_id", 5)}),
         n AS (SELECT item_id, count(*) n_item_shingles FROM i GROUP BY item_id),

@@ -19,13 +19,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firmlake.llm.common import give_back, small_batches
+
 POSITIVES, NEGATIVES = 1500, 4500  # bound of the labelled sample
 BITS = 18
 BEGINNINGS = (3, 4, 5)  # characters
 SEEN_IN = 2
 STEPS, RATE, DECAY = 100, 0.08, 2e-5
 THRESHOLD = 0.7
-KNOWN = 300_000
+KNOWN = 100_000
 SENTENCE = re.compile(rb"[^.!?\n]+")
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff']+")
 
@@ -127,6 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
 
     Labels without id, value or document are not used; of repeated documents each row is an example.
     """
+    small_batches(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     drawn = F.xxhash64("doc_id", F.lit("draw"))
     chosen = None
@@ -136,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     # a proven size: at most positives + negatives ids, and one task for as many documents
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = rows.select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), "toxic").repartition(1).sortWithinPartitions("doc_id", "text")
-    found = sample.mapInArrow(_fit, "weights binary, bias double").first()
+    found = sample.mapInArrow(give_back(_fit), "weights binary, bias double").first()
     return Model(np.frombuffer(found.weights, np.float32), found.bias)
 
 
