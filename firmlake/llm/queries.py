@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlake.llm import containment, dac, minhash, mixing, multiindex, reputation, toxicity, warc
+from firmlake.llm import containment, contextmix, dac, minhash, mixing, multiindex, reputation, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -47,6 +47,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextmix.score(table(spark, sf_dir, "documents"), folds=10)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return taken.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
@@ -76,7 +80,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
+    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op6_context_mixing, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
 }
 
 #: A-Z lower-cased, then words
