@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlake.llm import containment, contextmix, dac, minhash, mixing, multiindex, reputation, toxicity, warc
+from firmlake.llm import containment, contextmix, dac, minhash, mixing, multiindex, repeats, reputation, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -47,6 +47,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contextmix.score(table(spark, sf_dir, "documents"), folds=10)
 
@@ -80,7 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op6_context_mixing, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
+    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op5_repeats, op6_context_mixing, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
 }
 
 #: A-Z lower-cased, then words
