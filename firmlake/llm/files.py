@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from firmlake.session import scratch_path
 
+MOST_TASKS = 20_000
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder that driver and executors share."""
@@ -49,5 +51,5 @@ def read_bytes(uri: str) -> bytes:
 
 
 def one_task_each(listed: DataFrame, column: str) -> DataFrame:
-    """One row per file, dealt out over the tasks."""
-    return listed.repartition(column)
+    """One row per stored file, dealt out over as many tasks as there are files, up to ``MOST_TASKS``."""
+    return listed.repartition(max(1, min(listed.count(), MOST_TASKS)), column)

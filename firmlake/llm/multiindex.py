@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmlake.llm.common import components, give_back
+from firmlake.llm.common import components, draw, give_back
 from firmlake.session import write_and_read
 
 SAMPLE = 8192  # vectors that the codebooks and the number of visited cells are fitted on, drawn by hash
@@ -190,7 +190,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
     found = None
     for size, n in sorted((r["size"], r["n"]) for r in sizes):
         own = classes.where(F.size("vector") == size)
-        sample = own.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
+        sample = draw(own, SAMPLE, "id").select("vector").toArrow()
         unit = unit_rows([np.asarray(v.values) for v in sample.column("vector").combine_chunks()])
         part = _links(own, fit_index(unit, n, cosine, recall), cosine)
         found = part if found is None else found.union(part)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmlake.llm.common import give_back, small_batches
+from firmlake.llm.common import draw, give_back, small_batches
 
 POSITIVES, NEGATIVES = 1500, 4500  # bound of the labelled sample
 BITS = 18
@@ -131,10 +131,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     """
     small_batches(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    drawn = F.xxhash64("doc_id", F.lit("draw"))
     chosen = None
     for value, most in ((1, positives), (0, negatives)):
-        some = known.where(F.col("toxic") == value).orderBy(drawn, "doc_id").limit(most)
+        some = draw(known.where(F.col("toxic") == value), most, "doc_id")
         chosen = some if chosen is None else chosen.union(some)
     # a proven size: at most positives + negatives ids, and one task for as many documents
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlake.llm import files
-from firmlake.llm.common import give_back, small_batches
+from firmlake.llm.common import draw, give_back, small_batches
 from firmlake.session import write_and_read
 
 SKIPPABLE = 0x184D2A5D
@@ -34,7 +34,7 @@ CHUNK = 16 << 10
 
 def train_dictionary(pages: DataFrame, payload: str = "payload") -> bytes:
     """Dictionary from at most ``SAMPLE_PAGES`` payloads of at most ``SAMPLE_BYTES``, drawn by their hash; empty where they do not suffice."""
-    some = pages.select(payload).where(F.octet_length(payload).between(1, SAMPLE_BYTES)).orderBy(F.xxhash64(payload), payload).limit(SAMPLE_PAGES)
+    some = draw(pages.select(payload).where(F.octet_length(payload).between(1, SAMPLE_BYTES)), SAMPLE_PAGES, payload)
     samples = [bytes(r[0]) for r in some.collect()]
     if len(samples) < 8:
         return b""
