@@ -109,6 +109,48 @@ def list_array(parts: list[np.ndarray], kind=np.int64) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(offsets, pa.array(flat.astype(kind, copy=False))).cast(pa.list_(pa.from_numpy_dtype(kind)))
 
 
+FILTER_BITS = (16, 26)  # least and most, as powers of two: 8 MB at most
+
+
+def _marks(bits: int):
+    def run(batches):
+        held = np.zeros(1 << bits, bool)
+        for batch in batches:
+            held[filter_places(batch.column(0).to_numpy(zero_copy_only=False), bits)] = True
+        yield pa.RecordBatch.from_pydict({"marks": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    return run
+
+
+def _either(batches):
+    held = None
+    for batch in batches:
+        for marks in batch.column("marks"):
+            own = np.frombuffer(marks.as_py(), np.uint8)
+            held = own.copy() if held is None else held | own
+    if held is not None:
+        yield pa.RecordBatch.from_pydict({"marks": pa.array([held.tobytes()], pa.binary())})
+
+
+def filter_places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(U64) * GOLDEN) >> U64(64 - bits)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits that are set for each id of the single, non-null long column; of bounded size, so with many ids it lets more others pass."""
+    bits = int(np.clip((16 * ids.count()).bit_length(), *FILTER_BITS))
+    found = ids.coalesce(64).mapInArrow(_marks(bits), "marks binary").repartition(1).mapInArrow(_either, "marks binary").collect()
+    marks = np.zeros(1 << (bits - 3), np.uint8)
+    for row in found:
+        marks |= np.frombuffer(row.marks, np.uint8)
+    return marks
+
+
+def may_hold(marks: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at = filter_places(ids, (len(marks) * 8).bit_length() - 1)
+    return (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id on an edge of ``edges`` (a, b): component is the smallest id that it reaches.
 

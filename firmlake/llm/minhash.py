@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmlake.llm.common import U64, WordHashes, components, give_back, list_array, mix, shingle_set, signed, small_batches, words_of
+from firmlake.llm.common import U64, WordHashes, components, give_back, id_filter, list_array, may_hold, mix, shingle_set, signed, small_batches, words_of
 from firmlake.session import write_and_read
 
 PERMUTATIONS = 64
@@ -72,10 +72,11 @@ def _sign(words: int, permutations: int, rows: int):
     return give_back(run)
 
 
-def _sets(words: int):
+def _sets(words: int, marks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
+            batch = batch.filter(pa.array(may_hold(marks.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
             parts = [signed(shingle_set(known.of(words_of(text.as_py())), words)) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), list_array(parts)], names=["id", "shingles"])
 
@@ -148,9 +149,9 @@ def near_duplicates(
     # buckets of the same members are compared once
     shared = write_and_read(shared.groupBy("n", "mark", "lead", "last").agg(F.min("bucket").alias("bucket")), "buckets")
     candidates = write_and_read(members.join(shared, "bucket").select("bucket", "lead", "id", "n"), "candidates")
-    wanted = candidates.select("id").distinct()
-    texts = source.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    sets = write_and_read(texts.mapInArrow(_sets(words), "id long, shingles array<long>"), "shingles")
+    # no text is shuffled: a filter of bounded size leaves out most of those that are not wanted, the joins below all others
+    marks = docs.sparkSession.sparkContext.broadcast(id_filter(candidates.select("id").distinct()))
+    sets = write_and_read(source.where("doc_id is not null").mapInArrow(_sets(words, marks), "id long, shingles array<long>"), "shingles")
 
     pairs = candidates.where("id > lead").select("lead", "id").distinct()
     both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("lead"), F.col("shingles").alias("of_lead")), "lead")

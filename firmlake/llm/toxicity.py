@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negati
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = rows.select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), "toxic").repartition(1).sortWithinPartitions("doc_id", "text")
     found = sample.mapInArrow(give_back(_fit), "weights binary, bias double").first()
-    return Model(np.frombuffer(found.weights, np.float32), found.bias)
+    return Model(np.frombuffer(found.weights, np.float32), found.bias) if found else fit([], [])
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
