@@ -48,12 +48,20 @@ def clean_column_name(name: Column) -> Column:
 
 
 def number_repeats(names: list[str]) -> list[str]:
-    """Second and later uses of a name get ``_2``, ``_3`` and so on."""
-    uses: dict[str, int] = {}
+    """Second and later uses of a name, whatever its case, get the next free of ``_2``, ``_3`` and so on.
+
+    Names that are given keep their place before numbered ones; an empty name becomes ``column``.
+    """
+    given = [name or "column" for name in names]
+    taken = {name.lower() for name in given}
+    seen: set[str] = set()
     result = []
-    for name in names:
-        uses[name] = uses.get(name, 0) + 1
-        result.append(name if uses[name] == 1 else f"{name}_{uses[name]}")
+    for name in given:
+        free, number = name, 2
+        while free.lower() in seen or (free != name and free.lower() in taken):
+            free, number = f"{name}_{number}", number + 1
+        seen.add(free.lower())
+        result.append(free)
     return result
 
 

@@ -124,8 +124,8 @@ def counts_to_json(value: Column) -> Column:
     return F.to_json(value)
 
 
-def page_count(payload: Column, page_size: int | Column = 20, max_pages: int | Column = 250) -> Column:
-    """Calls behind one stored response: ceil(total / page size), at least 1 and at most the page limit."""
+def page_count(payload: Column, page_size: int | Column, max_pages: int | Column | None = None) -> Column:
+    """Calls behind one stored response: ceil(total / page size), at least 1 and at most the page limit, where there is one."""
     size = page_size if isinstance(page_size, Column) else F.lit(page_size)
     limit = max_pages if isinstance(max_pages, Column) else F.lit(max_pages)
     total = F.coalesce(F.get_json_object(payload, "$.result.total").try_cast("int"), F.lit(0))

@@ -1,7 +1,7 @@
 """From single calls to the record that is stored for a company.
 
 A call is identified by ``call_keys``. Each operator is one grouped aggregate with partial aggregation before its
-shuffle; the only lists built are the pages of a call, which the page limit bounds.
+shuffle; the only lists built are the pages of a call, one row for each page number.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmlake.operators.latest import first_per
-from firmlake.registry import MAX_ATTEMPTS, MAX_PAGES, PAGE_SIZE
+from firmlake.registry import PAGE_SIZE
 
 HTTP_ERROR, OTHER_ERROR = -1, -2
 
@@ -20,20 +20,19 @@ HTTP_ERROR, OTHER_ERROR = -1, -2
 def merge_pages(
     pages: DataFrame,
     call_keys: Sequence[str],
+    newest_first: Sequence[Column],
     page_size: int = PAGE_SIZE,
-    max_pages: int = MAX_PAGES,
-    newest_first: Sequence[Column] | None = None,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """One response per call from its pages (``page_num, error_code, total, items``).
 
     Page 1 decides the status and the total. Pages follow in order up to the page count of the total and stop before
-    the first page that failed or is missing. A call holds a page once; where a log may repeat pages, ``newest_first``
-    is the order that picks one of them, so that no call gathers more than ``max_pages``.
+    the first page that failed or is missing. A log may repeat pages; ``newest_first`` is the order that picks one row of
+    each. All stored pages count unless ``max_pages`` sets a limit.
     """
     first = F.col("page_num") == 1
-    wanted_pages = pages.where(F.col("page_num").between(1, max_pages))
-    if newest_first is not None:
-        wanted_pages = first_per(wanted_pages, [*call_keys, "page_num"], newest_first)
+    wanted_pages = pages.where(F.col("page_num") >= 1 if max_pages is None else F.col("page_num").between(1, max_pages))
+    wanted_pages = first_per(wanted_pages, [*call_keys, "page_num"], newest_first)
     called = wanted_pages.groupBy(*call_keys)
     gathered = called.agg(
         F.max(F.when(first, F.col("error_code"))).alias("status_code"),
@@ -46,7 +45,7 @@ def merge_pages(
         "pages",
         lambda p, i: (p["page_num"] == i + 1)
         & (p["page_num"] <= wanted)
-        & (p["page_num"] < F.coalesce("failed_at", F.lit(max_pages + 1))),
+        & F.coalesce(p["page_num"] < F.col("failed_at"), F.lit(True)),
     )
     merged = gathered.where(F.col("status_code").isNotNull()).withColumn("good", good)
     items = F.flatten(F.transform(F.filter("good", lambda p: p["items"].isNotNull()), lambda p: p["items"]))
@@ -68,15 +67,16 @@ def resolve_attempts(
 ) -> DataFrame:
     """Outcome of each call from its attempt log (``attempt, code, payload``).
 
-    The first success ends a call, so does a normal code where the interface stops at those; at most three attempts
-    count, and only one where every query is billed. Without an end the last attempt gives the outcome.
+    The first success ends a call, so does a normal code where the interface stops at those. All attempts of the log count,
+    or just the first where ``retries`` is not true, as every query is billed there. Without an end the last attempt gives
+    the outcome.
     """
-    allowed = F.lit(MAX_ATTEMPTS) if retries is None else F.when(retries, MAX_ATTEMPTS).otherwise(1)
+    counts = F.lit(True) if retries is None else F.coalesce(retries, F.lit(False)) | (F.col("attempt") <= 1)
     ends = F.col("code") == 0
     if normal_codes is not None and stops_at_normal_code is not None:
         ends = ends | (stops_at_normal_code & F.coalesce(F.array_contains(normal_codes, F.col("code")), F.lit(False)))
     outcome = F.struct("attempt", "code", "payload")
-    counted = attempts.where(F.col("attempt") <= allowed).withColumn("_ends", ends)
+    counted = attempts.where(counts).withColumn("_ends", ends)
     resolved = counted.groupBy(*call_keys).agg(
         F.min_by(outcome, F.when(F.col("_ends"), F.col("attempt"))).alias("ended"),
         F.max_by(outcome, "attempt").alias("last"),

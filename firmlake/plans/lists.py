@@ -18,7 +18,7 @@ CUSTOMER_GROUPS = ["Y001-Sold-to party", "Y003-Payer"]
 COMPANY = "公司"
 
 
-def white_list(profiles: DataFrame, before_dt: str, tie: str = "data_create_time",
+def white_list(profiles: DataFrame, before_dt: str, tie: str = "api_record_id",
                provinces: list[str] = EXCLUDED_PROVINCES) -> DataFrame:
     """Companies ever seen in the excluded provinces before a date, with their newest such profile.
 

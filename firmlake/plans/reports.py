@@ -13,7 +13,7 @@ from firmlake.functions import calendar as cal
 from firmlake.functions.values import NO, YES, failure_reason, page_count
 from firmlake.operators.decode import unknown
 from firmlake.operators.latest import first_per
-from firmlake.registry import HALF_YEAR_MONTHS, INTERFACES, MONTHLY_DAY
+from firmlake.registry import HALF_YEAR_MONTHS, INTERFACES, MAX_PAGES, MONTHLY_DAY, PAGE_SIZE
 from firmlake.schemas import company_column
 from firmlake.sources.files import export_csv
 from firmlake.sources.tables import created_between
@@ -67,7 +67,7 @@ def customer_classes(customers: DataFrame) -> DataFrame:
 
 def counted_calls(reported: DataFrame) -> DataFrame:
     """Calls behind each record: its pages for a paged interface, else one."""
-    return reported.withColumn("calls", F.when(F.col("paged"), page_count(F.col("output_result"))).otherwise(F.lit(1)))
+    return reported.withColumn("calls", F.when(F.col("paged"), page_count(F.col("output_result"), PAGE_SIZE, MAX_PAGES)).otherwise(F.lit(1)))
 
 
 def status_counts(records: DataFrame, registry: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 MONTHLY_DAY = 5
 HALF_YEAR_MONTHS = (1, 7)
-MAX_ATTEMPTS = 3
 PAGE_SIZE = 20
 MAX_PAGES = 250
 

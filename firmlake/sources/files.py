@@ -16,7 +16,6 @@ from firmlake.operators.profile import column_profile
 from firmlake.schemas import MANIFEST
 
 SUCCESS = "success"
-MESSAGE_LENGTH = 200
 # fixed values: texts of the change column
 NEW, REMOVED, UNCHANGED, NOT_A_COUNT = "新增", "移除", "-", "类型异常"
 
@@ -89,15 +88,20 @@ def load_file(spark: SparkSession, tables: Mapping[str, DataFrame], path: str, f
               processed_at: dt.datetime) -> DataFrame:
     """Load all tables of a file and return its manifest row.
 
-    The row lists every table and the counts of those that could be read. When a table cannot be written the file has
-    failed; the error is recorded, cut to 200 characters.
+    The row lists every table and the counts of those that could be read; where some could not, the status names them. When a
+    table cannot be written, or two tables have the same cleaned name, the file has failed and the error is recorded whole.
     """
     try:
+        targets = [names.table_name(name) for name in tables]
+        if clash := sorted(name for name in tables if targets.count(names.table_name(name)) > 1):
+            raise ValueError(f"tables of one name: {', '.join(clash)}")
         loaded = {name: load_table(df, name, path) for name, df in tables.items()}
         counts = {name: rows for name, rows in loaded.items() if rows is not None}
-        row = (filename, md5, processed_at, ",".join(tables), json.dumps(counts, ensure_ascii=False), SUCCESS)
+        unread = [name for name, rows in loaded.items() if rows is None]
+        status = f"partial: {', '.join(unread)}" if unread else SUCCESS
+        row = (filename, md5, processed_at, ",".join(tables), json.dumps(counts, ensure_ascii=False), status)
     except Exception as error:  # whatever went wrong belongs into the manifest
-        row = (filename, md5, processed_at, "", "", f"failed: {str(error)[:MESSAGE_LENGTH]}")
+        row = (filename, md5, processed_at, "", "", f"failed: {error}")
     return spark.createDataFrame([row], MANIFEST)
 
 
@@ -111,7 +115,8 @@ def last_of_day(manifest: DataFrame) -> DataFrame:
 
 
 def counted_loads(manifest: DataFrame) -> DataFrame:
-    return manifest.where((F.col("status") == SUCCESS) & F.col("table_counts").isNotNull() & (F.col("table_counts") != ""))
+    done = (F.col("status") == SUCCESS) | F.col("status").startswith("partial: ")
+    return manifest.where(done & F.col("table_counts").isNotNull() & (F.col("table_counts") != ""))
 
 
 def previous_load(manifest: DataFrame, tie: str = "md5") -> DataFrame:
@@ -154,7 +159,7 @@ def load_report(manifest: DataFrame) -> DataFrame:
     last = last_of_day(manifest)
     failed = F.col("status") != SUCCESS
     files = last.groupBy("load_date").agg(F.count("*").alias("files"), F.count_if(failed).alias("failed_files"))
-    counts = exploded_counts(last.where(~failed), ["load_date"])
+    counts = exploded_counts(counted_loads(last), ["load_date"])
     rows = counts.groupBy("load_date").agg(F.count("*").alias("tables"), F.sum("row_count").alias("row_count"))
     report = files.join(rows, "load_date", "left").fillna(0, ["tables", "row_count"])
     return report.withColumn("need_alert", F.col("failed_files") > 0)

@@ -77,9 +77,9 @@ def rebuild_snapshot(df: DataFrame, path: str) -> None:
 
 
 def split_log(df: DataFrame, path: str) -> None:
-    """One folder per interface and date, so that writers of different interfaces never meet."""
+    """Adds rows to one folder per interface and date, so that writers of different interfaces never meet."""
     spread = df.hint("rebalance", "interface_key", "dt")
-    spread.write.mode("overwrite").partitionBy("interface_key", "dt").parquet(path)
+    spread.write.mode("append").partitionBy("interface_key", "dt").parquet(path)
 
 
 def migrate_log(shared: DataFrame, registry: DataFrame, dt: str, keep_failures: Sequence[str] = ("1168",)) -> DataFrame:

@@ -199,8 +199,9 @@ def merge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"explode(sequence(1, cast(ceil({CALL_TOTAL} / 20.0) AS int) + 1)) AS page_num",
     )
     item = "transform(sequence(0, cast((o_orderkey + page_num) % 3 AS int)), x -> concat(o_orderkey, '-', page_num, '-', x))"
-    pages = calls.selectExpr("*", f"{PAGE_ERROR} AS error_code", f"{item} AS items")
-    return responses.merge_pages(pages, ["o_orderkey"]).withColumn("items", F.array_join("items", ","))
+    pages = calls.selectExpr("*", f"{PAGE_ERROR} AS error_code", f"{item} AS items", "2 AS at")
+    older = pages.where("(o_orderkey + page_num) % 4 = 0").withColumns({"at": F.lit(1), "error_code": F.lit(9), "items": F.array(F.lit("old"))})
+    return responses.merge_pages(pages.union(older), ["o_orderkey"], [F.col("at").desc()]).withColumn("items", F.array_join("items", ","))
 
 
 ATTEMPT_CODE = "CASE (o_orderkey + attempt * 2) % 5 WHEN 0 THEN 0 WHEN 1 THEN 300000 WHEN 2 THEN -1 ELSE 300004 END"
@@ -390,7 +391,7 @@ SELECT p.o_orderkey, error_code AS status_code, total, coalesce(pages_used, 0)::
   CASE WHEN error_code = 0 THEN items END AS items
 FROM pages p LEFT JOIN used USING (o_orderkey) LEFT JOIN listed USING (o_orderkey) WHERE page_num = 1""",
     "resolve_attempts": f"""WITH tried AS (SELECT o_orderkey, unnest(range(1, o_orderkey % 5 + 2)) AS attempt FROM orders),
-log AS (SELECT *, {ATTEMPT_CODE} AS code FROM tried WHERE attempt <= CASE WHEN o_orderkey % 3 <> 0 THEN 3 ELSE 1 END),
+log AS (SELECT *, {ATTEMPT_CODE} AS code FROM tried WHERE attempt = 1 OR o_orderkey % 3 <> 0),
 ranked AS (SELECT *, CASE WHEN code = 0 OR (o_orderkey % 2 = 0 AND code = 300000) THEN attempt ELSE 100 - attempt END AS place FROM log),
 final AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY place) = 1)
 SELECT o_orderkey, attempt::INTEGER AS attempts, code AS status_code, 'p' || o_orderkey || '-' || attempt AS output_result,

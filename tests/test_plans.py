@@ -82,8 +82,8 @@ def test_call_plan_of_a_targeted_batch_day(spark, customers):
 
 def test_white_list_ignores_a_later_move(spark):
     profiles = spark.createDataFrame(
-        [("a", "hk", "20260101", 1), ("a", "gd", "20260102", 2), ("b", "tw", "20260103", 3), ("c", "gd", "20260101", 1)],
-        "company_name STRING, province_short STRING, dt STRING, data_create_time INT",
+        [("a", "hk", "20260101", 1, 1), ("a", "gd", "20260102", 2, 2), ("b", "tw", "20260103", 3, 3), ("c", "gd", "20260101", 1, 4)],
+        "company_name STRING, province_short STRING, dt STRING, data_create_time INT, api_record_id INT",
     )
     assert [tuple(r)[:3] for r in lists.white_list(profiles, "20260103").collect()] == [(1, "a", "hk")]
 
@@ -137,7 +137,7 @@ def test_merge_pages(spark):
         (3, 1, 300000, None, None), (4, 1, 0, 0, []), (5, 2, 0, 60, [2]),  # no first page: no record
         (6, 1, 0, 60, [1]), (6, 3, 0, 60, [3]),  # stops at the missing page
     ]
-    merged = {r.call: (r.status_code, r.total, r.pages_used, r.items) for r in responses.merge_pages(spark.createDataFrame(rows, PAGE), ["call"]).collect()}
+    merged = {r.call: (r.status_code, r.total, r.pages_used, r.items) for r in responses.merge_pages(spark.createDataFrame(rows, PAGE), ["call"], [F.col("total")]).collect()}
     assert merged == {
         1: (0, 45, 3, [1, 2]), 2: (0, 60, 1, [1]), 3: (300000, None, 0, None), 4: (0, 0, 1, []), 6: (0, 60, 1, [1]),
     }
@@ -145,22 +145,26 @@ def test_merge_pages(spark):
 
 def test_merge_pages_limits_and_repeats(spark):
     pages = spark.range(1, 400).select(F.lit(1).alias("call"), F.col("id").cast("int").alias("page_num"), F.lit(0).alias("error_code"), F.lit(99999).alias("total"), F.array("id").alias("items"))
-    assert responses.merge_pages(pages, ["call"]).first().pages_used == 250
+    order = [F.col("page_num")]
+    assert responses.merge_pages(pages, ["call"], order).first().pages_used == 399  # stored pages are never thrown away
+    assert responses.merge_pages(pages, ["call"], order, max_pages=250).first().pages_used == 250
     repeated = spark.createDataFrame([(1, 1, 0, 5, [1], 1), (1, 1, 9, 5, [2], 2)], PAGE + ", at INT")
-    assert responses.merge_pages(repeated, ["call"], newest_first=[F.col("at").desc()]).first().status_code == 9
+    assert responses.merge_pages(repeated, ["call"], [F.col("at").desc()]).first().status_code == 9
+    twice = spark.createDataFrame([(1, p, 0, 60, [p], at) for p, at in ((1, 1), (1, 2), (2, 1), (3, 1))], PAGE + ", at INT")
+    assert responses.merge_pages(twice, ["call"], [F.col("at").desc()]).first()["items"] == [1, 2, 3]
 
 
 def test_resolve_attempts(spark):
     rows = [
         (1, 1, -1), (1, 2, 0), (1, 3, -1),  # first success
         (2, 1, 300000), (2, 2, 0),  # a normal code ends it
-        (3, 1, -1), (3, 2, -2), (3, 3, 300004), (3, 4, 0),  # three attempts at most
+        (3, 1, -1), (3, 2, -2), (3, 3, 300004), (3, 4, 0),  # a late success counts
         (4, 1, 300004), (4, 2, 0),  # billed per query: one attempt
     ]
     log = spark.createDataFrame([(*r, f"{r[0]}-{r[1]}") for r in rows], "call INT, attempt INT, code INT, payload STRING")
     found = responses.resolve_attempts(log, ["call"], F.array(F.lit(300000)), F.col("call") != 4, F.lit(True))
     assert {r.call: (r.status_code, r.output_result, r.outcome) for r in found.collect()} == {
-        1: (0, "1-2", "SUCCESS"), 2: (300000, "2-1", "FAILED"), 3: (300004, "3-3", "FAILED"), 4: (300004, "4-1", "FAILED"),
+        1: (0, "1-2", "SUCCESS"), 2: (300000, "2-1", "FAILED"), 3: (0, "3-4", "SUCCESS"), 4: (300004, "4-1", "FAILED"),
     }
     plain = responses.resolve_attempts(log, ["call"])
     assert plain.where("call = 2").first().outcome == "SUCCESS"

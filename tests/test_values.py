@@ -100,7 +100,7 @@ def test_money_rounds_half_up(spark, text, amount):
     ],
 )
 def test_page_count(spark, payload, pages):
-    assert evaluate(spark, v.page_count(F.col("j")), j=payload) == pages
+    assert evaluate(spark, v.page_count(F.col("j"), 20, 250), j=payload) == pages
 
 
 @pytest.mark.parametrize(
@@ -147,6 +147,7 @@ def test_clean_names(spark):
     assert evaluate(spark, names.clean_table_name(F.col("c")), c="_Order  Lines (EU)-") == "order_lines_eu"
     assert evaluate(spark, names.clean_column_name(F.col("c")), c=" a;b\t{c}=d/e#") == "a_b_c_d_e"
     assert names.number_repeats(["a", "b", "a", "a"]) == ["a", "b", "a_2", "a_3"]
+    assert names.number_repeats(["a", "a", "a_2", "A", ""]) == ["a", "a_3", "a_2", "A_4", "column"]
     assert names.clean_columns(spark.createDataFrame([(1, 2, 3)], ["a b", "a  b", "c"])).columns == ["a_b", "a_b_2", "c"]
 
 
