@@ -9,13 +9,15 @@ The classes of an anchor are suffixes of one bucket: sorted by the bytes from th
 scan over its common prefixes yields the tree of intervals; in each interval the same scan over the reversed bytes before the
 anchor yields the left extensions. An interval whose members differ on both sides is a maximal repeat with all its occurrences.
 
-A bucket with very many different surroundings is not gathered: its windows are hashed one by one and counted by Spark.
+A bucket with very many different surroundings is not gathered: hashes of groups of its windows are counted by Spark, and only
+groups that some classes share in part are split further.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ LENGTH = 400
 GRAM = 48
 PIECE = 1 << 20  # windows handled at a time in a long text
 PLACES = U64((1 << 21) - 1)
-GATHERED = 512  # classes of a bucket that one task compares; larger buckets are counted by window
+GATHERED = 512  # classes of a bucket that one task compares; larger buckets are counted by groups of windows
+STEPS = (36, 6, 1)  # windows of a group, each a multiple of the next
 
 
 class Powers:
@@ -220,20 +223,56 @@ def _spans(length: int):
     return give_back(run)
 
 
-def _windows(length: int):
+def _pieces(length: int, step: int, above: int):
+    """For each asked group of ``step`` neighbouring windows (by bytes before the anchor, from ``group`` on): hashes of the bytes
+    that all of its windows hold and of all bytes that they cover, the latter unlike any other where the class lacks some windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for r in batch.to_pylist():
-                span, places = r["span"], range(r["width"] + 1)
-                yield pa.RecordBatch.from_pydict({
-                    "key": pa.array([r["key"]] * len(places), pa.binary()), "gram": pa.array([r["gram"]] * len(places), pa.int64()), "n": pa.array([r["n"]] * len(places), pa.int64()),
-                    "start": pa.array([r["at"] - r["before"] + i for i in places], pa.int64()),
-                    "window": pa.array([hashlib.blake2b(span[i : i + length], digest_size=16).digest() for i in places], pa.binary()),
-                })
-
+                high, span = r["before"], r["span"]
+                low = high - r["width"]
+                asked = range(low - low % step, high + 1, step) if r["open"] is None else (g for top in r["open"] for g in range(top, top + above, step) if g + step > low and g <= high)
+                alone = digest(r["key"] + b"%d %d" % (r["at"], high), b"alone")
+                for g in asked:
+                    last = min(g + step - 1, length - GRAM)
+                    own = digest(span[high - last : high + length - g]) if low <= g and last <= high else alone
+                    rows.append((r["key"], r["gram"], r["n"], r["at"], high, g, last, digest(span[high - g : high + length - last]), own))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "gram", "n", "at", "before", "group", "last", "core", "whole"])
+
+    kinds = [pa.binary(), *[pa.int64()] * 6, pa.binary(), pa.binary()]
     return give_back(run)
 
 
+PIECES = "key binary, gram long, n long, at long, before long, group long, last long, core binary, whole binary"
+
+
+def digest(data: bytes, person: bytes = b"") -> bytes:
+    return hashlib.blake2b(data, digest_size=16, person=person).digest()
+
+
+def counted_ranges(spans: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (key, first, last) of the classes of very large buckets, by counting hashes of groups of windows.
+
+    Where two classes agree in all bytes that a group covers, the whole group is repeated; where no other class has the bytes
+    common to its windows, none of it is. Only groups between the two are split, one class for each content of theirs.
+    """
+    one = ["key", "gram", "at", "before"]
+    asked, above, found = spans.withColumn("open", F.lit(None).cast("array<bigint>")), 0, []
+    for step in STEPS:
+        pieces = write_and_read(asked.select(*one, "n", "width", "span", "open").mapInArrow(_pieces(length, step, above), PIECES), "pieces")
+        same = write_and_read(pieces.groupBy("gram", "group", "core", "whole").agg(F.count("*").alias("k"), F.min(F.struct("key", "at", "before")).alias("one")), "contents")
+        repeated = pieces.where("n = 1").join(same.where("k > 1").select("gram", "group", "whole"), ["gram", "group", "whole"])
+        found.append(repeated.select("key", (F.col("at") - F.col("last")).alias("first"), (F.col("at") - F.col("group")).alias("last")))
+        if step > 1:
+            split = same.groupBy("gram", "group", "core").agg(F.count("*").alias("contents")).where("contents > 1").drop("contents")
+            open_groups = same.join(split, ["gram", "group", "core"]).select("one.*", "gram", "group").groupBy(*one).agg(F.collect_list("group").alias("open"))
+            asked, above = spans.join(open_groups, one), step
+    return reduce(DataFrame.union, found)
+
+
 def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, first, last): runs of starts of repeated windows, from texts (doc_id, key, text as bytes); key names equal texts."""
     small_batches(texts.sparkSession)
@@ -250,10 +289,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     asked = texts.join(wanted.withColumnRenamed("doc_id", "d"), (texts["key"] == wanted["key"]) & F.col("doc_id").eqNullSafe(F.col("d"))).select("text", wanted["key"], "wanted")
     spans = write_and_read(asked.mapInArrow(_spans(length), "key binary, gram long, n long, m long, at long, before long, width long, span binary"), "spans")
     small = spans.where(F.col("m") <= GATHERED).repartition("gram").sortWithinPartitions("gram").mapInArrow(_compare(length), RANGES)
-    windows = spans.where(F.col("m") > GATHERED).select("key", "gram", "n", "at", "before", "width", "span").mapInArrow(_windows(length), "key binary, gram long, n long, start long, window binary")
-    windows = write_and_read(windows, "windows")
-    repeated = write_and_read(windows.groupBy("gram", "window").agg(F.count("*").alias("k")).where("k > 1").drop("k"), "repeated")
-    large = windows.where("n = 1").join(repeated, ["gram", "window"]).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
+    large = counted_ranges(spans.where(F.col("m") > GATHERED), length)
     return whole.union(small).union(large)
 
 
