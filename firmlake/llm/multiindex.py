@@ -4,7 +4,7 @@ A unit vector is cut in halves, and each half has a codebook of its own; a pair
 centroids a half give K * K cells. Every vector lives in the cell of its nearest centroids. Its neighbours are looked for in the
 cells nearest to it, in the order of the multi-sequence traversal (both lists of half distances are walked together, smallest
 sum first). How many cells are visited follows from the target recall: on the codebook sample, vectors turned in random
-directions to exactly the wanted cosine must land in a visited cell. Each candidate is verified by its cosine in double precision.
+directions to exactly the wanted cosine must land in a visited cell, or the first vector in one that they visit. Each candidate is verified by its cosine in double precision.
 
 Equal vectors are one class. A cell is cut into blocks of its residents and of its visitors; a block pair is one matrix product
 inside a task and gives back counts and a spanning forest, so that a cell with a third of all vectors is many tasks and no pairs
@@ -75,6 +75,12 @@ class MultiIndex:
         a, b = self._parts(unit)
         return a.argmin(1).astype(np.int64) * len(self.right) + b.argmin(1)
 
+    def ranks(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Place of one cell in the traversal of each vector, from 1 on."""
+        a, b = self._parts(unit)
+        wanted = a[np.arange(len(a)), cells // len(self.right)] + b[np.arange(len(b)), cells % len(self.right)]
+        return np.array([int((a[i][:, None] + b[i][None, :] < wanted[i] - 1e-12).sum()) + 1 for i in range(len(a))])
+
     def visited(self, unit: np.ndarray, most: int | None = None) -> list[np.ndarray]:
         """Cells nearest to each vector, nearest first."""
         most = most or self.visits
@@ -100,11 +106,9 @@ def fit_index(sample: np.ndarray, classes: int, cosine: float, recall: float = T
     turn -= (turn * probes).sum(1)[:, None] * probes
     length = np.linalg.norm(turn, axis=1)[:, None]
     other = cosine * probes + np.sqrt(1 - cosine**2) * np.divide(turn, length, out=np.zeros_like(turn), where=length > 0)
-    # rank of the neighbour's home among the cells of the probe: those with a smaller sum of distances come first
-    a, b = index._parts(probes)
-    home = index.home(other)
-    wanted = a[np.arange(len(a)), home // len(right)] + b[np.arange(len(b)), home % len(right)]
-    order = [int(np.searchsorted(np.sort((a[i][:, None] + b[i][None, :]).ravel()), wanted[i] - 1e-12)) + 1 for i in range(len(a))]
+    # rank of the neighbour's home among the cells of the probe: those with a smaller sum of distances come first. A link is found
+    # where either end visits the other's home, so the better of the two ranks counts
+    order = np.minimum(index.ranks(probes, index.home(other)), index.ranks(other, index.home(probes)))
     visits = int(np.quantile(order, recall, method="higher"))
     return MultiIndex(left, right, max(1, min(visits, MOST_CELLS, len(left) * len(right))))
 
