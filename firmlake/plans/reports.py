@@ -42,14 +42,18 @@ def day_records(records: DataFrame, date: str, next_date: str, partitions: list[
     return created_between(records.where(F.col("dt").isin(partitions)), date, next_date)
 
 
-def reported_records(records: DataFrame, registry: DataFrame, monthly_day: int = MONTHLY_DAY) -> DataFrame:
+def reported_records(records: DataFrame, registry: DataFrame, monthly_day: int = MONTHLY_DAY, initial: bool = False,
+                     half_year_months=HALF_YEAR_MONTHS) -> DataFrame:
     """Records of reported interfaces that sit in the partition of their own business date.
 
-    Copies made later for another partition are thereby left out.
+    Copies made later for another partition are thereby left out. In an initial load, interfaces with half-year months have
+    written the half-year partition.
     """
     settings = registry.where("reported").drop("interface_name")
     dated = records.withColumn("report_date", F.to_date("create_time")).join(F.broadcast(settings), "interface_key")
-    return dated.where(F.col("dt") == cal.run_partition(F.col("report_date"), F.col("frequency"), monthly_day=monthly_day))
+    half_year = F.col("half_year_prepaid") if initial else None
+    own = cal.run_partition(F.col("report_date"), F.col("frequency"), half_year, monthly_day, half_year_months)
+    return dated.where(F.col("dt") == own)
 
 
 def customer_classes(customers: DataFrame) -> DataFrame:
@@ -79,15 +83,16 @@ def status_counts(records: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def call_report(records: DataFrame, customers: DataFrame, registry: DataFrame, dates: DataFrame | None = None,
-                monthly_day: int = MONTHLY_DAY, half_year_months=HALF_YEAR_MONTHS) -> DataFrame:
+                monthly_day: int = MONTHLY_DAY, half_year_months=HALF_YEAR_MONTHS, initial: bool = False) -> DataFrame:
     """Calls, outcomes and billing per business date and reported interface, interfaces without data included.
 
-    ``dates`` (``report_date``) are the business dates to cover; by default those with records.
+    ``dates`` (``report_date``) are the business dates to cover; by default every day from the first record to the last, so
+    that a day on which nothing ran is reported as well.
     """
     code, calls = F.col("status_code"), F.col("calls")
     normal = F.array_contains("normal_codes", code)
     per_company = (
-        counted_calls(reported_records(records, registry, monthly_day))
+        counted_calls(reported_records(records, registry, monthly_day, initial, half_year_months))
         .groupBy("report_date", "interface_key", "input_param")
         .agg(
             F.sum(calls).alias("total"),
@@ -104,7 +109,8 @@ def call_report(records: DataFrame, customers: DataFrame, registry: DataFrame, d
         F.sum(F.col("total") * F.coalesce("prepaid_listings", F.lit(0))).alias("prepaid_calls"),
     )
     if dates is None:
-        dates = records.select(F.to_date("create_time").alias("report_date")).distinct()
+        span = records.agg(F.to_date(F.min("create_time")).alias("first_day"), F.to_date(F.max("create_time")).alias("last_day"))
+        dates = span.select(F.explode(F.sequence("first_day", "last_day")).alias("report_date"))
     # a dozen registry rows for each date
     keys = F.array(*[F.lit(row[0]) for row in INTERFACES])
     settings = F.broadcast(registry.where("reported"))

@@ -84,18 +84,22 @@ def call_plan(
     monthly_day: int = MONTHLY_DAY,
     half_year_months: Sequence[int] = HALF_YEAR_MONTHS,
     new_customers: DataFrame | None = None,
+    initial: bool = False,
 ) -> DataFrame:
     """Open calls of a business date over all interfaces: ``interface_key, dt, name``.
 
     One row per company carries the rules it meets, its listing and the interfaces already called. The interfaces it
     still needs are exploded from that, so no pair is built that is thrown away later and everything shares the
-    shuffle by name. With ``new_customers`` the branch interface runs targeted on those instead of the branch list.
+    shuffle by name. With ``new_customers`` the branch interface runs targeted on those instead of the branch list. An
+    ``initial`` load takes every customer, and interfaces with half-year months write the half-year partition.
     """
     rules = {
         "daily": daily_rule(date, monthly_day),
         "monthly": monthly_rule(date, monthly_day),
         "half_year": monthly_rule(date, monthly_day, half_year_months),
     }
+    if initial:
+        rules = {name: F.lit(True) for name in rules}
     by_name = named(customers).groupBy("name").agg(*[F.bool_or(r).alias(n) for n, r in rules.items()])
     listed = named(branches if new_customers is None else new_customers, "company_name")
     by_list = listed.select(F.col("company_name").alias("name")).distinct().withColumn("on_branch_list", F.lit(True))
@@ -105,7 +109,11 @@ def call_plan(
     writes_to = F.create_map(*[part for f, key in run_dt.items() for part in (F.lit(f), key)])
     frequency_of = F.create_map(*[F.lit(part) for pair in frequency.items() for part in pair])
     own_dt = writes_to[frequency_of[F.col("interface_key")]]
-    # with a literal date the first test prunes the scan to two partitions
+    if initial:
+        run_dt["half_year"] = cal.last_half_year_batch(date, monthly_day, half_year_months)
+        half_year_keys = [row[0] for row in registry if row[12]]
+        own_dt = F.when(F.col("interface_key").isin(half_year_keys), run_dt["half_year"]).otherwise(own_dt)
+    # with a literal date the first test prunes the scan to two or three partitions
     current = records.where(F.col("dt").isin(*run_dt.values()) & (F.col("status_code") == 0) & (F.col("dt") == own_dt))
     # at most one entry per interface
     done = current.groupBy(F.col("input_param").alias("name")).agg(F.collect_set("interface_key").alias("done"))

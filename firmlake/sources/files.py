@@ -28,7 +28,8 @@ def classify_files(listing: DataFrame, manifest: DataFrame, force: bool = False)
     if force:
         return listing.withColumn("state", F.lit("forced"))
     loaded = manifest.where(F.col("status") == SUCCESS).groupBy("filename")
-    last = loaded.agg(F.max_by("md5", "processed_at").alias("loaded_md5"), F.lit(True).alias("known"))
+    # loads of the very same time: the larger md5 counts
+    last = loaded.agg(F.max_by("md5", F.struct("processed_at", "md5")).alias("loaded_md5"), F.lit(True).alias("known"))
     state = (
         F.when(F.col("known").isNull(), "new")
         .when(F.col("loaded_md5") != F.col("md5"), "changed")

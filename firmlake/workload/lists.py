@@ -40,6 +40,7 @@ SQL_MONTHLY = f"(day(run_date) = 5 OR {SQL_NEW})"
 SQL_HALF = f"CASE WHEN day(run_date) = 5 THEN month(run_date) IN (1, 7) OR {SQL_POST_PAID_OR_NEW} ELSE {SQL_NEW} END"
 PLAN_DATE = dt.date(2024, 1, 17)
 BATCH_DATE = dt.date(2024, 1, 5)
+INITIAL_DATE = dt.date(2024, 2, 17)
 
 
 def dated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +97,14 @@ def call_plan_targeted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def call_plan_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An initial load on a day whose monthly and half-year partitions differ."""
+    return scopes.call_plan(
+        customers(spark, sf_dir), branch_names(spark, sf_dir), white(spark, sf_dir), records(spark, sf_dir), INTERFACES,
+        F.lit(INITIAL_DATE), initial=True,
+    )
+
+
 def open_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the log without any success."""
     log = records(spark, sf_dir)
@@ -173,6 +182,7 @@ QUERIES = {
     "scope_listed": scope_listed,
     "call_plan": call_plan,
     "call_plan_targeted": call_plan_targeted,
+    "call_plan_initial": call_plan_initial,
     "open_calls": open_calls,
     "supplementary": supplementary,
     "white_list": white_list,
@@ -185,22 +195,23 @@ QUERIES = {
 }
 
 _active = """SELECT trim(a.accountName) AS company_name, CASE WHEN a.new_ord_payment_new_code = 'Y419' THEN '是' ELSE '否' END AS is_prepaid, a.dt
-  FROM accounts a JOIN account_groups g ON a.new_accountgroup_id = g.new_accountgroupid AND a.dt = g.dt
-  WHERE g.new_name IN ('Y001-Sold-to party', 'Y003-Payer') AND coalesce(a.new_isclosed, false) <> true
-    AND coalesce(a.new_sapcode, '') <> '' AND regexp_matches(trim(a.new_sapcode), '^[0-9]+$')
-    AND coalesce(a.new_dispensercustomer, false) <> true"""
+  FROM accounts a SEMI JOIN (SELECT * FROM account_groups WHERE new_name IN ('Y001-Sold-to party', 'Y003-Payer')) g
+    ON g.dt = a.dt AND g.new_accountgroupid = a.new_accountgroup_id
+  WHERE regexp_full_match(trim(a.new_sapcode), '[0-9]+') AND a.new_dispensercustomer IS NOT TRUE AND a.new_isclosed IS NOT TRUE"""
 _strict = "CASE WHEN day >= make_date(year(day), 7, 5) THEN year(day) || '0704' WHEN day >= make_date(year(day), 1, 5) THEN year(day) || '0104' ELSE (year(day) - 1) || '0704' END"
 
-def plan_sql(date: dt.date, daily_dt: str, monthly_dt: str, branches: str) -> str:
+
+def plan_sql(date: dt.date, daily_dt: str, monthly_dt: str, branches: str, half_year_dt: str | None = None) -> str:
+    """half_year_dt: partition of the half-year interface in an initial load."""
     registry = ", ".join(f"('{r[0]}', '{r[3]}', '{r[10]}', {r[12]})" for r in INTERFACES)
     return f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}, {SQL_RECORDS},
 registry AS (SELECT * FROM (VALUES {registry}) AS r(interface_key, frequency, source, half_year)),
 dated AS (SELECT *, DATE '{date}' AS run_date FROM customers),
 wanted AS (
-  SELECT interface_key, name FROM dated, registry WHERE source = 'customers' AND CASE WHEN half_year THEN {SQL_HALF}
+  SELECT interface_key, name FROM dated, registry WHERE source = 'customers' AND CASE WHEN {half_year_dt is not None} THEN true WHEN half_year THEN {SQL_HALF}
     WHEN frequency = 'daily' THEN {SQL_DAILY} ELSE {SQL_MONTHLY} END
   UNION SELECT interface_key, company_name FROM (SELECT company_name FROM {branches}) b, registry WHERE source = 'branches'),
-placed AS (SELECT interface_key, name, CASE WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) THEN '{monthly_dt}' ELSE '{daily_dt}' END AS dt FROM wanted)
+placed AS (SELECT interface_key, name, CASE WHEN interface_key = 'P51060' THEN '{half_year_dt or monthly_dt}' WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) THEN '{monthly_dt}' ELSE '{daily_dt}' END AS dt FROM wanted)
 SELECT interface_key, dt, name FROM placed p WHERE name NOT IN (SELECT company_name FROM white)
   AND NOT EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.name)"""
 
@@ -219,6 +230,7 @@ SELECT DISTINCT company_name AS name FROM profiles WHERE dt = (SELECT max(dt) FR
     "call_plan_targeted": plan_sql(
         BATCH_DATE, "20240104", "20240104", "(SELECT name AS company_name FROM customers WHERE is_new_customer = '是')"
     ),
+    "call_plan_initial": plan_sql(INITIAL_DATE, "20240216", "20240204", "profiles WHERE company_org_type LIKE '%HIGH%'", "20240104"),
     "open_calls": f"""WITH {SQL_RECORDS}
 SELECT interface_key, dt, input_param AS name FROM records EXCEPT SELECT interface_key, dt, input_param FROM records WHERE status_code = 0""",
     "supplementary": f"""WITH {SQL_CUSTOMERS}, {SQL_WHITE}, {SQL_PROFILES}

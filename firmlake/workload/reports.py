@@ -14,6 +14,8 @@ from firmlake.workload.tables import (
     SQL_LISTINGS,
     SQL_RECORDS,
     SQL_REGISTRY,
+    sql_key,
+    sql_monthly,
     listings,
     quoted,
     records,
@@ -121,11 +123,13 @@ _label = "CASE {0} WHEN 'daily' THEN 'Daily' WHEN 'monthly' THEN 'Monthly' ELSE
 _frequency = f"'账期: ' || {_label.format('post_paid_frequency')} || ' / 预付: ' || {_label.format('prepaid_frequency')}"
 _run_day = "CASE {0} WHEN 'daily' THEN true WHEN 'monthly' THEN day(report_date) = 5 ELSE day(report_date) = 5 AND month(report_date) IN (1, 7) END"
 
-# every record of a report is in the partition of its own date, since the log is derived that way
+_own = f"CASE r.dt WHEN CASE frequency WHEN 'daily' THEN {sql_key('create_time - INTERVAL 1 DAY')} ELSE {sql_monthly('create_time')} END THEN true ELSE false END"
+
+# a record counts where it sits in the partition of its own date; days without any are reported too
 SQL_REPORT = f"""{SQL_RECORDS}, {SQL_REGISTRY}, {SQL_LISTINGS},
 called AS (SELECT r.*, create_time::DATE AS report_date, provider, charge_per_query,
     CASE WHEN paged THEN {_pages.format()} ELSE 1 END AS calls, list_contains(normal_codes, status_code) AS normal
-  FROM records r JOIN registry USING (interface_key) WHERE reported),
+  FROM records r JOIN registry USING (interface_key) WHERE reported AND {_own}),
 outcomes AS (SELECT report_date, interface_key, sum(calls)::BIGINT AS total,
     sum(CASE WHEN status_code = 0 THEN calls ELSE 0 END)::BIGINT AS success,
     sum(CASE WHEN status_code <> 0 AND normal THEN calls ELSE 0 END)::BIGINT AS normal_failure,
@@ -141,7 +145,8 @@ report AS (SELECT report_date, interface_key, interface_name, provider, {_freque
     coalesce(non_prepaid_calls, 0) AS non_prepaid_calls, coalesce(prepaid_calls, 0) AS prepaid_calls,
     {_run_day.format('post_paid_frequency')} AS non_prepaid_run_day, {_run_day.format('prepaid_frequency')} AS prepaid_run_day,
     prepaid_frequency, normal_codes
-  FROM (SELECT DISTINCT create_time::DATE AS report_date FROM records) CROSS JOIN (SELECT * FROM registry WHERE reported)
+  FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY))::DATE AS report_date
+    FROM (SELECT min(create_time)::DATE AS first_day, max(create_time)::DATE AS last_day FROM records) span) CROSS JOIN (SELECT * FROM registry WHERE reported)
   LEFT JOIN outcomes USING (report_date, interface_key) LEFT JOIN classes USING (report_date, interface_key))"""
 _sums = ", ".join(
     f"sum({m})::BIGINT AS {m}"

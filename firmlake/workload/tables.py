@@ -38,6 +38,11 @@ def sql_half_year(date: str) -> str:
 
 # --- call records: one per event --------------------------------------------------------------------------------------
 
+# on every seventh day the calls of a daily and of a monthly interface went through another one
+INTERFACE = "CASE WHEN day(ts) % 7 = 3 AND picked IN ('822', '973') THEN '1114' ELSE picked END"
+# these rows sit in the partition of the monthly batch, whatever their interface
+MISPLACED = "event_id % 17 = 0"
+
 STATUS = """CASE WHEN event_type <> 'error' THEN 0
     WHEN k % 3 = 0 THEN CASE WHEN interface_key = 'P51060' THEN 1021 ELSE 300000 END
     WHEN k % 3 = 1 THEN CASE WHEN interface_key = 'P51060' THEN 1006 ELSE 300006 END
@@ -52,8 +57,10 @@ OUTPUT = """CASE WHEN status_code = 0 THEN concat('{"error_code":0,"reason":"ok"
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     keys = F.array(*[F.lit(k) for k in KEYS])
-    keyed = events.withColumn("interface_key", F.element_at(keys, (F.col("event_id") % len(KEYS) + 1).cast("int")))
-    frequency = F.when(F.col("interface_key").isin(MONTHLY_KEYS), F.lit("monthly")).otherwise(F.lit("daily"))
+    picked = events.withColumn("picked", F.element_at(keys, (F.col("event_id") % len(KEYS) + 1).cast("int")))
+    keyed = picked.withColumn("interface_key", F.expr(INTERFACE))
+    monthly = F.col("interface_key").isin(MONTHLY_KEYS) | F.expr(MISPLACED)
+    frequency = F.when(monthly, F.lit("monthly")).otherwise(F.lit("daily"))
     return (
         keyed.withColumn("status_code", F.expr(STATUS))
         .withColumn("output_result", F.expr(OUTPUT))
@@ -72,13 +79,13 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_RECORDS = f"""
 keyed AS (
-  SELECT *, CAST(props->>'$.k' AS INTEGER) AS k, ([{quoted(KEYS)}])[event_id % {len(KEYS)} + 1] AS interface_key
-  FROM events),
+  SELECT *, CAST(props->>'$.k' AS INTEGER) AS k, {INTERFACE} AS interface_key
+  FROM (SELECT *, ([{quoted(KEYS)}])[event_id % {len(KEYS)} + 1] AS picked FROM events) e),
 coded AS (SELECT *, {STATUS} AS status_code FROM keyed),
 records AS (
   SELECT event_id AS id, interface_key, 'Customer#' || lpad(user_id::VARCHAR, 9, '0') AS input_param, status_code,
     {OUTPUT} AS output_result, ts AS create_time, k,
-    CASE WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) THEN {sql_monthly('ts')}
+    CASE WHEN interface_key IN ({quoted(MONTHLY_KEYS)}) OR {MISPLACED} THEN {sql_monthly('ts')}
          ELSE {sql_key("(ts - INTERVAL 1 DAY)")} END AS dt
   FROM coded)"""
 

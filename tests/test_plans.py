@@ -210,6 +210,26 @@ def test_alerts_and_labels(spark, customers, report):
     assert (totals.total, totals.call_count) == (8, 7)
 
 
+def test_a_day_without_any_record_raises_an_alert(spark, customers, report):
+    later = report.withColumn("create_time", F.col("create_time") + F.expr("INTERVAL 2 DAYS")).withColumn("dt", F.lit("20260607"))
+    full = reports.call_report(report.union(later), customers, interface_registry(spark))
+    found = {str(r.report_date): r.has_missing for r in reports.alert_decision(full).collect()}
+    assert found == {"2026-06-06": True, "2026-06-07": True, "2026-06-08": True}
+    assert reports.call_report(report.limit(0), customers, interface_registry(spark)).count() == 0
+
+
+def test_initial_load(spark, customers):
+    row = (1, "P51060", "post", 0, "{}", dt.datetime(2026, 6, 6), "20260104")
+    log = spark.createDataFrame([row], RECORD)
+    totals = [reports.call_report(log, customers, interface_registry(spark), initial=i).where("interface_key = 'P51060'").first().total for i in (False, True)]
+    assert totals == [0, 1]
+    empty = spark.createDataFrame([], "company_name STRING")
+    plan = scopes.call_plan(customers, empty, empty, log, INTERFACES, F.lit(dt.date(2026, 6, 6)), initial=True)
+    found = {(r.interface_key, r["name"]): r.dt for r in plan.collect()}
+    assert {n for k, n in found if k == "819"} == set(EVERYONE) and {n for k, n in found if k == "P51060"} == set(EVERYONE) - {"post"}
+    assert (found["P51060", "both"], found["967", "both"], found["819", "both"]) == ("20260104", "20260604", "20260605")
+
+
 def test_abnormal_examples(spark):
     payloads = ['{"reason":""}', "broken", '{"msg":"m1"}', '{"reason":"r2"}', '{"reason":"r3"}', '{"reason":"r4"}']
     rows = [(i, "819", f"c{i}", -1, payloads[i % 6], DAY, "20260605") for i in range(15)]
