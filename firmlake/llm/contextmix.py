@@ -36,6 +36,7 @@ MAP = 33  # places of the adaptive map between log odds -8 and 8
 FREQUENT = 200_000  # most base tokens whose counts go to every task; counts of all others are joined
 PRIOR = 0.4
 RUNS = 32
+NODES = mix(np.arange(256, dtype=U64) * GOLDEN)  # added to a context's hash for each of its decisions
 
 
 def decisions(units: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
@@ -55,19 +56,18 @@ def decisions(units: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndar
     total = np.concatenate([[U64(0)], np.cumsum((data.astype(U64) + U64(1)) * powers[place])])
     before = total[np.arange(len(data))] - total[first]
     contexts = [None, None, back[0] | back[1] << 8 | 1 << 24, back[0] | back[1] << 8 | back[2] << 16 | 1 << 25, before ^ (place.astype(U64) << U64(56))]
-    slots = [node, back[0][:, None] << 8 | node]
+    slots, apart = [node, back[0][:, None] << 8 | node], NODES[node]
     for k in (2, 3, 4):
         own = mix(contexts[k].astype(U64) * GOLDEN + U64(k))
-        slots.append((mix(own[:, None] + node.astype(U64)) >> U64(64 - SLOTS[k])).astype(np.int64))
+        slots.append(((own[:, None] + apart) >> U64(64 - SLOTS[k])).view(np.int64))
     return unit, slots, bits, own
 
 
 class Contexts:
-    """Decisions seen in each slot, and how many were 1."""
+    """Decisions seen in each slot, and how many were 1, side by side: one read of a large table fetches both."""
 
-    def __init__(self, beginnings: np.ndarray):
-        self.seen = [np.zeros(1 << b, np.float32) for b in SLOTS]
-        self.ones = [np.zeros(1 << b, np.float32) for b in SLOTS]
+    def __init__(self, beginnings: np.ndarray, kind: type = np.float32):
+        self.counts = [np.zeros((1 << b, 2), kind) for b in SLOTS]
         self.beginnings = beginnings
 
     def begun(self, own: np.ndarray) -> np.ndarray:
@@ -77,29 +77,34 @@ class Contexts:
 
     def add(self, units: list[bytes], counts: np.ndarray) -> None:
         unit, slots, bits, own = decisions(units)
-        weight = np.repeat(counts[unit].astype(float), 8)
-        for k, (table, ones, at) in enumerate(zip(self.seen, self.ones, slots, strict=True)):
-            at = at.ravel()
+        weight, one = np.repeat(counts[unit].astype(float), 8), bits.ravel().astype(bool)
+        for k, (table, at) in enumerate(zip(self.counts, slots, strict=True)):
+            at, w, up = at.ravel(), weight, one
             if k == 4:
-                weight = weight * self.begun(own)
-            table += np.bincount(at, weight, len(table)).astype(np.float32)
-            ones += np.bincount(at, weight * bits.ravel(), len(table)).astype(np.float32)
+                begun = self.begun(own)
+                at, w, up = at[begun], w[begun], up[begun]
+            flat = table.reshape(-1)
+            np.add.at(flat, 2 * at, w)
+            np.add.at(flat, 2 * at[up] + 1, w[up])
 
     def predict(self, slots: list[np.ndarray], so_far: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Log odds of 1 for each context (contexts x decisions) and the gate. own: bits to leave out, where they are counted."""
-        odds, states = [], []
         begun = self.begun(so_far)
-        for c, (seen, ones, at) in enumerate(zip(self.seen, self.ones, slots, strict=True)):
-            n, k = seen[at].ravel().astype(float), ones[at].ravel().astype(float)
+        odds = np.empty((len(SLOTS), len(begun)), np.float32)
+        for c, (table, at) in enumerate(zip(self.counts, slots, strict=True)):
+            both = table.view(np.complex64).reshape(-1).take(at.ravel())
+            n, k = both.real, both.imag
             if c == 4:
                 n, k = n * begun, k * begun
             if own is not None:
-                n, k = n - 1, k - own
-            n, k = np.maximum(n, 0), np.clip(k, 0, np.maximum(n, 0))
-            odds.append(np.log((k + PRIOR) / (n - k + PRIOR)))
-            states.append(np.log2(n + 1))
+                n = np.maximum(n - np.float32(1), 0)
+                k = np.clip(k - own.astype(np.float32), 0, n)
+            np.log((k + np.float32(PRIOR)) / (np.maximum(n - k, 0) + np.float32(PRIOR)), out=odds[c])
+            if c == 3:
+                before = np.log2(n + np.float32(1))
         a, b = STATES
-        return np.clip(np.stack(odds), -12, 12), np.minimum(states[4], a - 1).astype(np.int64) * b + np.minimum(states[3] / 2, b - 1).astype(np.int64)
+        gate = np.minimum(np.log2(n + np.float32(1)), a - 1).astype(np.int64) * b + np.minimum(before / 2, b - 1).astype(np.int64)
+        return np.clip(odds, -12, 12, out=odds), gate
 
 
 class Mixer:
@@ -110,7 +115,7 @@ class Mixer:
         self.steps = 0
 
     def _mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ji->i", self.weights[gate], odds), -16, 16)
+        return np.clip(sum(np.ascontiguousarray(w).take(gate) * own for w, own in zip(self.weights.T, odds, strict=True)), -16, 16)
 
     @staticmethod
     def _place(z: np.ndarray) -> np.ndarray:
@@ -199,17 +204,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tables(beginnings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Contexts(beginnings.value)
+        held = Contexts(beginnings.value, np.float64)
         for batch in batches:
             units, n = batch.column("unit").to_pylist(), batch.column("n").to_numpy()
             at = 0
             for some in portions(units):
                 held.add(some, n[at : at + len(some)])
                 at += len(some)
-        for k, (seen, ones) in enumerate(zip(held.seen, held.ones, strict=True)):
-            for at in range(0, len(seen), CHUNK):
-                if seen[at : at + CHUNK].any():
-                    yield _parts([(k, at, seen[at : at + CHUNK], ones[at : at + CHUNK])])
+        for k, table in enumerate(held.counts):
+            for at in range(0, len(table), CHUNK):
+                seen, ones = table[at : at + CHUNK].astype(np.float32).T
+                if seen.any():
+                    yield _parts([(k, at, seen, ones)])
 
     return give_back(run)
 
@@ -277,9 +283,8 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame, tuple[int, np.ndarray, np
     parts = units.select("unit", "n").mapInArrow(_tables(spark.sparkContext.broadcast(beginnings)), PARTS).repartition("context", "place").mapInArrow(give_back(_added("<f4")), PARTS)
     contexts = Contexts(beginnings)
     for r in parts.toArrow().to_pylist():
-        for table, own in ((contexts.seen, r["seen"]), (contexts.ones, r["ones"])):
-            part = np.frombuffer(own, np.float32)
-            table[r["context"]][r["place"] : r["place"] + len(part)] = part
+        seen, ones = np.frombuffer(r["seen"], np.float32), np.frombuffer(r["ones"], np.float32)
+        contexts.counts[r["context"]][r["place"] : r["place"] + len(seen)] = np.stack([seen, ones], 1)
     sent = spark.sparkContext.broadcast(contexts)
     learnt = units.select("unit", "n").mapInArrow(_learn(sent), PARTS).repartition(RUNS).mapInArrow(_added("<f8"), PARTS)
     mixer = Mixer()
