@@ -1,101 +1,103 @@
 """LM scoring by logistic context mixing, and the base model it is compared with.
 
 A text is scored as its tokens: words with A-Z lower-cased, each closed by an end byte, and one more end byte for the text. Every
-byte is eight binary decisions. Five hashed contexts predict each decision: none, the last one, two and three bytes of the token,
-and the whole token so far where a frequent token begins like that. Their predictions, as log odds, are added up with weights that are gated by how much the two longest
+byte is eight binary decisions. Five contexts predict each decision: none, the last one, two and three bytes of the token, and the
+whole token so far. Their predictions, as log odds, are added up with weights that are gated by how much the two longest
 contexts have seen; an adaptive map of the mixed prediction refines the result. A text's score is the sum over its bits.
 
-Contexts never reach beyond a token, so a token's score depends on the token alone, and the counts of tokens are all that the
-contexts need of the corpus. They are counted over all training texts. Gates and map learn online from every counted token, each
-occurrence predicted from all the others, in parallel runs whose weights are averaged. The model is a fixed number of floats.
+Contexts never reach beyond a token, so a token's score depends on the token alone: each distinct token is scored once, and texts
+look their tokens up. The counts of tokens are all that the contexts need of the corpus; they are counted over all training texts.
+Counts of the short contexts lie in tables, those of two and three bytes hashed, with four slots or more for each counted
+decision. The whole token so far is counted exactly: in byte order, tokens that begin alike lie together, so that a token needs
+just the sums of the runs around it, found in ranges of tokens, and what other ranges add to the runs at the ends of its own.
+Gates and map learn online from every counted token, each occurrence predicted from all the others, in parallel runs whose
+weights are averaged.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmlake.llm.common import GOLDEN, U64, give_back, list_array, mix, small_batches, words_of
 from firmlake.session import write_and_read
 
-SLOTS = (8, 16, 18, 20, 22)  # bits of the table of each context
+SLOTS = (8, 16, 18, 20)  # least bits of the table of each short context
 CHUNK = 1 << 16
 MANY_UNITS = 200_000  # distinct ones that a task counts before it passes them on
 UNITS_AT_ONCE = 4_000
 LEARNT_AT_ONCE = 500
-BEGINNINGS = 24  # bits of the filter of frequent tokens' beginnings
 KNOWN_UNITS = 250_000
+RANGE = (100_000, 1 << 24)  # wanted tokens, and bytes, of a range of tokens in byte order
 STATES = (12, 6)  # how much a context has seen
 MAP = 33  # places of the adaptive map between log odds -8 and 8
-FREQUENT = 200_000  # most base tokens whose counts go to every task; counts of all others are joined
+FREQUENT = 200_000  # most base tokens whose counts and scores go to every task; those of all others are joined
 PRIOR = 0.4
 RUNS = 32
 NODES = mix(np.arange(256, dtype=U64) * GOLDEN)  # added to a context's hash for each of its decisions
 
 
-def decisions(units: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Unit of each byte, slots of each context (bytes x 8), the bits (bytes x 8) and the hash of the unit so far (bytes)."""
+def units_of(text: bytes | None) -> list[bytes]:
+    """The tokens of a text, with a blank, which no token has, for the byte that ends units: so no unit goes on where another ends."""
+    words = words_of(text)
+    return [w.replace(b"\0", b" ") for w in words] if text and b"\0" in text else words
+
+
+def laid_out(units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The bytes with those that close the units, the unit and place of each, and the one, two and three bytes before it."""
     data = np.frombuffer(b"".join(u + b"\0" for u in units), np.uint8)
     sizes = np.array([len(u) + 1 for u in units])
-    unit = np.repeat(np.arange(len(units)), sizes)
-    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    place = np.arange(len(data)) - first
+    place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    padded = np.concatenate([np.zeros(3, np.int64), data.astype(np.int64)])
+    return data, np.repeat(np.arange(len(units)), sizes), place, [np.where(place >= k, padded[3 - k : len(data) + 3 - k], 0) for k in (1, 2, 3)]
+
+
+def decisions(units: list[bytes], sizes: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Unit of each byte, slots of each short context (bytes x 8) in tables of ``sizes`` bits, and the bits (bytes x 8)."""
+    data, unit, _, back = laid_out(units)
     node = (data[:, None].astype(np.int64) | 256) >> np.arange(8, 0, -1)[None, :]
     bits = (data[:, None] >> np.arange(7, -1, -1)[None, :]) & 1
-    padded = np.concatenate([np.zeros(3, np.int64), data.astype(np.int64)])
-    back = [np.where(place >= k, padded[3 - k : len(data) + 3 - k], 0) for k in (1, 2, 3)]
-    powers = np.ones(int(place.max()) + 1 if len(place) else 1, U64)
-    powers[1:] = GOLDEN
-    powers = np.cumprod(powers)
-    total = np.concatenate([[U64(0)], np.cumsum((data.astype(U64) + U64(1)) * powers[place])])
-    before = total[np.arange(len(data))] - total[first]
-    contexts = [None, None, back[0] | back[1] << 8 | 1 << 24, back[0] | back[1] << 8 | back[2] << 16 | 1 << 25, before ^ (place.astype(U64) << U64(56))]
+    contexts = [None, None, back[0] | back[1] << 8 | 1 << 24, back[0] | back[1] << 8 | back[2] << 16 | 1 << 25]
     slots, apart = [node, back[0][:, None] << 8 | node], NODES[node]
-    for k in (2, 3, 4):
+    for k in (2, 3):
         own = mix(contexts[k].astype(U64) * GOLDEN + U64(k))
-        slots.append(((own[:, None] + apart) >> U64(64 - SLOTS[k])).view(np.int64))
-    return unit, slots, bits, own
+        slots.append(((own[:, None] + apart) >> U64(64 - sizes[k])).view(np.int64))
+    return unit, slots, bits
 
 
 class Contexts:
     """Decisions seen in each slot, and how many were 1, side by side: one read of a large table fetches both."""
 
-    def __init__(self, beginnings: np.ndarray, kind: type = np.float32):
-        self.counts = [np.zeros((1 << b, 2), kind) for b in SLOTS]
-        self.beginnings = beginnings
-
-    def begun(self, own: np.ndarray) -> np.ndarray:
-        """For each decision: does a frequent token begin like the unit so far?"""
-        at = own >> U64(64 - BEGINNINGS)
-        return np.repeat(self.beginnings[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1, 8).astype(bool)
+    def __init__(self, sizes: tuple[int, ...] = SLOTS, kind: type = np.float32):
+        self.sizes = sizes
+        self.counts = [np.zeros((1 << b, 2), kind) for b in sizes]
 
     def add(self, units: list[bytes], counts: np.ndarray) -> None:
-        unit, slots, bits, own = decisions(units)
-        weight, one = np.repeat(counts[unit].astype(float), 8), bits.ravel().astype(bool)
-        for k, (table, at) in enumerate(zip(self.counts, slots, strict=True)):
-            at, w, up = at.ravel(), weight, one
-            if k == 4:
-                begun = self.begun(own)
-                at, w, up = at[begun], w[begun], up[begun]
-            flat = table.reshape(-1)
-            np.add.at(flat, 2 * at, w)
-            np.add.at(flat, 2 * at[up] + 1, w[up])
-
-    def predict(self, slots: list[np.ndarray], so_far: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of 1 for each context (contexts x decisions) and the gate. own: bits to leave out, where they are counted."""
-        begun = self.begun(so_far)
-        odds = np.empty((len(SLOTS), len(begun)), np.float32)
-        for c, (table, at) in enumerate(zip(self.counts, slots, strict=True)):
-            both = table.view(np.complex64).reshape(-1).take(at.ravel())
-            n, k = both.real, both.imag
-            if c == 4:
-                n, k = n * begun, k * begun
+        unit, slots, bits = decisions(units, self.sizes)
+        weight, up = np.repeat(counts[unit].astype(float), 8), bits.ravel().astype(bool)
+        for table, at in zip(self.counts, slots, strict=True):
+            at, flat = at.ravel(), table.reshape(-1)
+            np.add.at(flat, 2 * at, weight)
+            np.add.at(flat, 2 * at[up] + 1, weight[up])
+
+    def predict(self, slots: list[np.ndarray], far: tuple[np.ndarray, np.ndarray], own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of 1 for each context (contexts x decisions) and the gate. far: how often the whole unit so far was seen at each
+        decision, and with a 1; own: bits to leave out, where they are counted."""
+        odds = np.empty((len(self.sizes) + 1, len(far[0])), np.float32)
+        for c in range(len(odds)):
+            if c < len(slots):
+                both = self.counts[c].view(np.complex64).reshape(-1).take(slots[c].ravel())
+                n, k = both.real, both.imag
+            else:
+                n, k = (x.astype(np.float32) for x in far)
             if own is not None:
                 n = np.maximum(n - np.float32(1), 0)
                 k = np.clip(k - own.astype(np.float32), 0, n)
@@ -107,6 +109,160 @@ class Contexts:
         return np.clip(odds, -12, 12, out=odds), gate
 
 
+def shared_bits(a: bytes, b: bytes) -> int:
+    """Bits that two closed units have in common at their beginnings."""
+    size = min(len(a), len(b))
+    differ = np.frombuffer(a, np.uint8, size) ^ np.frombuffer(b, np.uint8, size)
+    at = int((differ != 0).argmax()) if size else 0
+    return 8 * size if not size or not differ[at] else 8 * at + 8 - int(differ[at]).bit_length()
+
+
+def shared_with_previous(units: list[bytes]) -> np.ndarray:
+    """``shared_bits`` of each unit with the one before it; 0 for the first."""
+    shared = np.zeros(len(units), np.int64)
+    data, _, place, _ = laid_out(units)
+    data = data.astype(np.int64)
+    first = np.flatnonzero(place == 0)
+    least = np.minimum(np.diff(first), np.diff(np.append(first, len(data)))[1:])
+    going = np.arange(1, len(units))
+    for at in range(64):
+        ended = least[going - 1] == at
+        shared[going[ended]] = 8 * at
+        going = going[~ended]
+        differ = data[first[going] + at] ^ data[first[going - 1] + at]
+        other = differ > 0
+        shared[going[other]] = 8 * at + 7 - np.log2(differ[other]).astype(np.int64)
+        going = going[~other]
+        if not len(going):
+            break
+    for i in going:
+        shared[i] = shared_bits(units[i - 1] + b"\0", units[i] + b"\0")
+    return shared
+
+
+def weights_by(shared: np.ndarray, n: np.ndarray) -> dict[int, int]:
+    found, at = np.unique(shared, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, at, n)
+    return dict(zip(found.tolist(), total.tolist(), strict=True))
+
+
+def runs_of(units: list[bytes], n: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
+    """Of distinct units in byte order: how often all units that share a unit's first bits were counted, as (offsets, upto, weight),
+    where a weight holds for up to so many bits; and the bits that each unit shares with the first and the last one."""
+    shared, whole = shared_with_previous(units), np.array([8 * len(u) + 8 for u in units])
+    left = np.minimum.accumulate(np.append(whole[:1], shared[1:]))
+    right = np.minimum.accumulate(np.append(whole[-1:], shared[:0:-1]))[::-1]
+    most = np.maximum(shared, np.append(shared[1:], 0))
+    who, upto, weight = [], [], []
+    # one run of units at first, cut where less is shared; units that share nothing further drop out
+    going, last = np.arange(len(units)), -1
+    for level in np.unique(shared[1:]).tolist():
+        going = going[most[going] >= level]
+        start = shared[going] <= last
+        start[0] = True
+        group = np.cumsum(start) - 1
+        total = np.add.reduceat(n[going], np.flatnonzero(start))
+        who.append(going)
+        upto.append(np.full(len(going), level))
+        weight.append(total[group])
+        last = level
+    who, upto, weight = np.concatenate([*who, np.arange(len(units))]), np.concatenate([*upto, whole]), np.concatenate([*weight, n])
+    order = np.argsort(who, kind="stable")
+    who, upto, weight = who[order], upto[order], weight[order]
+    again = np.append((who[1:] == who[:-1]) & (weight[1:] == weight[:-1]), False)
+    who, upto, weight = who[~again], upto[~again], weight[~again]
+    return (np.searchsorted(who, np.arange(len(units) + 1)), upto, weight), left, right
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``runs_of`` a task's units, and in a last row what other ranges need to know of it and the runs of four bytes in it."""
+    tables = [b for b in batches if b.num_rows]
+    if not tables:
+        return
+    rows = pa.Table.from_batches(tables).combine_chunks()
+    units, n = rows.column("unit").to_pylist(), rows.column("n").to_numpy()
+    part = TaskContext.get().partitionId()
+    (offsets, upto, weight), left, right = runs_of(units, n)
+    for at in range(0, len(units), UNITS_AT_ONCE):
+        end = min(at + UNITS_AT_ONCE, len(units))
+        own = pa.array(offsets[at : end + 1] - offsets[at], pa.int32())
+        some = rows.slice(at, end - at).combine_chunks()
+        some = [some.column(c).chunk(0) for c in ("unit", "token", "n")]
+        inner = slice(offsets[at], offsets[end])
+        yield pa.RecordBatch.from_arrays(
+            [*some, pa.array(np.full(end - at, part), pa.int32()), pa.array(left[at:end], pa.int64()), pa.array(right[at:end], pa.int64()),
+             pa.ListArray.from_arrays(own, pa.array(upto[inner], pa.int64())), pa.ListArray.from_arrays(own, pa.array(weight[inner], pa.int64())),
+             pa.nulls(end - at, pa.binary()), pa.nulls(end - at, pa.list_(pa.int64()))],
+            names=RANGED_NAMES,
+        )
+    found = np.empty(0, np.int64)
+    for some in portions([u for u, k in zip(units, n.tolist(), strict=True) if k], 10 * UNITS_AT_ONCE):
+        data, _, _, back = laid_out(some)
+        found = np.union1d(found, data.astype(np.int64) | back[0] << 8 | back[1] << 16 | back[2] << 24)
+    ends = pickle.dumps((units[0] + b"\0", units[-1] + b"\0", weights_by(left, n), weights_by(right, n)))
+    last = [None] * 3 + [part] + [None] * 4 + [ends, found.tolist()]
+    kinds = [pa.binary(), *[pa.int64()] * 2, pa.int32(), *[pa.int64()] * 2, *[pa.list_(pa.int64())] * 2, pa.binary(), pa.list_(pa.int64())]
+    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(last, kinds, strict=True)], names=RANGED_NAMES)
+
+
+RANGED = "unit binary, token long, n long, part int, left long, right long, upto array<long>, weight array<long>, ends binary, four array<long>"
+RANGED_NAMES = [c.split(" ")[0] for c in RANGED.split(", ")]
+
+
+def beyond(ranges: list[tuple[int, tuple]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each range (number, what it told): how often units of the ranges before it share so many bits or more with its first
+    unit, and those of the ranges after it with its last."""
+    ranges = sorted(ranges, key=lambda r: r[1][0])
+    out: dict[int, list[np.ndarray]] = {number: [] for number, _ in ranges}
+
+    def carried(told: dict[int, int], outside: dict[int, int], through: int, across: int) -> dict[int, int]:
+        total: Counter = Counter()
+        for shared, k in told.items():
+            total[min(shared, across)] += k
+        for shared, k in outside.items():
+            total[min(shared, through, across)] += k
+        return dict(total)
+
+    def sums(by: dict[int, int]) -> np.ndarray:
+        dense = np.zeros(max(by, default=-1) + 1, np.int64)
+        for shared, k in by.items():
+            dense[shared] += k
+        return dense[::-1].cumsum()[::-1]
+
+    for step in (1, -1):
+        outside: dict[int, int] = {}
+        ordered = ranges[::step]
+        for i, (number, own) in enumerate(ordered):
+            if i:
+                first, last, by_first, by_last = before = ordered[i - 1][1]
+                pair = (before[1], own[0]) if step == 1 else (own[1], before[0])
+                outside = carried(by_last if step == 1 else by_first, outside, shared_bits(first, last), shared_bits(*pair))
+            out[number].append(sums(outside))
+    return {number: (a, b) for number, (a, b) in out.items()}
+
+
+def far_counts(batch: pa.RecordBatch, others: dict[int, tuple[np.ndarray, np.ndarray]], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often the whole unit so far was seen at each decision of the batch's units, and with a 1."""
+    lists, upto = batch.column("upto"), batch.column("upto").flatten().to_numpy()
+    sizes = np.diff(lists.offsets.to_numpy())
+    first = np.cumsum(sizes) - sizes
+    run = np.diff(upto, prepend=0)
+    run[first] = upto[first] + 1
+    seen = np.repeat(batch.column("weight").flatten().to_numpy(), run)
+    values = upto[first + sizes - 1] + 1  # one more than the unit's decisions
+    unit = np.repeat(np.arange(len(values)), values)
+    level = np.arange(len(unit)) - np.repeat(np.cumsum(values) - values, values)
+    part = batch.column("part").to_numpy()
+    for number in np.unique(part).tolist():
+        for more, shared in zip(others[number], ("left", "right"), strict=True):
+            reach = np.where(part == number, np.minimum(batch.column(shared).to_numpy(), len(more) - 1), -1)
+            at = np.flatnonzero(level <= reach[unit])
+            seen[at] += more[level[at]]
+    here = np.flatnonzero(level < values[unit] - 1)
+    return seen[here], np.where(bits.ravel() == 1, seen[here + 1], seen[here] - seen[here + 1])
+
+
 class Mixer:
     def __init__(self):
         self.weights = np.tile([0.0, 0.0, 0.1, 0.3, 0.6], (STATES[0] * STATES[1], 1))
@@ -127,9 +283,9 @@ class Mixer:
         self.steps += 1
         rate = 1 / self.steps**0.4
         error, curve = weight * (bits - p), weight * p * (1 - p)
-        for k in range(len(SLOTS)):
+        for k in range(len(odds)):
             up = np.bincount(gate, error * odds[k], len(self.weights))
-            bend = np.bincount(gate, curve * odds[k] ** 2 * len(SLOTS), len(self.weights))
+            bend = np.bincount(gate, curve * odds[k] ** 2 * len(odds), len(self.weights))
             self.weights[:, k] += rate * up / (bend + weight.mean() * 5)
         at = node * MAP + self._place(z)
         self.seen += np.bincount(at, weight, 256 * MAP).reshape(256, MAP)
@@ -142,29 +298,6 @@ class Mixer:
         return np.log10(np.where(bits == 1, p, 1 - p))
 
 
-class Model:
-    def __init__(self, contexts: Contexts, mixer: Mixer):
-        self.contexts, self.mixer = contexts, mixer
-        self.known: dict[bytes, float] = {}
-
-    def __getstate__(self):
-        return {**self.__dict__, "known": {}}
-
-    def scores(self, units: set[bytes]) -> dict[bytes, float]:
-        """log10 probability of each unit."""
-        out = {}
-        new = [u for u in units if u not in self.known]
-        for some in portions(new):
-            unit, slots, bits, own = decisions(some)
-            odds, gate = self.contexts.predict(slots, own)
-            per_bit = self.mixer.log10(odds, gate, slots[0].ravel(), bits.ravel())
-            out.update(zip(some, np.bincount(unit, per_bit.reshape(-1, 8).sum(1), len(some)).tolist(), strict=True))
-        known = {u: self.known[u] for u in units if u not in out}
-        if len(self.known) < KNOWN_UNITS:
-            self.known.update(out)
-        return {**known, **out}
-
-
 def portions(units: list[bytes], most: int = UNITS_AT_ONCE) -> Iterator[list[bytes]]:
     """Units in portions of a bounded number of bytes; a longer unit goes alone."""
     some, held = [], 0
@@ -185,6 +318,7 @@ def token_key(token: bytes) -> int:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units of all texts, counted in those that are learnt from."""
     units = Counter()
 
     def some() -> pa.RecordBatch:
@@ -193,24 +327,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pydict(rows)
 
     for batch in batches:
-        for text in batch.column("text"):
-            units.update(words_of(text.as_py()))
-            units[b""] += 1
+        for text, learnt in zip(batch.column("text"), batch.column("learnt").to_pylist(), strict=True):
+            own = units_of(text.as_py())
+            if learnt:
+                units.update(own)
+                units[b""] += 1
+            else:
+                for word in {b"", *own}:
+                    units.setdefault(word, 0)
         if len(units) > MANY_UNITS:
             yield some()
     if units:
         yield some()
 
 
-def _tables(beginnings):
+def pieces(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """A batch's units in portions, with their rows."""
+    at = 0
+    for some in portions(batch.column("unit").to_pylist(), most):
+        yield some, batch.slice(at, len(some))
+        at += len(some)
+
+
+def _tables(sizes: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Contexts(beginnings.value, np.float64)
+        held = Contexts(sizes, np.float64)
         for batch in batches:
-            units, n = batch.column("unit").to_pylist(), batch.column("n").to_numpy()
-            at = 0
-            for some in portions(units):
-                held.add(some, n[at : at + len(some)])
-                at += len(some)
+            for some, rows in pieces(batch, UNITS_AT_ONCE):
+                held.add(some, rows.column("n").to_numpy())
         for k, table in enumerate(held.counts):
             for at in range(0, len(table), CHUNK):
                 seen, ones = table[at : at + CHUNK].astype(np.float32).T
@@ -220,14 +364,6 @@ def _tables(beginnings):
     return give_back(run)
 
 
-def beginnings_of(units: list[bytes]) -> np.ndarray:
-    """Bits of the hashes of all beginnings of the units."""
-    bits = np.zeros(1 << BEGINNINGS, bool)
-    for some in portions(units):
-        bits[decisions(some)[3] >> U64(64 - BEGINNINGS)] = True
-    return np.packbits(bits, bitorder="little")
-
-
 def _parts(rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
         "context": pa.array([r[0] for r in rows], pa.int32()), "place": pa.array([r[1] for r in rows], pa.int32()),
@@ -254,42 +390,76 @@ def _added(kind: str):
     return run
 
 
-def _learn(contexts):
+def _learn(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, others = sent.value
         mixer, total = Mixer(), 0.0
         for batch in batches:
-            units, n, at = batch.column("unit").to_pylist(), batch.column("n").to_numpy().astype(float), 0
-            for some in portions(units, LEARNT_AT_ONCE):
-                unit, slots, bits, own = decisions(some)
-                odds, gate = contexts.value.predict(slots, own, bits.ravel())
-                weight = np.repeat(n[at : at + len(some)][unit], 8)
+            for some, rows in pieces(batch, LEARNT_AT_ONCE):
+                unit, slots, bits = decisions(some, contexts.sizes)
+                odds, gate = contexts.predict(slots, far_counts(rows, others, bits), bits.ravel())
+                weight = np.repeat(rows.column("n").to_numpy().astype(float)[unit], 8)
                 mixer.learn(odds, gate, slots[0].ravel(), bits.ravel(), weight)
                 total += weight.sum()
-                at += len(some)
         if total:
             yield _parts([(0, 0, mixer.weights.ravel() * total, np.array([total])), (1, 0, mixer.seen.ravel(), mixer.ones.ravel())])
 
     return give_back(run)
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame, tuple[int, np.ndarray, np.ndarray]]:
-    """The model, the tokens' counts (token: key, n) and the frequent ones (see below), from the column ``text`` (bytes, not null) of the training texts."""
+def _judge(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, others, mixer = sent.value
+        for batch in batches:
+            for some, rows in pieces(batch, UNITS_AT_ONCE):
+                unit, slots, bits = decisions(some, contexts.sizes)
+                odds, gate = contexts.predict(slots, far_counts(rows, others, bits))
+                per_bit = mixer.log10(odds, gate, slots[0].ravel(), bits.ravel())
+                value = np.bincount(unit, per_bit.reshape(-1, 8).sum(1), len(some))
+                yield pa.RecordBatch.from_arrays([rows.column("token"), rows.column("n"), pa.array(value, pa.float64())], names=["token", "n", "value"])
+
+    return give_back(run)
+
+
+def table_sizes(four: DataFrame) -> tuple[int, ...]:
+    """Bits of each table, for four slots or more per distinct counted decision; from the runs of four bytes (four)."""
+    node = F.explode(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda k: F.call_function("shiftright", F.col("four").bitwiseAND(255).bitwiseOR(256), k))).alias("node")
+    nodes = four.distinct().select(F.shiftright("four", 8).alias("before"), node).distinct()
+    longest = nodes.count()
+    middle = nodes.select(F.col("before").bitwiseAND(0xFFFF), "node").distinct().count()
+    return (*SLOTS[:2], *(max(least, (4 * n - 1).bit_length()) for least, n in zip(SLOTS[2:], (middle, longest), strict=True)))
+
+
+def in_ranges(units: DataFrame) -> DataFrame:
+    """Rows of ``RANGED`` for the distinct units (unit, token, n)."""
+    n, size = units.agg(F.count("*"), F.coalesce(F.sum(F.length("unit")), F.lit(0))).first()
+    ranges = max(1, -(-n // RANGE[0]), -(-size // RANGE[1]))
+    return write_and_read(units.repartitionByRange(ranges, "unit").sortWithinPartitions("unit").mapInArrow(give_back(_ranges), RANGED), "ranges")
+
+
+def train(texts: DataFrame) -> DataFrame:
+    """Count and score (token: key, n, value: log10 of the probability) of each distinct token of ``texts`` (text: bytes, not null; learnt)."""
     spark = texts.sparkSession
     small_batches(spark)
-    counted = texts.select("text").mapInArrow(give_back(_count), "unit binary, n long")
+    counted = texts.select("text", "learnt").mapInArrow(give_back(_count), "unit binary, n long")
     units = write_and_read(counted.groupBy("unit").agg(F.sum("n").alias("n")).select("unit", F.xxhash64("unit").alias("token"), "n"), "counts")
-    least, often = frequent(units)
-    beginnings = beginnings_of(often.column("unit").to_pylist())
-    parts = units.select("unit", "n").mapInArrow(_tables(spark.sparkContext.broadcast(beginnings)), PARTS).repartition("context", "place").mapInArrow(give_back(_added("<f4")), PARTS)
-    contexts = Contexts(beginnings)
+    ranged = in_ranges(units)
+    others = beyond([(r.part, pickle.loads(r.ends)) for r in ranged.where("ends is not null").select("part", "ends").collect()])
+    sizes = table_sizes(ranged.where("ends is not null").select(F.explode("four").alias("four")))
+    learnt = units.where("n > 0").select("unit", "n")
+    parts = learnt.mapInArrow(_tables(sizes), PARTS).repartition("context", "place").mapInArrow(give_back(_added("<f4")), PARTS)
+    contexts = Contexts(sizes)
     for r in parts.toArrow().to_pylist():
         seen, ones = np.frombuffer(r["seen"], np.float32), np.frombuffer(r["ones"], np.float32)
         contexts.counts[r["context"]][r["place"] : r["place"] + len(seen)] = np.stack([seen, ones], 1)
-    sent = spark.sparkContext.broadcast(contexts)
-    learnt = units.select("unit", "n").mapInArrow(_learn(sent), PARTS).repartition(RUNS).mapInArrow(_added("<f8"), PARTS)
+    rows = ranged.where("ends is null").select("unit", "token", "n", "part", "left", "right", "upto", "weight")
+    sent = spark.sparkContext.broadcast((contexts, others))
+    # in an order that has nothing to do with the bytes, as the weights follow what comes last
+    dealt = rows.where("n > 0").repartition(RUNS, "token").sortWithinPartitions("token")
+    runs = dealt.mapInArrow(_learn(sent), PARTS)
     mixer = Mixer()
     weights, mass, seen, ones = np.zeros(mixer.weights.size), 0.0, np.zeros(mixer.seen.size), np.zeros(mixer.seen.size)
-    for r in learnt.collect():
+    for r in runs.collect():
         a, b = np.frombuffer(r["seen"], "<f8"), np.frombuffer(r["ones"], "<f8")
         if r["context"] == 0:
             weights, mass = weights + a, mass + b[0]
@@ -298,7 +468,8 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame, tuple[int, np.ndarray, np
     if mass:
         mixer.weights = (weights / mass).reshape(mixer.weights.shape)
         mixer.seen, mixer.ones = seen.reshape(mixer.seen.shape), ones.reshape(mixer.ones.shape)
-    return Model(contexts, mixer), units.select("token", "n"), (least, often.column("token").to_numpy(), often.column("n").to_numpy())
+    model = spark.sparkContext.broadcast((contexts, others, mixer))
+    return write_and_read(rows.mapInArrow(_judge(model), "token long, n long, value double"), "scores")
 
 
 def frequent(tokens: DataFrame, most: int = FREQUENT) -> tuple[int, pa.Table]:
@@ -314,19 +485,18 @@ def frequent(tokens: DataFrame, most: int = FREQUENT) -> tuple[int, pa.Table]:
     return least, tokens.where(F.col("n") >= least).toArrow()
 
 
-def _score(model, table, denominator: float):
+def _score(table, denominator: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, (keys, n) = model.value, table.value
-        known = dict(zip(keys.tolist(), n.tolist(), strict=True))
+        keys, n, value = table.value
+        known = dict(zip(keys.tolist(), zip(n.tolist(), value.tolist(), strict=True), strict=True))
         hashes: dict[bytes, int] = {}
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
-            found = [Counter(words_of(t)) for t in texts]
-            values = scorer.scores(set().union([b""], *found))
-            n_tokens, n_known, base, rare, rare_n = [], [], [], [], []
-            for own in found:
+            n_tokens, n_known, base, score, rare, rare_n = [], [], [], [], [], []
+            for text in texts:
+                own = Counter(units_of(text))
                 own[b""] = 1
-                seen, times, cold, cold_n = [], [], [], []
+                seen, values, times, cold, cold_n = [], [], [], [], []
                 for word, k in own.items():
                     key = hashes.get(word)
                     if key is None:
@@ -338,16 +508,18 @@ def _score(model, table, denominator: float):
                         cold.append(key)
                         cold_n.append(k)
                     else:
-                        seen.append(c)
+                        seen.append(c[0])
+                        values.append(c[1])
                         times.append(k)
                 n_tokens.append(own.total())
-                n_known.append(sum(times))
+                n_known.append(sum(k for k, c in zip(times, seen, strict=True) if c))
                 base.append(float(np.array(times, float) @ np.log10((np.array(seen, float) + 0.1) / denominator)) if seen else 0.0)
+                score.append(float(np.array(times, float) @ np.array(values, float)) if seen else 0.0)
                 rare.append(np.array(cold, np.int64))
                 rare_n.append(np.array(cold_n, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array([sum(values[u] * k for u, k in c.items()) for c in found], pa.float64()), pa.array([len(t) for t in texts], pa.int64()), list_array(rare), list_array(rare_n)],
+                 pa.array(score, pa.float64()), pa.array([len(t) for t in texts], pa.int64()), list_array(rare), list_array(rare_n)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare", "rare_n"],
             )
 
@@ -368,17 +540,17 @@ def score(docs: DataFrame, folds: int = 10) -> DataFrame:
     spark = docs.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
     rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    model, tokens, (least, keys, n) = train(rows.where("doc_id is not null and not held_out"))
-    total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    tokens = train(rows.withColumn("learnt", F.expr("doc_id is not null and not held_out")))
+    total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     denominator = total + 0.1 * (distinct + 1)
-    sent, table = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast((keys, n))
-    scored = write_and_read(rows.mapInArrow(_score(sent, table, denominator), SCORED), "scored").withColumn("row", F.monotonically_increasing_id())
+    least, often = frequent(tokens)
+    table = spark.sparkContext.broadcast(tuple(often.column(c).to_numpy() for c in ("token", "n", "value")))
+    scored = write_and_read(rows.mapInArrow(_score(table, denominator), SCORED), "scored").withColumn("row", F.monotonically_increasing_id())
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("one")).select("row", F.col("one.rare").alias("token"), F.col("one.rare_n").alias("k"))
-    counts = tokens.where(F.col("n") < least)
-    joined = rare.join(counts, "token", "left").withColumn("c", F.coalesce("n", F.lit(0)))
+    joined = rare.join(tokens.where(F.col("n") < least), "token", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     cost = F.col("k") * F.log10((F.col("c") + 0.1) / denominator)
-    added = joined.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(cost).alias("cost"))
-    result = scored.drop("rare", "rare_n").join(added, "row", "left")
+    added = joined.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(cost).alias("cost"), F.sum(F.col("k") * F.col("value")).alias("value"))
+    result = scored.drop("rare", "rare_n").join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("value", F.lit(0.0)))
     return result.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("cost", F.lit(0.0))).alias("base_score"), "score",

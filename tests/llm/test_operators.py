@@ -304,3 +304,44 @@ def test_context_mixing(spark, texts):
         assert r.base_score == pytest.approx(base) and r.score < 0
         assert r.held_out == (d is not None and zlib.crc32(str(d).encode()) % 10 == 0)
     assert got[20].bits_per_byte < 4 and contextmix.score(document_frame(spark, [])).count() == 0
+
+
+def test_rare_tokens_score_as_if_all_were_frequent(spark, texts, monkeypatch):
+    docs = document_frame(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    found = contextmix.frequent
+    score = lambda: {r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in contextmix.score(docs).collect()}
+    want = score()
+    monkeypatch.setattr(contextmix, "frequent", lambda tokens: found(tokens, 20))
+    got = score()
+    assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d], rel=1e-4) for d in want)
+
+
+@pytest.mark.parametrize("wanted", [1000, 9])
+def test_whole_units_so_far_are_counted_exactly(spark, monkeypatch, wanted):
+    chance = random.Random(1)
+    long = b"q" * 90
+    units = list({bytes(chance.choices(b" abc\xc3", k=chance.randrange(7))) for _ in range(150)} | {long + bytes([x]) for x in range(97, 101)} | {long, long[:40]})
+    n = {u: chance.randrange(4) for u in units}
+    monkeypatch.setattr(contextmix, "RANGE", (wanted, 1 << 24))
+    rows = contextmix.in_ranges(spark.createDataFrame([(bytearray(u), i, n[u]) for i, u in enumerate(units)], "unit binary, token long, n long"))
+    told = [(r.part, contextmix.pickle.loads(r.ends)) for r in rows.where("ends is not null").collect()]
+    assert (len(told) > 5) == (wanted == 9)
+    others = contextmix.beyond(told)
+    coded = {u: "".join(f"{x:08b}" for x in u + b"\0") for u in units}
+    seen_units = set()
+    for batch in rows.where("ends is null").drop("ends", "four").toArrow().to_batches():
+        for some, own in contextmix.pieces(batch, 7):
+            seen, ones = contextmix.far_counts(own, others, contextmix.decisions(some, contextmix.SLOTS)[2])
+            begins = [coded[u][:i] for u in some for i in range(len(coded[u]))]
+            assert seen.tolist() == [sum(n[u] for u in units if coded[u].startswith(b)) for b in begins]
+            assert ones.tolist() == [sum(n[u] for u in units if coded[u].startswith(b + "1")) for b in begins]
+            seen_units.update(some)
+    assert seen_units == set(units)
+    four = rows.where("ends is not null").select(F.explode("four").alias("four"))
+    runs = {(b"\0\0\0" + u + b"\0")[i : i + 4] for u in units if n[u] for i in range(len(u) + 1)}
+    assert {int(r.four).to_bytes(4, "big") for r in four.distinct().collect()} == runs
+
+
+def test_tables_of_short_contexts_grow_with_what_is_counted(spark):
+    four = spark.range(1 << 17).select((F.col("id") * 256 + F.pmod(F.hash("id"), F.lit(256))).alias("four"))
+    assert contextmix.table_sizes(four)[3] == 22 and contextmix.table_sizes(four.limit(5)) == contextmix.SLOTS
