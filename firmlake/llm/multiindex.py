@@ -3,8 +3,10 @@
 A unit vector is cut in halves, and each half has a codebook of its own; a pair of centroids is a cell of the product grid, so K
 centroids a half give K * K cells. Every vector lives in the cell of its nearest centroids. Its neighbours are looked for in the
 cells nearest to it, in the order of the multi-sequence traversal (both lists of half distances are walked together, smallest
-sum first). How many cells are visited follows from the target recall: on the codebook sample, vectors turned in random
-directions to exactly the wanted cosine must land in a visited cell, or the first vector in one that they visit. Each candidate is verified by its cosine in double precision.
+sum first). How many cells are visited follows from the target recall: of vectors that the codebooks were not trained on, drawn
+by hash as well, copies turned in random directions to exactly the wanted cosine must land in a visited cell, or the first vector
+in one that they visit. Visits are raised up to that number, if need be to all cells. The training sample grows with the
+codebooks. Each candidate is verified by its cosine in double precision.
 
 Equal vectors are one class. A cell is cut into blocks of its residents and of its visitors; a block pair is one matrix product
 inside a task and gives back counts and a spanning forest, so that a cell with a third of all vectors is many tasks and no pairs
@@ -24,12 +26,13 @@ from pyspark.sql import functions as F
 from firmlake.llm.common import components, draw, give_back
 from firmlake.session import write_and_read
 
-SAMPLE = 8192  # vectors that the codebooks and the number of visited cells are fitted on, drawn by hash
+SAMPLE = 8192  # least vectors that the codebooks are trained on, drawn by hash
+POINTS = 64  # least ones for a centroid, so 65,536 vectors at most
+PROBES = 2048  # other vectors, that the number of visited cells is fitted on; at most a fifth of all
 PER_CELL = 24  # classes wanted in a cell
 CENTROIDS = (4, 1024)  # least and most of a half
 ROUNDS = 12
 TARGET_RECALL = 0.99
-MOST_CELLS = 4096  # visited by one vector, and never more than the grid has
 BLOCK = 512
 
 
@@ -38,7 +41,7 @@ def fit_codebook(points: np.ndarray, k: int, seed: int) -> np.ndarray:
     chance = np.random.default_rng(seed)
     centres = points[chance.choice(len(points), min(k, len(points)), replace=False)].copy()
     for _ in range(ROUNDS):
-        near = half_distances(points, centres).argmin(1)
+        near = np.concatenate([half_distances(points[at : at + 4096], centres).argmin(1) for at in range(0, len(points), 4096)])
         n = np.bincount(near, minlength=len(centres))
         total = np.zeros_like(centres)
         np.add.at(total, near, points)
@@ -93,15 +96,28 @@ class MultiIndex:
         return out
 
 
+def centroids(classes: int) -> int:
+    """Of a half, for about ``PER_CELL`` classes a cell."""
+    return int(np.clip(round(np.sqrt(classes / PER_CELL)), *CENTROIDS))
+
+
+def sample_size(classes: int) -> int:
+    """Vectors to draw: those to train on and the probes."""
+    return max(SAMPLE, POINTS * centroids(classes)) + PROBES
+
+
 def fit_index(sample: np.ndarray, classes: int, cosine: float, recall: float = TARGET_RECALL) -> MultiIndex:
-    """Codebooks for about ``PER_CELL`` classes a cell, and the visits that reach ``recall`` at ``cosine``."""
-    k = int(np.clip(round(np.sqrt(classes / PER_CELL)), *CENTROIDS))
+    """Codebooks for about ``PER_CELL`` classes a cell, and the visits that reach ``recall`` at ``cosine`` on vectors held out from them."""
+    k = centroids(classes)
     cut = max(1, sample.shape[1] // 2)
-    left = fit_codebook(sample[:, :cut], k, 1)
-    right = fit_codebook(sample[:, cut:], k, 2) if sample.shape[1] > cut else np.zeros((1, 0))
-    index = MultiIndex(left, right, 1)
     chance = np.random.default_rng(3)
-    probes = sample[chance.choice(len(sample), min(400, len(sample)), replace=False)]
+    dealt = chance.permutation(len(sample))
+    held = min(PROBES, len(sample) // 5)
+    # of fewer than five vectors none can be held out
+    probes, points = (sample[dealt[:held]], sample[dealt[held:]]) if held else (sample, sample)
+    left = fit_codebook(points[:, :cut], k, 1)
+    right = fit_codebook(points[:, cut:], k, 2) if sample.shape[1] > cut else np.zeros((1, 0))
+    index = MultiIndex(left, right, 1)
     turn = chance.normal(size=probes.shape)
     turn -= (turn * probes).sum(1)[:, None] * probes
     length = np.linalg.norm(turn, axis=1)[:, None]
@@ -109,8 +125,10 @@ def fit_index(sample: np.ndarray, classes: int, cosine: float, recall: float = T
     # rank of the neighbour's home among the cells of the probe: those with a smaller sum of distances come first. A link is found
     # where either end visits the other's home, so the better of the two ranks counts
     order = np.minimum(index.ranks(probes, index.home(other)), index.ranks(other, index.home(probes)))
-    visits = int(np.quantile(order, recall, method="higher"))
-    return MultiIndex(left, right, max(1, min(visits, MOST_CELLS, len(left) * len(right))))
+    # a share of so many probes is uncertain: two standard errors more than wanted
+    sure = min(1.0, recall + 2 * np.sqrt(recall * (1 - recall) / len(order)))
+    visits = int(np.quantile(order, sure, method="higher"))
+    return MultiIndex(left, right, max(1, min(visits, len(left) * len(right))))
 
 
 def unit_rows(values: list[np.ndarray]) -> np.ndarray:
@@ -194,7 +212,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, recall: floa
     found = None
     for size, n in sorted((r["size"], r["n"]) for r in sizes):
         own = classes.where(F.size("vector") == size)
-        sample = draw(own, SAMPLE, "id").select("vector").toArrow()
+        sample = draw(own, sample_size(n), "id").select("vector").toArrow()
         unit = unit_rows([np.asarray(v.values) for v in sample.column("vector").combine_chunks()])
         part = _links(own, fit_index(unit, n, cosine, recall), cosine)
         found = part if found is None else found.union(part)

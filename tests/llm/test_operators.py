@@ -159,6 +159,18 @@ def test_multi_sequence_visits_the_nearest_cells_first():
     assert np.allclose([a[i] + b[j] for i, j in multiindex.multi_sequence(a, b, 20)], want)
 
 
+@pytest.mark.parametrize("k", [32, 64])
+def test_visited_cells_reach_the_recall_on_vectors_not_fitted_on(k):
+    chance = np.random.default_rng(k)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    classes = k * k * multiindex.PER_CELL
+    index = multiindex.fit_index(unit(chance.normal(size=(8192, 64))), classes, 0.9)
+    one, turn = unit(chance.normal(size=(2000, 64))), chance.normal(size=(2000, 64))
+    other = 0.9 * one + np.sqrt(1 - 0.9**2) * unit(turn - (turn * one).sum(1)[:, None] * one)
+    ranks = np.minimum(index.ranks(one, index.home(other)), index.ranks(other, index.home(one)))
+    assert (ranks <= index.visits).mean() >= 0.985
+
+
 def test_mix(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 37)), f"s{i % 3}") for i in range(600)]
     rows += [(None, "a b", None), (None, "a b", None), (5000, None, "empty"), (5001, "", "empty"), (5002, "x " * 4000, "s0")]
