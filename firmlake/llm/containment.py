@@ -4,7 +4,8 @@ The smallest hash of an item under a random permutation belongs to one of its sh
 that shingle with the probability of its containment, whatever the document's own length. An item is therefore kept as the
 shingles that hold its minima under ``MINIMA`` permutations, and the items are partitioned by size in powers of two: a document
 looks up the minima of those partitions only whose items it is long enough to contain. Items with enough minima in the document
-are candidates, and each is confirmed on the full sets of shingles.
+are candidates, and each is confirmed on the full sets of shingles. An item of fewer words than a shingle is looked up among the
+document's runs of as many words, one pass for each such number of words in the block.
 
 A signature of the document itself, as used to index short sets, cannot work here: an item of 30 shingles inside a document of
 20,000 has a Jaccard similarity of 0.0015, and no feasible number of bands would find it.
@@ -47,8 +48,12 @@ class ItemIndex:
         known = WordHashes()
         self.words, self.percent = words, percent
         self.ids, self.sets = [], []
+        short: dict[int, dict[int, list[int | None]]] = {}
         for number, text in items:
-            if len(found := shingle_set(known.of(words_of(text)), words)):
+            own = known.of(words_of(text))
+            if 0 < len(own) < words:
+                short.setdefault(len(own), {}).setdefault(int(shingles(own, words)[0]), []).append(number)
+            elif len(found := shingle_set(own, words)):
                 self.ids.append(number)
                 self.sets.append(found)
         self.need = needed_hits(minima, percent, miss)
@@ -66,9 +71,17 @@ class ItemIndex:
             bits = np.zeros(1 << FILTER_BITS, bool)
             bits[flat[order] >> U64(64 - FILTER_BITS)] = True
             self.partitions.append((least, flat[order], item[order], bits))
-
-    def find(self, hashes: np.ndarray) -> list[tuple[int | None, int, int]]:
-        """(item, its shingles, shared shingles) of the items that a text with these shingles contains."""
+        #: number of words, hashes in order and the items of each
+        self.short = [(size, np.sort(np.fromiter(by, U64, len(by))), by) for size, by in sorted(short.items())]
+
+    def find(self, text: np.ndarray) -> list[tuple[int | None, int, int]]:
+        """(item, its shingles, shared shingles) of the items that a text with these hashes of words contains."""
+        out = []
+        for size, values, by in self.short:
+            if len(text) >= size:
+                for value in np.intersect1d(values, shingles(text, size)).tolist():
+                    out += [(number, 1, 1) for number in by[value]]
+        hashes = shingles(text, self.words)
         hits: dict[int, int] = {}
         for least, values, items, bits in self.partitions:
             if len(hashes) < least:
@@ -77,7 +90,7 @@ class ItemIndex:
             for a, b in zip(np.searchsorted(values, likely, "left"), np.searchsorted(values, likely, "right"), strict=True):
                 for i in items[a:b].tolist():  # an item's shingle may be its minimum more than once, and counts as often
                     hits[i] = hits.get(i, 0) + 1
-        out, own = [], None
+        own = None
         for i in sorted(i for i, n in hits.items() if n >= self.need):
             own = np.unique(hashes) if own is None else own
             shared = len(np.intersect1d(self.sets[i], own, assume_unique=True))
@@ -94,7 +107,7 @@ def _finder(items: list[tuple[int | None, bytes]], words: int, percent: int):
         index, known = ItemIndex(items, words, percent), WordHashes()
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_item_shingles", pa.int64()), ("n_shared", pa.int64())]))
         rows = [
-            [{"item_id": i, "n_item_shingles": n, "n_shared": k} for i, n, k in index.find(shingles(known.of(words_of(text.as_py())), words))]
+            [{"item_id": i, "n_item_shingles": n, "n_shared": k} for i, n, k in index.find(known.of(words_of(text.as_py())))]
             for text in texts
         ]
         return pa.array(rows, kind)
@@ -123,7 +136,7 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, percent:
     """(doc_id, item_id, n_item_shingles, n_shared, containment): each document with each item that it contains.
 
     An item is contained when ``percent`` of its distinct shingles of ``words`` words are in the document; an item with fewer words
-    is one shingle and is found only in a text of the same words. Null and blank texts contain nothing and are contained nowhere;
+    is one shingle, contained where a text has its words in a row. Null and blank texts contain nothing and are contained nowhere;
     ids may be null; repeated rows of either table are reported each. Other columns are ignored.
     """
     text = F.col("text").cast("binary")

@@ -159,6 +159,16 @@ def test_multi_sequence_visits_the_nearest_cells_first():
     assert np.allclose([a[i] + b[j] for i, j in multiindex.multi_sequence(a, b, 20)], want)
 
 
+def test_items_shorter_than_a_shingle_are_found_in_longer_texts(spark):
+    texts = ["x y A b c z q", "a b", "a b c", "b c", "a x b c y w v u", "c", None, " ", "c a b c d"]
+    items = [(1, "a B c"), (2, "c"), (3, "b c"), (4, "a b"), (None, "b c"), (6, "a b c d"), (7, "a x b c y")]
+    docs, table = document_frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string")
+    want = Counter((d, i) for d, t in enumerate(texts) for i, item in items if f" {item.lower()} " in f" {(t or '').lower()} ")
+    for block_bytes in (8 << 20, 1):
+        found = containment.contained_items(docs, table, block_bytes=block_bytes).collect()
+        assert Counter((r.doc_id, r.item_id) for r in found) == want and {(r.n_item_shingles, r.n_shared) for r in found} == {(1, 1)}
+
+
 @pytest.mark.parametrize("k", [32, 64])
 def test_visited_cells_reach_the_recall_on_vectors_not_fitted_on(k):
     chance = np.random.default_rng(k)
