@@ -49,7 +49,7 @@ STAGES = [
     ("token_ids", write_token_ids),
 ]
 
-#: SQL expresses neither the fitted model nor the tokenizer; tests/llm holds the stages against brute force
+#: SQL expresses neither the fitted model nor the tokenizer; tests/llm holds the stages, toxicity aside, against brute force
 ORACLE_SQL = None
 
 
