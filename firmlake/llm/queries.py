@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmlake.llm import containment, contextmix, dac, minhash, mixing, multiindex, repeats, reputation, toxicity, warc
+from firmlake.llm import containment, contextmix, crosstok, dac, hardnegatives, licenses, minhash, mixing, multiindex, repeats, reputation, toxicity, warc
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -83,9 +83,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector bears the label after its own."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.aligned_documents(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op5_repeats, op6_context_mixing, op7_mixing, op8_archives, op9_tokens, op10_toxicity)
+    for f in (
+        op1_decontamination, op2_embeddings, op3_url_filters, op4_near_duplicates, op5_repeats, op6_context_mixing, op7_mixing, op8_archives, op9_tokens, op10_toxicity,
+        op11_licenses, op12_hard_negatives, op13_alignment,
+    )
 }
 
 #: A-Z lower-cased, then words
@@ -104,7 +121,39 @@ def _shrink(children: str, strength: str) -> str:
     return f"""{strength} AS (SELECT 1 / greatest(1e-4, least(0.99, coalesce({rho}, 1e-4))) - 1 k FROM {children})"""
 
 
+def _places(phrase: str) -> str:
+    """SQL of the places, from 0, where the phrase's words stand in the list w."""
+    words = phrase.split(" ")
+    met = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words, 1))
+    return f"list_filter(range(0, greatest(len(w) - {len(words) - 1}, 0)), lambda i: {met})"
+
+
+_TEMPLATES = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+_ALNUM = _WORDS.replace(r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
 ORACLE = {
+    "op11_licenses": f"""
+        WITH d AS (SELECT doc_id, {_ALNUM.format("coalesce(text, '')")} w FROM documents),
+        t AS (SELECT n, label, list_distinct(x) tokens, CAST(pow(2, ceil(log2(len(x)))) AS BIGINT) span
+            FROM (SELECT n, label, {_ALNUM.format("text")} x FROM (VALUES {_TEMPLATES}) v(n, label, text))),
+        b AS (SELECT doc_id, span, s, w[s + 1:s + 2 * span] x FROM (SELECT doc_id, w, span, unnest(range(0, len(w), span)) s FROM d, (SELECT DISTINCT span FROM t))),
+        m AS (SELECT doc_id, label, len(list_intersect(tokens, list_distinct(x))) / len(tokens) c FROM b JOIN t USING (span) WHERE 100 * len(list_intersect(tokens, list_distinct(x))) >= {licenses.PERCENT} * len(tokens)),
+        g AS (SELECT doc_id, list(DISTINCT label) met, max(c) c FROM m GROUP BY doc_id),
+        p AS (SELECT doc_id, w, {_places("mit license")} mit, {_places("apache license")} apache, {_places("general public license")} gpl FROM d),
+        q AS (SELECT doc_id, w, list_concat(list_concat(mit, apache), gpl) places,
+            list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) base FROM p)
+        SELECT doc_id, len(w) AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word, array_to_string(base, ',') AS base_labels,
+            array_to_string(list_sort(list_distinct(list_concat(base, coalesce(met, [])))), ',') AS labels,
+            CASE WHEN len(base) > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score
+        FROM q LEFT JOIN g USING (doc_id)""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id a, b.vec_id b, a.label = b.label same, list_dot_product(a.e, b.e)::BIGINT x FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY x DESC, b) <= 5),
+        n AS (SELECT p.a, p.b, p.x, s.b nb, s.x nx, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.x DESC, s.b) r
+            FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.x <= 100 * s.x AND s.x <= p.x QUALIFY r <= 5)
+        SELECT a AS anchor_id, b AS positive_id, CAST(r AS INT) AS rank, nb AS negative_id, x AS positive_score, nx AS negative_score FROM n""",
     "op2_embeddings": """
         WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] e, sqrt(list_dot_product(e, e)) n FROM embeddings),
         links AS (SELECT a.vec_id a, b.vec_id b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.9 * a.n * b.n),

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= registered.queries().keys()
-    assert [int(name.split("_")[0][2:]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name.split("_")[0][2:]) for name in QUERIES] == list(range(1, 14))
 
 
 def test_pipeline(spark):
