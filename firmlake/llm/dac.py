@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmlake.llm import files
+from firmlake.llm import files, pieces
 from firmlake.llm.common import give_back, small_batches
 from firmlake.session import write_and_read
 
@@ -32,7 +32,7 @@ WIDTHS = (12, 4, 8, 8)  # 32 bits in all; ids below 4096 take one chunk
 BLOCK = 512
 IDS_PER_FILE = 2_000_000  # a file closes after the document that reaches it
 TEXT_AT_ONCE = 8 << 20  # bytes of text tokenized together; a longer document goes alone
-KNOWN_PIECES = 200_000
+KNOWN_PIECES = 500_000
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
@@ -142,78 +142,50 @@ class Codes:
 
 
 class Pieces:
-    """Ids of texts by way of their pieces.
-
-    A byte-level pre-tokenizer never lets a token cross from a visible character to the single blank after it, so a text may be cut
-    before each such blank and the pieces encoded on their own; texts with a blank after white space are encoded as they are.
-    """
-
-    ODD = "[\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}] "
+    """Ids of texts by way of their pieces, each distinct one encoded once (see ``pieces``)."""
 
     def __init__(self, tokenizer_file: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.end = np.array([end_id], np.uint32)
+        self.end_id = end_id
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.ones(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.lengths[number] = len(token)  # one character stands for one byte
-        self.known: dict[str, np.ndarray] = {}
+        self.memory = pieces.Memory(KNOWN_PIECES)
         #: strings that the tokenizer cuts out of any text
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def _plain(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _spaced(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each piece with a blank before it; new ones are encoded as one text and told apart by their lengths."""
-        new = [p for p in pieces if p not in self.known]
-        found = {}
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.uint32)
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.cumsum([len(p.encode()) + 1 for p in some])
-            where = np.searchsorted(ends, cuts)
-            if not np.array_equal(ends[where], cuts):
-                raise ValueError("a token crosses a blank")
-            found.update(zip(some, np.split(ids, where[:-1] + 1), strict=True))
-        out = [self.known[p] if p in self.known else found[p] for p in pieces]
-        if len(self.known) < KNOWN_PIECES:
-            self.known.update(found)
-        return out
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _distinct(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces; those that begin with a blank and may be followed by one are encoded together."""
+        joined = pieces.ends_safely(found) & pc.starts_with(found, " ").to_numpy(zero_copy_only=False)
+        for token in self.added:
+            joined &= ~pc.match_substring(found, token).to_numpy(zero_copy_only=False)
+        some = found.filter(pa.array(joined))
+        sizes = np.diff(pieces.buffers_of(some)[0])
+        ids = pieces.ids_of_joined(self._plain, some.to_pylist(), sizes, self.lengths)
+        return pieces.merge_parts(joined, ids, pieces.flat_ids(self._plain(found.filter(pa.array(~joined)).to_pylist())))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and the number of ids of each text."""
-        odd = pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False).astype(bool)
-        for token in self.added:
-            odd |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False).astype(bool)
-        whole: list[np.ndarray | None] = [None] * len(texts)
-        for i, ids in zip(np.flatnonzero(odd).tolist(), self._plain(texts.filter(pa.array(odd)).to_pylist()), strict=True):
-            whole[i] = ids
-        even = np.flatnonzero(~odd)
-        if len(even):
-            lists = pc.split_pattern(texts.take(pa.array(even)), " ")
-            offsets = lists.offsets.to_numpy()
-            coded = lists.values.dictionary_encode()
-            codes, first = coded.indices.to_numpy().astype(np.int64), offsets[:-1]
-            heads = self._plain(lists.values.take(pa.array(first)).to_pylist())
-            tails = self._spaced(coded.dictionary.to_pylist())
-            sizes = np.array([len(t) for t in tails], np.int64)
-            starts, flat = np.cumsum(sizes) - sizes, np.concatenate(tails)
-            keep = np.ones(len(codes), bool)
-            keep[first] = False
-            codes, per = codes[keep], np.diff(offsets) - 1
-            n = sizes[codes]
-            ends = np.cumsum(n)
-            picked = flat[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
-            for k, i in enumerate(even.tolist()):
-                whole[i] = np.concatenate([heads[k], picked[bounds[k] : bounds[k + 1]]])
-        parts = [x for ids in whole for x in (ids, self.end)]
-        return (np.concatenate(parts) if parts else np.empty(0, np.uint32)), np.array([len(x) + 1 for x in whole], np.int64)
+        if not len(texts):
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        found, per_text = pieces.cut(texts)
+        coded = found.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        ids, counts = self.memory.ids(coded.dictionary, self._distinct)
+        starts, n = np.cumsum(counts) - counts, counts[codes]
+        sizes = np.diff(np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(per_text)])]) + 1
+        out = np.full(int(sizes.sum()), self.end_id, np.uint32)
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(sizes) - 1] = False
+        out[inside] = ids[pieces.expand(starts[codes], n)]
+        return out, sizes
 
 
 def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -234,8 +206,8 @@ _PIECES: dict[tuple[str, int], Pieces] = {}  # kept by a worker from task to tas
 
 def _write(folder: str, tokenizer_file: str, end_id: int, ids_per_file: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _PIECES.setdefault((tokenizer_file, end_id), None) or Pieces(tokenizer_file, end_id)
-        _PIECES[tokenizer_file, end_id] = pieces
+        encoder = _PIECES.setdefault((tokenizer_file, end_id), None) or Pieces(tokenizer_file, end_id)
+        _PIECES[tokenizer_file, end_id] = encoder
         part, made = TaskContext.get().partitionId(), 0
         ids, docs, lengths, held = [], [], [], 0
 
@@ -248,7 +220,7 @@ def _write(folder: str, tokenizer_file: str, end_id: int, ids_per_file: int):
         for batch in batches:
             texts, numbers = pc.fill_null(batch.column("text"), ""), batch.column("doc_id").to_pylist()
             for a, b in slices(texts, TEXT_AT_ONCE):
-                some, sizes = pieces.encode(texts.slice(a, b - a))
+                some, sizes = encoder.encode(texts.slice(a, b - a))
                 ids.append(some)
                 lengths.append(sizes)
                 docs += numbers[a:b]
