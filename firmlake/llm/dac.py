@@ -32,7 +32,7 @@ WIDTHS = (12, 4, 8, 8)  # 32 bits in all; ids below 4096 take one chunk
 BLOCK = 512
 IDS_PER_FILE = 2_000_000  # a file closes after the document that reaches it
 TEXT_AT_ONCE = 8 << 20  # bytes of text tokenized together; a longer document goes alone
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 2_000_000  # about 60 MB a worker
 
 
 def pack(values: np.ndarray, width: int) -> bytes:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 
 
 def blanks_to_cut(data: np.ndarray) -> np.ndarray:
@@ -13,16 +14,17 @@ def blanks_to_cut(data: np.ndarray) -> np.ndarray:
     space beyond ASCII lies in U+0085, U+00A0, U+1680, U+2000 to U+205F and U+3000: characters of two bytes from 0xC3 on, of three
     bytes that begin with 0xE0 or 0xE4 to 0xED, and of four bytes are none.
     """
-    at = np.flatnonzero(data == 0x20)
-    at = at[at > 0]
+    at = np.flatnonzero(data[1:] == 0x20) + 1
     before = data[at - 1]
     safe = (before > 0x20) & (before < 0x7F)
-    back = lambda n: np.where(at >= n, data[np.maximum(at - n, 0)], 0)
+    odd = np.flatnonzero(before >= 0x80)
+    places = at[odd]
+    back = lambda n: np.where(places >= n, data[np.maximum(places - n, 0)], 0)
     two, three, four = back(2), back(3), back(4)
-    follows = before >= 0x80
-    safe |= follows & (two >= 0xC3) & (two <= 0xDF)
-    safe |= follows & (two & 0xC0 == 0x80) & ((three == 0xE0) | ((three >= 0xE4) & (three <= 0xED)))
-    safe |= follows & (two & 0xC0 == 0x80) & (three & 0xC0 == 0x80) & (four >= 0xF0)
+    good = (two >= 0xC3) & (two <= 0xDF)
+    good |= (two & 0xC0 == 0x80) & ((three == 0xE0) | ((three >= 0xE4) & (three <= 0xED)))
+    good |= (two & 0xC0 == 0x80) & (three & 0xC0 == 0x80) & (four >= 0xF0)
+    safe[odd] = good
     return at[safe]
 
 
@@ -38,10 +40,15 @@ def buffers_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The pieces of all texts in order, and the number of pieces of each; an empty text is one empty piece."""
     offsets, data = buffers_of(texts)
-    at = blanks_to_cut(data)
-    at = at[~np.isin(at, offsets)]
-    starts = np.sort(np.concatenate([offsets[:-1], at]), kind="stable")
+    first = np.zeros(len(data) + 1, bool)
+    first[blanks_to_cut(data)] = True
+    first[offsets] = False
+    at = np.flatnonzero(first)
     counts = np.diff(np.searchsorted(at, offsets)) + 1
+    starts = np.empty(len(at) + len(texts), np.int64)
+    heads = np.zeros(len(starts), bool)
+    heads[np.cumsum(counts) - counts] = True
+    starts[heads], starts[~heads] = offsets[:-1], at
     edges = np.append(starts, offsets[-1]).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data.tobytes())])
     return found, counts
@@ -54,7 +61,9 @@ def ends_safely(pieces: pa.Array) -> np.ndarray:
     place = np.arange(len(data)) + np.repeat(np.arange(len(pieces)), np.diff(offsets))
     with_blank[place] = data
     blanks = offsets[1:] + np.arange(len(pieces))
-    return np.isin(blanks, blanks_to_cut(with_blank)) & (np.diff(offsets) > 0)
+    cuts = np.zeros(len(with_blank), bool)
+    cuts[blanks_to_cut(with_blank)] = True
+    return cuts[blanks] & (np.diff(offsets) > 0)
 
 
 def expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -95,31 +104,47 @@ def flat_ids(listed: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Memory:
-    """Ids of the first ``limit`` distinct pieces, frequent ones among them, so that later batches do not encode them again."""
+    """Ids of the first ``limit`` distinct pieces, frequent ones among them, so that later batches do not encode them again.
+
+    A piece is known by two independent 64-bit hashes, about 30 bytes with its ids.
+    """
 
     def __init__(self, limit: int):
-        self.limit, self.place = limit, {}
-        self.starts, self.counts, self.flat, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.empty(4096, np.uint32), 0
+        self.limit = limit
+        self.keys, self.checks = np.empty(0, np.uint64), np.empty(0, np.uint64)  # ascending keys
+        self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.flat, self.size = np.empty(1 << 16, np.uint32), 0
 
     def ids(self, distinct: pa.Array, encode) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the distinct pieces; ``encode`` gives those of the ones that are not held yet."""
-        listed = distinct.to_pylist()
-        at = np.fromiter((self.place.get(p, -1) for p in listed), np.int64, len(listed))
-        held = at >= 0
-        new = encode(distinct.filter(pa.array(~held)))
-        known = self.flat[expand(self.starts[at[held]], self.counts[at[held]])], self.counts[at[held]]
-        ids, counts = merge_parts(held, known, new)
-        starts = np.cumsum(counts) - counts
-        for i in np.flatnonzero(~held)[: self.limit - len(self.place)].tolist():
-            self._keep(listed[i], ids[starts[i] : starts[i] + counts[i]])
-        return ids, counts
-
-    def _keep(self, piece: str, ids: np.ndarray) -> None:
-        n = len(self.place)
-        if n == len(self.starts):
-            self.starts, self.counts = np.resize(self.starts, 2 * n), np.resize(self.counts, 2 * n)
-        while self.size + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.size : self.size + len(ids)] = ids
-        self.place[piece], self.starts[n], self.counts[n] = n, self.size, len(ids)
-        self.size += len(ids)
+        values = distinct.to_numpy(zero_copy_only=False)
+        keys, checks = (hash_array(values, hash_key=k, categorize=False) for k in ("firmlake-pieces1", "firmlake-pieces2"))
+        at = np.searchsorted(self.keys, keys)
+        held = np.zeros(len(keys), bool)
+        inside = np.flatnonzero(at < len(self.keys))
+        held[inside] = (self.keys[at[inside]] == keys[inside]) & (self.checks[at[inside]] == checks[inside])
+        if held.all():
+            new = np.empty(0, np.uint32), np.empty(0, np.int64)
+        else:
+            new = encode(distinct.filter(pa.array(~held)))
+        known = at[held]
+        counts = self.counts[known].astype(np.int64)
+        out = merge_parts(held, (self.flat[expand(self.starts[known], counts)], counts), new)
+        self._keep(keys[~held], checks[~held], *new)
+        return out
+
+    def _keep(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        n = min(len(keys), self.limit - len(self.keys))
+        if n <= 0:
+            return
+        starts, total = np.cumsum(counts) - counts, int(counts[:n].sum())
+        if self.size + total > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.size], np.empty(total + len(self.flat), np.uint32)])
+        self.flat[self.size : self.size + total] = ids[:total]
+        every = np.concatenate([self.keys, keys[:n]])
+        order = np.argsort(every, kind="stable")
+        self.keys = every[order]
+        self.checks = np.concatenate([self.checks, checks[:n]])[order]
+        self.starts = np.concatenate([self.starts, self.size + starts[:n]])[order]
+        self.counts = np.concatenate([self.counts, counts[:n].astype(np.int32)])[order]
+        self.size += total
