@@ -57,18 +57,42 @@ def reported_records(records: DataFrame, registry: DataFrame, monthly_day: int =
 
 
 def customer_classes(customers: DataFrame) -> DataFrame:
-    """Per name, how many distinct listings it has in each class (a name can be in several)."""
+    """Per name, how many distinct listings it has in each class (a name can be in several).
+
+    Listings with a ``dt`` are counted per partition, so a name may change its class from one to the next.
+    """
+    keys = ["dt", "name"] if "dt" in customers.columns else ["name"]
     flag = F.col("is_prepaid")
     seen = lambda test: F.max(F.when(test, 1).otherwise(0))
     # other flag texts are a few at most, and a missing flag is one more
     others = F.collect_set(F.when(~flag.isin(YES, NO), flag))
-    return customers.groupBy("name").agg(
+    return customers.groupBy(*keys).agg(
         seen(flag == NO).alias("post_paid_listings"),
         seen(flag == YES).alias("prepaid_listings"),
         (F.size(others) + seen(flag.isNull())).alias("other_listings"),
     )
 
 
+def with_classes(per_company: DataFrame, customers: DataFrame, company: str) -> DataFrame:
+    """Counts per ``report_date`` and company with the company's listings; those of the day before where listings are dated."""
+    classes = customer_classes(customers).withColumnRenamed("name", company)
+    if "dt" not in classes.columns:
+        return per_company.join(classes, company, "left")
+    dated = per_company.withColumn("customer_dt", cal.key_of(F.date_sub("report_date", 1)))
+    return dated.join(classes.withColumnRenamed("dt", "customer_dt"), ["customer_dt", company], "left")
+
+
+def expected_interfaces(records: DataFrame, registry: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Every reported interface on every date of ``dates``, or on every day from the first record to the last."""
+    if dates is None:
+        span = records.agg(F.to_date(F.min("create_time")).alias("first_day"), F.to_date(F.max("create_time")).alias("last_day"))
+        dates = span.select(F.explode(F.sequence("first_day", "last_day")).alias("report_date"))
+    # a dozen registry rows for each date
+    keys = F.array(*[F.lit(row[0]) for row in INTERFACES])
+    settings = F.broadcast(registry.where("reported"))
+    return dates.select("report_date", F.explode(keys).alias("interface_key")).join(settings, "interface_key")
+
+
 def counted_calls(reported: DataFrame) -> DataFrame:
     """Calls behind each record: its pages for a paged interface, else one."""
     return reported.withColumn("calls", F.when(F.col("paged"), page_count(F.col("output_result"), PAGE_SIZE, MAX_PAGES)).otherwise(F.lit(1)))
@@ -87,7 +111,8 @@ def call_report(records: DataFrame, customers: DataFrame, registry: DataFrame, d
     """Calls, outcomes and billing per business date and reported interface, interfaces without data included.
 
     ``dates`` (``report_date``) are the business dates to cover; by default every day from the first record to the last, so
-    that a day on which nothing ran is reported as well.
+    that a day on which nothing ran is reported as well. ``customers`` with a ``dt`` column are taken from the partition of the
+    day before each business date, others hold for all dates.
     """
     code, calls = F.col("status_code"), F.col("calls")
     normal = F.array_contains("normal_codes", code)
@@ -101,20 +126,13 @@ def call_report(records: DataFrame, customers: DataFrame, registry: DataFrame, d
             F.sum(F.when((code != 0) & ~normal, calls)).alias("abnormal_failure"),
         )
     )
-    classes = customer_classes(customers).withColumnRenamed("name", "input_param")
-    split = per_company.join(classes, "input_param", "left")
+    split = with_classes(per_company, customers, "input_param")
     counted = split.groupBy("report_date", "interface_key").agg(
         *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("total", "success", "normal_failure", "abnormal_failure")],
         F.sum(F.col("total") * F.coalesce("post_paid_listings", F.lit(0))).alias("non_prepaid_calls"),
         F.sum(F.col("total") * F.coalesce("prepaid_listings", F.lit(0))).alias("prepaid_calls"),
     )
-    if dates is None:
-        span = records.agg(F.to_date(F.min("create_time")).alias("first_day"), F.to_date(F.max("create_time")).alias("last_day"))
-        dates = span.select(F.explode(F.sequence("first_day", "last_day")).alias("report_date"))
-    # a dozen registry rows for each date
-    keys = F.array(*[F.lit(row[0]) for row in INTERFACES])
-    settings = F.broadcast(registry.where("reported"))
-    expected = dates.select("report_date", F.explode(keys).alias("interface_key")).join(settings, "interface_key")
+    expected = expected_interfaces(records, registry, dates)
     measures = ["total", "success", "normal_failure", "abnormal_failure", "non_prepaid_calls", "prepaid_calls"]
     report = expected.join(counted, ["report_date", "interface_key"], "left").fillna(0, measures)
     date = F.col("report_date")
@@ -230,29 +248,48 @@ def export_succeeded(parsed: DataFrame, records: DataFrame, path: str) -> bool:
     return export_csv(succeeded_rows(parsed, records), path)
 
 
-def parse_report(parsed: DataFrame, records: DataFrame, customers: DataFrame, registry: DataFrame) -> DataFrame:
-    """Successful calls and parsed rows per interface and partition, the rows split by customer class.
+PARSE_COUNTS = ["success_count", "total", "prepaid", "non_prepaid", "uncategorized"]
+
 
-    ``parsed`` holds ``interface_key, dt, company_name``, one row per parsed row. A company listed in two classes
-    counts in both, and so does the total.
+def parse_report(parsed: DataFrame, records: DataFrame, customers: DataFrame, registry: DataFrame, dates: DataFrame | None = None,
+                 monthly_day: int = MONTHLY_DAY, half_year_months=HALF_YEAR_MONTHS, initial: bool = False) -> DataFrame:
+    """Successful calls and parsed rows of every reported interface on every business date, the rows split by customer class.
+
+    ``parsed`` holds ``interface_key, dt`` and the company, one row per parsed row. On a business date an interface's calls are
+    those created on that day in the partition its run writes (``dt``), and its parsed rows are those of that partition whose company
+    succeeded on that day; a monthly partition therefore counts again on each day with a success. Interfaces without data are
+    rows with zeros. A company listed in two classes counts in both, and so does the total; dates and customers are as
+    in ``call_report``.
     """
-    ok = records.where("status_code = 0")
-    calls = ok.groupBy("interface_key", "dt").agg(F.count("*").alias("success_count"))
-    per_company = parsed.groupBy("interface_key", "dt", "company_name").agg(F.count("*").alias("rows"))
-    done = succeeded_rows(per_company, records)
-    split = done.join(customer_classes(customers).withColumnRenamed("name", "company_name"), "company_name", "left")
+    company = company_column(parsed.columns)
+    reported = reported_records(records, registry, monthly_day, initial, half_year_months).where("status_code = 0")
+    per_company = reported.groupBy("report_date", "interface_key", "dt", "input_param").agg(F.count("*").alias("calls"))
+    calls = per_company.groupBy("report_date", "interface_key").agg(F.sum("calls").alias("success_count"))
+    found = parsed.groupBy("interface_key", "dt", company).agg(F.count("*").alias("rows"))
+    done = per_company.withColumnRenamed("input_param", company).join(found, ["interface_key", "dt", company])
+    split = with_classes(done, customers, company)
     listings = {c: F.coalesce(f"{c}_listings", F.lit(0)) for c in ("prepaid", "post_paid", "other")}
     unlisted = F.coalesce("other_listings", F.lit(1))
-    rows = split.groupBy("interface_key", "dt").agg(
+    rows = split.groupBy("report_date", "interface_key").agg(
         F.sum(F.col("rows") * (listings["prepaid"] + listings["post_paid"] + unlisted)).alias("total"),
         F.sum(F.col("rows") * listings["prepaid"]).alias("prepaid"),
         F.sum(F.col("rows") * listings["post_paid"]).alias("non_prepaid"),
         F.sum(F.col("rows") * unlisted).alias("uncategorized"),
     )
-    settings = F.broadcast(registry.where("reported"))
-    joined = calls.join(rows, ["interface_key", "dt"], "full_outer").join(settings, "interface_key")
-    counts = ["success_count", "total", "prepaid", "non_prepaid", "uncategorized"]
-    return joined.fillna(0, counts).select(
-        "interface_key", "dt", "interface_name", frequency_text().alias("frequency"), "relation", *counts,
-        (F.col("total") > 0).alias("has_data"),
+    keys = ["report_date", "interface_key"]
+    expected = expected_interfaces(records, registry, dates)
+    joined = expected.join(calls, keys, "left").join(rows, keys, "left").fillna(0, PARSE_COUNTS)
+    half_year = F.col("half_year_prepaid") if initial else None
+    return joined.select(
+        *keys, cal.run_partition(F.col("report_date"), F.col("frequency"), half_year, monthly_day, half_year_months).alias("dt"),
+        "interface_name", frequency_text().alias("frequency"), "relation", *PARSE_COUNTS,
+        (F.col("total") > 0).alias("has_data"), F.when(F.col("total") == 0, NO_DATA_TEXT).alias("note"),
+    )
+
+
+def parse_totals(report: DataFrame) -> DataFrame:
+    """Parse report measures per interface and in total for each date, with the number of interfaces that have data."""
+    summed = report.rollup("report_date", "interface_key").agg(
+        *[F.sum(m).alias(m) for m in PARSE_COUNTS], F.count_if("has_data").alias("with_data"), F.grouping("interface_key").alias("is_total")
     )
+    return summed.where(F.col("report_date").isNotNull())

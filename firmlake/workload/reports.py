@@ -11,12 +11,13 @@ from firmlake.session import scratch_path
 from firmlake.workload.records import SQL_CODES
 from firmlake.workload.tables import (
     KEYS,
+    SQL_DATED_LISTINGS,
     SQL_LISTINGS,
     SQL_RECORDS,
     SQL_REGISTRY,
     sql_key,
     sql_monthly,
-    listings,
+    dated_listings,
     quoted,
     records,
     registry,
@@ -25,7 +26,7 @@ from firmlake.workload.tables import (
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.call_report(records(spark, sf_dir), listings(spark, sf_dir), registry(spark))
+    return reports.call_report(records(spark, sf_dir), dated_listings(spark, sf_dir), registry(spark))
 
 
 def dated(df: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def call_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def call_report_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One business date, read from the partitions its runs write."""
     log = reports.day_records(records(spark, sf_dir), "2024-01-17", "2024-01-18", ["20240116", "20240104"])
-    one = reports.call_report(log, listings(spark, sf_dir), registry(spark))
+    one = reports.call_report(log, dated_listings(spark, sf_dir), registry(spark))
     return dated(one.select("report_date", "interface_key", "has_data", "total", "call_count"))
 
 
@@ -84,10 +85,16 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*columns)
 
 
+def parsed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.parse_report(parsed_lines(spark, sf_dir), records(spark, sf_dir), dated_listings(spark, sf_dir), registry(spark))
+
+
 def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.parse_report(
-        parsed_lines(spark, sf_dir), records(spark, sf_dir), listings(spark, sf_dir), registry(spark)
-    )
+    return dated(parsed_report(spark, sf_dir))
+
+
+def parse_report_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dated(reports.parse_totals(parsed_report(spark, sf_dir)))
 
 
 def succeeded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +121,7 @@ QUERIES = {
     "idle_interfaces": idle_interfaces,
     "normal_failures": normal_failures,
     "parse_report": parse_report,
+    "parse_report_total": parse_report_total,
     "succeeded_rows": succeeded_rows,
 }
 
@@ -126,7 +134,7 @@ _run_day = "CASE {0} WHEN 'daily' THEN true WHEN 'monthly' THEN day(report_date)
 _own = f"CASE r.dt WHEN CASE frequency WHEN 'daily' THEN {sql_key('create_time - INTERVAL 1 DAY')} ELSE {sql_monthly('create_time')} END THEN true ELSE false END"
 
 # a record counts where it sits in the partition of its own date; days without any are reported too
-SQL_REPORT = f"""{SQL_RECORDS}, {SQL_REGISTRY}, {SQL_LISTINGS},
+SQL_REPORT = f"""{SQL_RECORDS}, {SQL_REGISTRY}, {SQL_LISTINGS}, {SQL_DATED_LISTINGS},
 called AS (SELECT r.*, create_time::DATE AS report_date, provider, charge_per_query,
     CASE WHEN paged THEN {_pages.format()} ELSE 1 END AS calls, list_contains(normal_codes, status_code) AS normal
   FROM records r JOIN registry USING (interface_key) WHERE reported AND {_own}),
@@ -137,7 +145,8 @@ outcomes AS (SELECT report_date, interface_key, sum(calls)::BIGINT AS total,
   FROM called GROUP BY ALL),
 classes AS (SELECT report_date, interface_key, sum(CASE WHEN is_prepaid = '否' THEN calls ELSE 0 END)::BIGINT AS non_prepaid_calls,
     sum(CASE WHEN is_prepaid = '是' THEN calls ELSE 0 END)::BIGINT AS prepaid_calls
-  FROM called LEFT JOIN (SELECT DISTINCT name, is_prepaid FROM listings) c ON input_param = name GROUP BY ALL),
+  FROM called LEFT JOIN (SELECT DISTINCT name, is_prepaid, dt AS customer_dt FROM dated_listings) c
+    ON input_param = name AND customer_dt = strftime(report_date - INTERVAL 1 DAY, '%Y%m%d') GROUP BY ALL),
 report AS (SELECT report_date, interface_key, interface_name, provider, {_frequency} AS frequency, coalesce(total, 0) > 0 AS has_data,
     coalesce(total, 0) AS total, coalesce(success, 0) AS success, coalesce(normal_failure, 0) AS normal_failure,
     coalesce(abnormal_failure, 0) AS abnormal_failure,
@@ -152,7 +161,24 @@ _sums = ", ".join(
     f"sum({m})::BIGINT AS {m}"
     for m in ("total", "success", "normal_failure", "abnormal_failure", "call_count", "non_prepaid_calls", "prepaid_calls")
 )
-_listed = "coalesce({0}, 0)::BIGINT AS {0}"
+_parse_sums = ", ".join(f"sum({m})::BIGINT AS {m}" for m in reports.PARSE_COUNTS)
+
+# successes of a day in the day's own partition, and the rows parsed from them
+SQL_PARSED = f"""{SQL_REPORT}, parsed AS (SELECT {_parsed} FROM lineitem),
+ok AS (SELECT report_date, interface_key, dt, input_param FROM called WHERE status_code = 0),
+successes AS (SELECT report_date, interface_key, count(*) AS success_count FROM ok GROUP BY ALL),
+rows_found AS (SELECT report_date, interface_key, count(*) AS total, count(*) FILTER (WHERE is_prepaid = '是') AS prepaid,
+    count(*) FILTER (WHERE is_prepaid = '否') AS non_prepaid,
+    count(*) FILTER (WHERE is_prepaid IS NULL OR is_prepaid NOT IN ('是', '否')) AS uncategorized
+  FROM (SELECT DISTINCT * FROM ok) s JOIN parsed p USING (interface_key, dt)
+  LEFT JOIN (SELECT DISTINCT name, is_prepaid, dt AS customer_dt FROM dated_listings) c
+    ON p.company_name = name AND customer_dt = strftime(report_date - INTERVAL 1 DAY, '%Y%m%d')
+  WHERE p.company_name = input_param GROUP BY ALL),
+parse_report AS (SELECT report_date, interface_key, CASE r.frequency WHEN 'daily' THEN {sql_key('report_date - INTERVAL 1 DAY')} ELSE {sql_monthly('report_date')} END AS dt,
+    r.interface_name, report.frequency, relation,
+    {', '.join(f"coalesce({t}.{c}, 0)::BIGINT AS {c}" for t, c in (("s", "success_count"), ("f", "total"), ("f", "prepaid"), ("f", "non_prepaid"), ("f", "uncategorized")))},
+    coalesce(f.total, 0) > 0 AS has_data, CASE WHEN coalesce(f.total, 0) = 0 THEN '无数据' END AS note
+  FROM report JOIN registry r USING (interface_key) LEFT JOIN successes s USING (report_date, interface_key) LEFT JOIN rows_found f USING (report_date, interface_key))"""
 
 ORACLE = {
     "status_counts": f"""WITH {SQL_REPORT}
@@ -190,17 +216,11 @@ FROM report WHERE total = 0 AND NOT non_prepaid_run_day AND NOT prepaid_run_day"
 SELECT report_date::VARCHAR AS report_date, interface_key, normal_failure, CASE WHEN interface_key = 'P51060'
   THEN '1(【有效请求】请求无结果), 1021(未收录/无匹配结果(不在文档附录中,暂归为正常范围)), 2001(【无效请求】处理失败，请检查参数或稍后重试)'
   ELSE '300000(经查无结果)' END AS normal_codes FROM report WHERE normal_failure > 0""",
-    "parse_report": f"""WITH {SQL_RECORDS}, {SQL_REGISTRY}, {SQL_LISTINGS}, parsed AS (SELECT {_parsed} FROM lineitem),
-calls AS (SELECT interface_key, dt, count(*) AS success_count FROM records WHERE status_code = 0 GROUP BY ALL),
-rows_found AS (SELECT interface_key, dt, count(*) AS total, count(*) FILTER (WHERE is_prepaid = '是') AS prepaid,
-    count(*) FILTER (WHERE is_prepaid = '否') AS non_prepaid,
-    count(*) FILTER (WHERE is_prepaid IS NULL OR is_prepaid NOT IN ('是', '否')) AS uncategorized
-  FROM parsed p JOIN (SELECT DISTINCT interface_key, dt, input_param FROM records WHERE status_code = 0) s USING (interface_key, dt)
-  LEFT JOIN (SELECT DISTINCT name, is_prepaid FROM listings) c ON p.company_name = name
-  WHERE p.company_name = input_param GROUP BY ALL)
-SELECT interface_key, dt, interface_name, {_frequency} AS frequency, relation, {', '.join(_listed.format(c) for c in ('success_count', 'total', 'prepaid', 'non_prepaid', 'uncategorized'))},
-  coalesce(total, 0) > 0 AS has_data
-FROM calls FULL JOIN rows_found USING (interface_key, dt) JOIN registry USING (interface_key) WHERE reported""",
+    "parse_report": f"""WITH {SQL_PARSED}
+SELECT * REPLACE (report_date::VARCHAR AS report_date) FROM parse_report""",
+    "parse_report_total": f"""WITH {SQL_PARSED}
+SELECT report_date::VARCHAR AS report_date, interface_key, {_parse_sums}, count(*) FILTER (WHERE has_data) AS with_data, grouping(interface_key)::TINYINT AS is_total
+FROM parse_report GROUP BY GROUPING SETS ((report_date, interface_key), (report_date))""",
     "export_succeeded": f"""WITH {SQL_RECORDS}, parsed AS (SELECT {_parsed} FROM lineitem)
 SELECT interface_key, dt, company_name FROM parsed p
 WHERE EXISTS (SELECT 1 FROM records r WHERE r.status_code = 0 AND r.interface_key = p.interface_key AND r.dt = p.dt AND r.input_param = p.company_name)""",

@@ -43,8 +43,9 @@ INTERFACE = "CASE WHEN day(ts) % 7 = 3 AND picked IN ('822', '973') THEN '1114'
 # these rows sit in the partition of the monthly batch, whatever their interface
 MISPLACED = "event_id % 17 = 0"
 
+# on every sixth day nothing fails but in the expected way
 STATUS = """CASE WHEN event_type <> 'error' THEN 0
-    WHEN k % 3 = 0 THEN CASE WHEN interface_key = 'P51060' THEN 1021 ELSE 300000 END
+    WHEN k % 3 = 0 OR day(ts) % 6 = 1 THEN CASE WHEN interface_key = 'P51060' THEN 1021 ELSE 300000 END
     WHEN k % 3 = 1 THEN CASE WHEN interface_key = 'P51060' THEN 1006 ELSE 300006 END
     ELSE -1 END"""
 OUTPUT = """CASE WHEN status_code = 0 THEN concat('{"error_code":0,"reason":"ok","result":{"total":', k * 60, '}}')
@@ -124,6 +125,20 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("name", F.explode(flags).alias("f")).select("name", "f.is_prepaid")
 
 
+# the customers of each day; a ninth of them is listed in the other class that day, and some days have no partition
+LISTED_DAYS = [d for d in range(31) if d % 10 != 7]
+DAY_DT = "CASE day WHEN 0 THEN '20231231' ELSE concat('202401', lpad(cast(day AS {text}), 2, '0')) END"
+DAY_CLASS = "CASE WHEN (c_custkey + day) % 9 = 0 THEN CASE is_prepaid WHEN '是' THEN '否' WHEN '否' THEN '是' END ELSE is_prepaid END"
+SQL_DATED_LISTINGS = f"""dated_listings AS (SELECT name, {DAY_CLASS} AS is_prepaid, {DAY_DT.format(text='VARCHAR')} AS dt
+  FROM (SELECT l.name, l.is_prepaid, c_custkey, unnest({LISTED_DAYS}) AS day FROM listings l JOIN customers c ON l.name = c.name))"""
+
+
+def dated_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = listings(spark, sf_dir).withColumn("c_custkey", F.substring_index("name", "#", -1).cast("int"))
+    daily = named.withColumn("day", F.explode(F.array(*[F.lit(d) for d in LISTED_DAYS])))
+    return daily.selectExpr("name", f"{DAY_CLASS} AS is_prepaid", f"{DAY_DT.format(text='string')} AS dt")
+
+
 SQL_WHITE = "white AS (SELECT name AS company_name FROM customers WHERE c_nationkey IN (3, 7))"
 
 
