@@ -28,9 +28,10 @@ def merge_pages(
 
     Page 1 decides the status and the total. Pages follow in order up to the page count of the total and stop before
     the first page that failed or is missing. A log may repeat pages; ``newest_first`` is the order that picks one row of
-    each. All stored pages count unless ``max_pages`` sets a limit.
+    each. All stored pages count unless ``max_pages`` sets a limit. An ``envelope`` column is kept as it is on page 1.
     """
     first = F.col("page_num") == 1
+    kept = [c for c in ("envelope",) if c in pages.columns]
     wanted_pages = pages.where(F.col("page_num") >= 1 if max_pages is None else F.col("page_num").between(1, max_pages))
     wanted_pages = first_per(wanted_pages, [*call_keys, "page_num"], newest_first)
     called = wanted_pages.groupBy(*call_keys)
@@ -39,6 +40,7 @@ def merge_pages(
         F.max(F.when(first, F.col("total"))).alias("total"),
         F.min(F.when(F.col("error_code") != 0, F.col("page_num"))).alias("failed_at"),
         F.array_sort(F.collect_list(F.struct("page_num", "items"))).alias("pages"),
+        *[F.max(F.when(first, F.col(c))).alias(c) for c in kept],
     )
     wanted = F.greatest(F.lit(1), F.ceil(F.coalesce("total", F.lit(0)) / page_size).cast("int"))
     good = F.filter(
@@ -55,9 +57,60 @@ def merge_pages(
         "total",
         F.size("good").alias("pages_used"),
         F.when(F.col("status_code") == 0, items).alias("items"),
+        *kept,
     )
 
 
+def _members(payload: Column) -> Column:
+    """Members of a JSON object as a map of variants; null for anything else."""
+    return F.from_json(F.when(F.to_json(F.try_parse_json(payload)).startswith("{"), payload), "map<string,variant>")
+
+
+def _with_result(payload: Column, result: Column) -> Column:
+    """JSON text of an object with its member ``result`` replaced, the others as they are."""
+
+    def member(entry: Column) -> Column:
+        name = F.to_json(F.array(entry["key"]))
+        value = F.when(entry["key"] == "result", result).otherwise(F.to_json(entry["value"]))
+        return F.concat(F.regexp_replace(name, r"^\[|\]$", ""), F.lit(":"), value)
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(_members(payload)), member), ","), F.lit("}"))
+
+
+def merge_responses(
+    pages: DataFrame,
+    call_keys: Sequence[str],
+    newest_first: Sequence[Column],
+    page_size: int = PAGE_SIZE,
+    max_pages: int | None = None,
+) -> DataFrame:
+    """(call_keys, status_code, output_result, pages_used): the record to store for each call, from its page responses.
+
+    ``pages`` holds ``page_num`` and the response text as ``payload``. A failed first page is stored as it is with its code, -1
+    where it has none or is no JSON object; so is a successful one whose result is empty or whose total fits on one page. Else the
+    record is page 1 with ``result`` replaced by its total and the items of all pages, which is what a parser of a paged interface
+    reads. Pages follow and stop as in ``merge_pages``; a later page that is no JSON object has failed.
+    """
+    payload = F.col("payload")
+    is_object = F.to_json(F.try_parse_json(payload)).startswith("{")
+    code = F.coalesce(F.when(is_object, F.get_json_object(payload, "$.error_code").try_cast("int")), F.lit(HTTP_ERROR))
+    listed = F.get_json_object(payload, "$.result.items")
+    inside = F.regexp_replace(listed, r"^\[|\]$", "")
+    decoded = pages.select(
+        *call_keys, *[c for c in pages.columns if c not in (*call_keys, "payload", "items", "total", "error_code", "envelope")],
+        code.alias("error_code"),
+        F.get_json_object(payload, "$.result.total").try_cast("int").alias("total"),
+        F.when(listed.startswith("[") & (inside != ""), F.array(inside)).alias("items"),
+        F.when(F.col("page_num") == 1, payload).alias("envelope"),
+    )
+    merged = merge_pages(decoded, call_keys, newest_first, page_size, max_pages)
+    total = F.coalesce("total", F.lit(0))
+    result = F.concat(F.lit('{"total":'), total.cast("string"), F.lit(',"items":['), F.array_join("items", ","), F.lit("]}"))
+    whole = (F.col("status_code") != 0) | (total <= page_size)
+    stored = F.when(whole, F.col("envelope")).otherwise(_with_result(F.col("envelope"), result))
+    return merged.select(*call_keys, "status_code", stored.alias("output_result"), "pages_used")
+
+
 def resolve_attempts(
     attempts: DataFrame,
     call_keys: Sequence[str],

@@ -26,6 +26,21 @@ def read_json(payload: Column, schema: str) -> Column:
     return F.from_json(payload, f"{schema}, unread STRING", READ_OPTIONS)
 
 
+REPEATS = "spark.sql.variant.allowDuplicateKeys"
+
+
+def is_whole_document(payload: Column) -> Column:
+    """True when the text is one JSON value and nothing else.
+
+    The typed read stops at the end of its value and does not see what follows. Here the text is a member of an object whose
+    last member bears the text's hash: whatever follows the value, be it a bracket that closes the object, takes that member
+    away. The text's tokens are passed over once, nothing is built.
+    """
+    mark = F.md5(payload)
+    keys = F.json_object_keys(F.concat(F.lit('{"p":'), payload, F.lit(',"'), mark, F.lit('":0}')))
+    return F.coalesce(keys == F.array(F.lit("p"), mark), F.lit(False))
+
+
 def _fits(doc: Column) -> Column:
     return doc.isNotNull() & doc["unread"].isNull()
 
@@ -349,7 +364,7 @@ def _payment_status(doc: Column, payload: Column) -> Column:
         F.when(~_fits(doc), F.lit(FAILED))
         .when(v.is_falsy(doc["res"]), F.lit(SKIP_EMPTY))
         .when(~v.is_json_string(doc["res"]), F.lit(FAILED))
-        .when(inner.isNull(), F.lit(SKIP_EMPTY))
+        .when(inner.isNull() | ~is_whole_document(v.text(doc["res"])), F.lit(SKIP_EMPTY))
         .otherwise(_state(F.to_json(inner).startswith("{")))
     )
 
@@ -377,7 +392,7 @@ PROFILE_RENAMES = {
     "id": "company_id", "type": "legal_person_type", "orgNumber": "org_code", "creditCode": "social_credit_code",
     "actualCapital": "paid_capital", "actualCapitalCurrency": "paid_capital_currency",
     "companyOrgType": "company_org_type", "base": "province_short", "alias": "company_alias",
-    "name": "company_name_api", "property3": "property3", "BRNNumber": "brn_number",
+    "name": "company_name_api", "BRNNumber": "brn_number",
 }
 PROFILE_OWN_RULE = ["industryAll", "staffList", "historyNames", "emailList", "historyNameList", *PROFILE_TIMES]
 
@@ -472,13 +487,19 @@ PARSERS: dict[str, Parser] = {
 
 
 def decode(records: DataFrame, interface_key: str) -> DataFrame:
-    """Records with their payload as ``doc`` and a ``parse_status``."""
+    """Records with their payload as ``doc`` and a ``parse_status``.
+
+    A payload with anything after its document has failed, whatever the document holds. Of a member that is repeated within an
+    object the last one counts at every depth; the session setting for that (``REPEATS``) is switched on.
+    """
     parser = PARSERS[interface_key]
+    records.sparkSession.conf.set(REPEATS, "true")
     read = records.select(
         F.col("id").alias("api_record_id"), "input_param", "dt", "output_result",
         read_json(F.col("output_result"), parser.schema).alias("doc"),
     )
-    return read.withColumn("parse_status", parser.status(F.col("doc"), F.col("output_result")))
+    status = F.when(is_whole_document(F.col("output_result")), parser.status(F.col("doc"), F.col("output_result"))).otherwise(FAILED)
+    return read.withColumn("parse_status", status)
 
 
 def _with_status(records: DataFrame, interface_key: str, status: str) -> DataFrame:
@@ -512,10 +533,12 @@ def quarantine(records: DataFrame, interface_key: str) -> DataFrame:
 
 
 def parse_stats(records: DataFrame, interface_key: str) -> DataFrame:
-    """Records per parse status."""
-    return (
-        decode(records, interface_key)
-        .groupBy("parse_status")
-        .agg(F.count("*").alias("records"))
-        .select(F.lit(interface_key).alias("interface_key"), "parse_status", "records")
-    )
+    """Records per parse status, and the rows that the successful ones give.
+
+    Rows are counted by a second pass over the payloads, in which no target column is built.
+    """
+    statuses = decode(records, interface_key).groupBy("parse_status").agg(F.count("*").alias("records"))
+    rows = PARSERS[interface_key].rows(_with_status(records, interface_key, SUCCESS))
+    counted = rows.groupBy(F.lit(SUCCESS).alias("parse_status")).agg(F.count("*").alias("rows"))
+    joined = statuses.join(counted, "parse_status", "left")
+    return joined.select(F.lit(interface_key).alias("interface_key"), "parse_status", "records", F.coalesce("rows", F.lit(0)).alias("rows"))

@@ -17,14 +17,19 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # dt is a yyyyMMdd string; never let a path read turn it into an INT
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # of a member that an object repeats the last one counts, as in a plain reader
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
+ZONE = "spark.sql.session.timeZone"
+BUSINESS_ZONE = "Asia/Shanghai"  # business dates, their create-time windows and dates of files follow this zone
 
 
-def build_session(app: str = "firmlake", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(app: str = "firmlake", master: str | None = None, zone: str = BUSINESS_ZONE, **conf: str) -> SparkSession:
+    """Session whose business dates are those of ``zone``, whatever zone its machines are in."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, ZONE: zone, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

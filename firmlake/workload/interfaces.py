@@ -350,25 +350,27 @@ ORACLES["819"] = in_table_order("819", profile_columns, "latest WHERE n % 9 <> 0
 # --- parse outcomes ---------------------------------------------------------------------------------------------------
 
 # payloads that some interface skips or cannot read
-ODD = """CASE o_orderkey % 12 WHEN 0 THEN '{"result":null}' WHEN 1 THEN '{"result":"text"}' WHEN 2 THEN 'broken'
+ODD = """CASE o_orderkey % 16 WHEN 0 THEN '{"result":null}' WHEN 1 THEN '{"result":"text"}' WHEN 2 THEN 'broken'
   WHEN 3 THEN '{"result":{"total":1,"items":[null]}}' WHEN 4 THEN '{"res":"{}"}' WHEN 5 THEN '{"res":"oops"}'
   WHEN 6 THEN '{"res":7}' WHEN 7 THEN '{"result":{}}' WHEN 8 THEN '{"result":[]}' WHEN 9 THEN '[]'
-  WHEN 10 THEN '{"result":{"items":"","orgTypes":[]}}' ELSE '{"result":""}' END"""
-# fixed values: outcome of the twelve payloads above per interface (S success, F failed, E skipped as empty)
+  WHEN 10 THEN '{"result":{"items":"","orgTypes":[]}}' WHEN 11 THEN '{"result":""}' WHEN 12 THEN '{"result":{},"res":"{}"} garbage'
+  WHEN 13 THEN '{"result":{},"res":"{}"}}' WHEN 14 THEN '{"result":{},"res":"{}"},{"result":{}}'
+  ELSE '{"res":"{\\\\"a\\\\":1,\\\\"a\\\\":2}","result":{"x":{"b":1,"b":2}}}' END"""
+# fixed values: outcome of the sixteen payloads above per interface (S success, F failed, E skipped as empty)
 OUTCOMES = {
-    "819": "FFFSFFFFFFSF",
-    "1058": "SFFSSSSSSFSS",
-    "822": "SFFFSSSSSFSS",
-    "851": "SFFFSSSSSFSS",
-    "1041": "SFFFSSSSSFSS",
-    "1114": "SFFFSSSSSFSS",
-    "854": "FFFSFFFSFFSF",
-    "967": "SSFSSSSSSFSS",
-    "973": "SFFSSSSSSFSS",
-    "1149": "SSFSSSSSSFSS",
-    "1168": "SFFSSSSSSFSS",
-    "1001": "FFFSFFFFFFSF",
-    "P51060": "EEFESEFEEFEE",
+    "819": "FFFSFFFFFFSFFFFS",
+    "1058": "SFFSSSSSSFSSFFFS",
+    "822": "SFFFSSSSSFSSFFFS",
+    "851": "SFFFSSSSSFSSFFFS",
+    "1041": "SFFFSSSSSFSSFFFS",
+    "1114": "SFFFSSSSSFSSFFFS",
+    "854": "FFFSFFFSFFSFFFFS",
+    "967": "SSFSSSSSSFSSFFFS",
+    "973": "SFFSSSSSSFSSFFFS",
+    "1149": "SSFSSSSSSFSSFFFS",
+    "1168": "SFFSSSSSSFSSFFFS",
+    "1001": "FFFSFFFFFFSFFFFS",
+    "P51060": "EEFESEFEEFEEFFFS",
 }
 
 
@@ -389,7 +391,7 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_OUTCOMES = "outcome AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{o}')" for k, o in OUTCOMES.items()) + ") AS o(interface_key, letters))"
-SQL_STATUS = "CASE letters[(o_orderkey % 12 + 1)::BIGINT] WHEN 'S' THEN 'SUCCESS' WHEN 'F' THEN 'FAILED' ELSE 'SKIP_EMPTY' END"
+SQL_STATUS = "CASE letters[(o_orderkey % 16 + 1)::BIGINT] WHEN 'S' THEN 'SUCCESS' WHEN 'F' THEN 'FAILED' ELSE 'SKIP_EMPTY' END"
 
 FLAGSHIP_COLUMNS = ["risk_category_name", "risk_type_tag"]
 
@@ -412,7 +414,9 @@ SELECT 'name' || i AS risk_category_name, 'tag' || g AS risk_type_tag, count(*)
   count(DISTINCT input_param) AS companies, sum(coalesce({expect('int', 3)}, 0))::BIGINT AS risk_count
 FROM leaves GROUP BY ALL""",
     "parse_stats": f"""WITH {SQL_OUTCOMES}
-SELECT interface_key, {SQL_STATUS} AS parse_status, count(*) AS records FROM orders, outcome GROUP BY ALL""",
+SELECT interface_key, parse_status, count(*) AS records,
+  CASE WHEN interface_key IN ('819', '854', '1149', '1168', '1001', 'P51060') AND parse_status = 'SUCCESS' THEN count(*) ELSE 0 END AS rows
+FROM (SELECT interface_key, {SQL_STATUS} AS parse_status FROM orders, outcome) GROUP BY interface_key, parse_status""",
     "quarantine": f"""WITH {SQL_OUTCOMES}
 SELECT o_orderkey AS api_record_id, {SQL_NAME} AS input_param, year(o_orderdate) || '0101' AS dt, {ODD} AS output_result,
   interface_key

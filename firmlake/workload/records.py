@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmlake.operators import decode, ids, latest, quality, responses
+from firmlake.plans import parsing
 from firmlake.registry import RESPONSE_CODES, code_meanings, response_codes
 from firmlake.session import scratch_path
 from firmlake.sources import files, tables
@@ -204,6 +205,27 @@ def merge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.merge_pages(pages.union(older), ["o_orderkey"], [F.col("at").desc()]).withColumn("items", F.array_join("items", ","))
 
 
+# responses of the pages of a call: fields of a tax item in text, number and missing form
+PAGE_ITEM = """concat('{"taxIdNumber":"t', o_orderkey, '-', page_num, '-', x, '","ownTaxAmount":', x, CASE WHEN x % 2 = 0 THEN ',"name":"n ] [ x"' ELSE '' END, '}')"""
+PAGE_PAYLOAD = f"""CASE WHEN o_orderkey % 13 = 5 AND page_num = 2 THEN 'broken' WHEN {PAGE_ERROR} <> 0 THEN concat('{{"error_code":', {PAGE_ERROR}, ',"reason":"slow"}}')
+  WHEN o_orderkey % 7 = 3 THEN '{{"error_code":0,"reason":"ok","result":null}}'
+  ELSE concat('{{"reason":"o\\\\"k","result":{{"total":', total, ',"items":[', array_join(items, ','), ']}},"error_code":0}}') END"""
+
+
+def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page responses merged into stored records and parsed as tax arrears."""
+    calls = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", f"cast({CALL_TOTAL} AS int) AS total",
+        f"explode(sequence(1, cast(ceil({CALL_TOTAL} / 20.0) AS int) + 1)) AS page_num",
+    )
+    item = f"transform(sequence(0, cast((o_orderkey + page_num) % 3 AS int)), x -> {PAGE_ITEM})"
+    pages = calls.selectExpr("*", f"{item} AS items").selectExpr("o_orderkey", "page_num", f"{PAGE_PAYLOAD} AS payload", "1 AS at")
+    stored = responses.merge_responses(pages, ["o_orderkey"], [F.col("at").desc()])
+    log = stored.where("status_code = 0").selectExpr("o_orderkey AS id", "concat('c', o_orderkey) AS input_param", "'20240101' AS dt", "output_result")
+    rows = parsing.parse(log, "851")
+    return rows.select("api_record_id", "company_name", "total", "tax_id_number", "own_tax_amount", "taxpayer_name")
+
+
 ATTEMPT_CODE = "CASE (o_orderkey + attempt * 2) % 5 WHEN 0 THEN 0 WHEN 1 THEN 300000 WHEN 2 THEN -1 ELSE 300004 END"
 
 
@@ -309,6 +331,7 @@ QUERIES = {
     "continue_ids": continue_ids,
     "max_ids": max_ids,
     "merge_pages": merge_pages,
+    "merged_records": merged_records,
     "resolve_attempts": resolve_attempts,
     "failure_records": failure_records,
     "decode_codes": decode_codes,
@@ -390,6 +413,14 @@ listed AS (SELECT o_orderkey, string_agg(o_orderkey || '-' || page_num || '-' ||
 SELECT p.o_orderkey, error_code AS status_code, total, coalesce(pages_used, 0)::INTEGER AS pages_used,
   CASE WHEN error_code = 0 THEN items END AS items
 FROM pages p LEFT JOIN used USING (o_orderkey) LEFT JOIN listed USING (o_orderkey) WHERE page_num = 1""",
+    "merged_records": f"""WITH calls AS (SELECT o_orderkey, ({CALL_TOTAL})::INTEGER AS total,
+  unnest(range(1, ceil(({CALL_TOTAL}) / 20.0)::INTEGER + 2)) AS page_num FROM orders),
+pages AS (SELECT *, CASE WHEN o_orderkey % 13 = 5 AND page_num = 2 THEN -1 ELSE {PAGE_ERROR} END AS error_code FROM calls),
+stops AS (SELECT o_orderkey, min(page_num) AS stop FROM pages WHERE error_code <> 0 GROUP BY ALL)
+SELECT o_orderkey AS api_record_id, 'c' || o_orderkey AS company_name, total, 't' || o_orderkey || '-' || page_num || '-' || x AS tax_id_number,
+  CASE WHEN x > 0 THEN x::VARCHAR END AS own_tax_amount, CASE WHEN x % 2 = 0 THEN 'n ] [ x' END AS taxpayer_name
+FROM pages p LEFT JOIN stops USING (o_orderkey), unnest(range(0, (o_orderkey + page_num) % 3 + 1)) AS u(x)
+WHERE o_orderkey % 7 <> 3 AND page_num <= greatest(1, ceil(total / 20.0)) AND (stop IS NULL OR page_num < stop)""",
     "resolve_attempts": f"""WITH tried AS (SELECT o_orderkey, unnest(range(1, o_orderkey % 5 + 2)) AS attempt FROM orders),
 log AS (SELECT *, {ATTEMPT_CODE} AS code FROM tried WHERE attempt = 1 OR o_orderkey % 3 <> 0),
 ranked AS (SELECT *, CASE WHEN code = 0 OR (o_orderkey % 2 = 0 AND code = 300000) THEN attempt ELSE 100 - attempt END AS place FROM log),
