@@ -34,7 +34,11 @@ def dense_ids(df: DataFrame, order: Sequence[Column], start: Column | int = 1, i
     return numbered.select((F.col("_before") + F.col("_row") + first).cast("bigint").alias(id_column), *kept)
 
 
-def continue_ids(new: DataFrame, existing: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Ids for new rows, from one above the highest id in use (0 for an empty table)."""
-    highest = existing.select(F.coalesce(F.max("id"), F.lit(-1))).scalar()
+def continue_ids(new: DataFrame, existing: DataFrame | int, order: Sequence[Column]) -> DataFrame:
+    """Ids for new rows, from one above the highest id in use (0 for an empty table).
+
+    ``existing`` is the highest id, for a stored table the one of ``storage.highest_id``, which reads no rows; or a DataFrame
+    whose ids are read.
+    """
+    highest = F.lit(existing) if isinstance(existing, int) else existing.select(F.coalesce(F.max("id"), F.lit(-1))).scalar()
     return dense_ids(new.drop("id"), order, start=highest + 1)

@@ -24,12 +24,17 @@ ZONE = "spark.sql.session.timeZone"
 BUSINESS_ZONE = "Asia/Shanghai"  # business dates, their create-time windows and dates of files follow this zone
 
 
-def build_session(app: str = "firmlake", master: str | None = None, zone: str = BUSINESS_ZONE, **conf: str) -> SparkSession:
-    """Session whose business dates are those of ``zone``, whatever zone its machines are in."""
+def build_session(app: str = "firmlake", master: str | None = None, zone: str | None = None, **conf: str) -> SparkSession:
+    """Session whose business dates are those of ``zone``, whatever zone its machines are in.
+
+    Without ``zone`` a new session takes ``BUSINESS_ZONE``, one that runs already keeps its own.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, ZONE: zone, **conf}.items():
+    if zone or SparkSession.getActiveSession() is None:
+        conf = {ZONE: zone or BUSINESS_ZONE, **conf}
+    for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -51,7 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    place, files = _hadoop_file(spark, path)
+    place, files = hadoop_file(spark, path)
     files.mkdirs(place.getParent())
     files.create(place).close()  # only a path that exists can be marked
     files.deleteOnExit(place)
@@ -61,11 +66,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes scratch data that nothing reads any more."""
-    place, files = _hadoop_file(spark, path)
+    place, files = hadoop_file(spark, path)
     files.delete(place, True)
 
 
-def _hadoop_file(spark: SparkSession, path: str):
+def hadoop_file(spark: SparkSession, path: str):
+    """The path and its file system, for work on names alone."""
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(context._jsc.hadoopConfiguration())

@@ -6,14 +6,15 @@ import datetime as dt
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firmlake.functions import names
 from firmlake.functions import values as v
 from firmlake.operators.latest import first_per, nth_newest
-from firmlake.operators.profile import column_profile
 from firmlake.schemas import MANIFEST
+from firmlake.sources import storage
 
 SUCCESS = "success"
 # fixed values: texts of the change column
@@ -67,21 +68,53 @@ def expired(keys: DataFrame, date: Column, days: int, column: str = "dt") -> Dat
 # --- loads ------------------------------------------------------------------------------------------------------------
 
 
+# what a lost executor or a full disk says; the source is not to blame for these
+RUN_ERRORS = ("ExecutorLostFailure", "OutOfMemory", "FetchFailed", "No space left", "cancelled", "shut down")
+
+
+def _is_readable(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` can be read to their end; trouble of the cluster is raised."""
+    try:
+        df.write.format("noop").mode("overwrite").save()
+    except PySparkException as error:
+        if any(text in str(error) for text in RUN_ERRORS):
+            raise
+        return False
+    return True
+
+
 def load_table(df: DataFrame, name: str, path: str, prefix: str = "manual_") -> int | None:
     """Write one uploaded table under its cleaned name, with clean columns.
 
-    Returns its row count, or None for a table that cannot be read; that one is left out.
+    Returns its row count, or None for a table that cannot be read; that one is left out. The upload is read once: rows and values
+    are counted while it is written to a folder beside the table, which takes the table's place when it is whole. Should some text
+    column hold no value at all, the written copy is read again to fill it. Only after a failure the upload is read again, to tell an
+    unreadable source from a write that failed; that one is raised and leaves the old table as it was.
     """
-    cleaned = names.clean_columns(df)
-    try:
-        profile = column_profile(cleaned).collect()  # one row per column
-    except Exception:
-        return None
-    rows = profile[0]["row_count"] if profile else 0
-    no_value = [p["column_name"] for p in profile if p["filled"] == 0]
+    spark = df.sparkSession
+    cleaned = names.stringify(names.clean_columns(df), [])
     target = f"{path}/{prefix}{names.table_name(name)}"
-    table = names.stringify(cleaned, no_value)
-    table.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    storage.settle(spark, path)
+    staged = [storage.staging_path(spark, target)]
+    seen = Observation()
+    counts = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cleaned.columns)]
+    try:
+        try:
+            cleaned.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(staged[0])
+        except PySparkException:
+            if _is_readable(cleaned):
+                raise
+            return None
+        rows = seen.get["rows"]
+        no_value = [c for i, c in enumerate(cleaned.columns) if not seen.get[f"n{i}"]]
+        kinds = dict(cleaned.dtypes)
+        if any(kinds[c] == "string" for c in no_value):
+            staged.append(storage.staging_path(spark, target))
+            names.stringify(spark.read.schema(cleaned.schema).parquet(staged[0]), no_value).write.parquet(staged[1])
+        storage.swap(spark, staged[-1], target)
+    finally:
+        for folder in staged:
+            storage.discard(spark, folder)
     return rows
 
 
@@ -166,6 +199,43 @@ def load_report(manifest: DataFrame) -> DataFrame:
     return report.withColumn("need_alert", F.col("failed_files") > 0)
 
 
+def load_details(manifest: DataFrame, stored: DataFrame, date: dt.date) -> DataFrame:
+    """Every table of one day's loads beside the load before, and a grand total, as one result.
+
+    Of each file the day's last manifest row counts. ``stored`` (``target_name, row_count``) holds the rows that its tables have
+    now; the load before is the second newest counted one up to that day, whatever its file is called. Rows: a table listed by a
+    file, a table that only the load before had (no file, ``移除``), a file without tables (failed ones), and the total
+    (``is_total``) with the rows of all listed tables. A table that is not stored has no current rows (``类型异常``). A day without
+    loads gives no row.
+    """
+    next_day = date + dt.timedelta(days=1)
+    until = manifest.where(F.col("processed_at") < F.lit(next_day))
+    last = last_of_day(until.where(F.col("processed_at") >= F.lit(date)))
+    names_ = F.when((F.col("status") == SUCCESS) | F.col("status").startswith("partial: "), v.csv_items(F.col("table_names")))
+    listed = last.select("filename", "status", F.explode_outer(names_).alias("table_name"))
+    target = F.concat(F.lit("manual_"), names.clean_table_name(F.col("table_name")))
+    listed = listed.withColumn("target_name", F.when(F.col("table_name").isNotNull(), target))
+    now = listed.join(stored.withColumnRenamed("row_count", "current_rows"), "target_name", "left")
+    previous = exploded_counts(previous_load(until), []).withColumnsRenamed({"table_name": "previous_name", "row_count": "previous_rows"})
+    joined = now.join(previous, now["table_name"] == previous["previous_name"], "full_outer")
+    delta = F.col("current_rows") - F.col("previous_rows")
+    change = (
+        F.when(F.col("target_name").isNull() & F.col("previous_name").isNull(), None)
+        .when(F.col("target_name").isNull(), REMOVED)
+        .when(F.col("previous_name").isNull(), NEW)
+        .when(delta.isNull(), NOT_A_COUNT)
+        .when(delta == 0, UNCHANGED)
+        .otherwise(F.concat(F.when(delta > 0, "+").otherwise(""), F.format_number(delta, 0)))
+    )
+    columns = ["filename", "status", "table_name", "target_name", "previous_rows", "change"]
+    rows = joined.withColumn("change", change).withColumn("table_name", F.coalesce("table_name", "previous_name"))
+    report = rows.groupingSets([[F.col(c) for c in columns], []], *columns).agg(
+        F.sum("current_rows").alias("current_rows"), (F.grouping("change") == 1).alias("is_total")
+    )
+    any_load = last.select(F.count("*")).scalar() > 0
+    return report.where(any_load).select(*columns, "current_rows", "is_total")
+
+
 # --- exports ----------------------------------------------------------------------------------------------------------
 
 

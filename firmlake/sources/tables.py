@@ -1,7 +1,7 @@
 """Scans of date partitions and replacement of rows inside them.
 
 Tables are Parquet folders partitioned by ``dt``. A replacement never overwrites what its own plan still reads: the new
-content of the partition is checkpointed first.
+content is written once, beside the old, and takes its place when it is whole (``storage``).
 """
 
 from __future__ import annotations
@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmlake.schemas import company_column
-from firmlake.session import cut_lineage
+from firmlake.sources import storage
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Table with ``dt`` as text, also where a session infers a number from the folder names."""
+    """Table with ``dt`` as text, also where a session infers a number from the folder names.
+
+    A replacement that was cut off half-way is undone first.
+    """
+    storage.settle(spark, path)
     df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     return df.withColumn("dt", F.col("dt").cast("string")) if "dt" in df.columns else df
 
@@ -27,10 +31,20 @@ def scan(df: DataFrame, *dts: str) -> DataFrame:
 
 
 def scan_latest(df: DataFrame) -> DataFrame:
-    """Newest partition. The subquery runs first and its value prunes the scan of the other partitions."""
+    """Newest partition of any DataFrame. The subquery runs first and its value prunes the scan of the other partitions."""
     return df.where(F.col("dt") == df.select(F.max("dt")).scalar())
 
 
+def scan_newest(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Newest partition with rows of a stored table, found in the listing: the scan has its key as a literal.
+
+    A table without rows gives none; one without files needs its ``schema`` named.
+    """
+    newest = storage.newest_partition(spark, path)
+    table = read_table(spark, path, schema)
+    return table.where(F.lit(False)) if newest is None else scan(table, newest)
+
+
 def scan_before(df: DataFrame, dt: str) -> DataFrame:
     return df.where(F.col("dt") < dt)
 
@@ -72,8 +86,8 @@ def overwrite_partitions(df: DataFrame, path: str) -> None:
 
 
 def rebuild_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the whole table, with its schema."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Replace the whole table, with its schema; the old one stands until the new one is whole."""
+    storage.commit(df, path)
 
 
 def split_log(df: DataFrame, path: str) -> None:
@@ -99,17 +113,16 @@ def replace_keys(existing: DataFrame, new: DataFrame, keys: DataFrame, on: Seque
 
 
 def replace_in_partition(spark: SparkSession, path: str, dt: str, new: DataFrame, keys: DataFrame, on: str) -> None:
-    """Replace the rows of ``keys`` inside one partition.
+    """Replace the rows of ``keys`` inside one partition, which may end up without rows.
 
-    When nothing is left the partition is written empty, since an overwrite without rows would keep the old one.
+    Only that partition's folder is listed, and its content is written once.
     """
-    table = read_table(spark, path)
-    kept = replace_keys(scan(table, dt), new.withColumn("dt", F.lit(dt)).select(*table.columns), keys, [on])
-    settled = cut_lineage(kept)
-    if settled.isEmpty():
-        settled.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/dt={dt}")
-    else:
-        overwrite_partitions(settled, path)
+    storage.settle(spark, path)
+    folder = f"{path}/dt={dt}"
+    stored = storage.exists(spark, folder)
+    existing = spark.read.parquet(folder if stored else path).drop("dt")
+    kept = replace_keys(existing if stored else existing.limit(0), new.select(*existing.columns), keys, [on])
+    storage.commit(kept.hint("rebalance"), folder)
 
 
 def replace_records(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -143,3 +156,9 @@ def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
         return F.when(F.col("_fresh"), F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
 
     return merged.select(*[column(c) for c in existing.columns])
+
+
+def upsert_into(spark: SparkSession, path: str, new: DataFrame, key: str) -> None:
+    """``upsert`` of a stored table without partitions: written once, beside the old rows, and put in their place."""
+    storage.settle(spark, path.rstrip("/").rpartition("/")[0])
+    storage.commit(upsert(spark.read.parquet(path), new, key), path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from firmlake.operators.latest import ranked_per
 from firmlake.operators.profile import table_counts
 from firmlake.session import scratch_path
-from firmlake.sources import files
+from firmlake.sources import files, storage
 from firmlake.workload.tables import SQL_LISTING, SQL_MANIFEST, listing, manifest, table
 
 
@@ -74,6 +74,20 @@ def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads under different file names, a failed one, and the second day's report from what is stored."""
+    path, tables = scratch_path(spark, "manual"), {n: table(spark, sf_dir, n) for n in ("lineitem", "part", "orders", "region")}
+    first = {"Order Lines": tables["lineitem"], "part#A": tables["part"], "Old": tables["region"]}
+    second = {"Order Lines": tables["lineitem"].where("l_orderkey % 2 = 0"), "part#A": tables["part"], "New T": tables["orders"]}
+    log = files.load_file(spark, first, path, "book_1.accdb", "m1", dt.datetime(2024, 1, 16, 22))
+    log = log.unionByName(files.load_file(spark, second, path, "book_2.accdb", "m2", dt.datetime(2024, 1, 17, 9)))
+    clash = {"a b": tables["region"], "a_b": tables["region"]}
+    log = log.unionByName(files.load_file(spark, clash, path, "bad.accdb", "m3", dt.datetime(2024, 1, 17, 10)))
+    stored = storage.stored_counts(spark, path, ["manual_order_lines", "manual_part_a", "manual_new_t", "manual_old"])
+    report = files.load_details(log, stored, dt.date(2024, 1, 17))
+    return report.withColumn("status", F.substring_index("status", ":", 1))
+
+
 def counted_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts({name: table(spark, sf_dir, name) for name in ("orders", "lineitem", "customer")})
 
@@ -89,6 +103,7 @@ QUERIES = {
     "previous_load": previous_load,
     "count_changes": count_changes,
     "load_tables": load_tables,
+    "load_details": load_details,
     "table_counts": counted_tables,
 }
 
@@ -136,6 +151,15 @@ FROM sides""",
     "load_tables": """SELECT 'book.accdb' AS filename, 'success' AS status, 'Order Lines,part#A' AS table_names,
   '{"Order Lines": ' || (SELECT count(*) FROM lineitem) || ', "part#A": ' || (SELECT count(*) FROM part) || '}' AS table_counts
 UNION ALL SELECT 'manual_part_a', '[]', NULL, (SELECT count(*) FROM part)::VARCHAR""",
+    "load_details": """WITH n AS (SELECT (SELECT count(*) FROM lineitem) AS lines, (SELECT count(*) FROM lineitem WHERE l_orderkey % 2 = 0) AS even,
+  (SELECT count(*) FROM part) AS parts, (SELECT count(*) FROM orders) AS orders_, (SELECT count(*) FROM region) AS regions)
+SELECT 'book_2.accdb' AS filename, 'success' AS status, 'Order Lines' AS table_name, 'manual_order_lines' AS target_name, lines AS previous_rows,
+  '-' || format('{:,}', lines - even) AS change, even AS current_rows, false AS is_total FROM n
+UNION ALL SELECT 'book_2.accdb', 'success', 'part#A', 'manual_part_a', parts, '-', parts, false FROM n
+UNION ALL SELECT 'book_2.accdb', 'success', 'New T', 'manual_new_t', NULL, '新增', orders_, false FROM n
+UNION ALL SELECT NULL, NULL, 'Old', NULL, regions, '移除', NULL, false FROM n
+UNION ALL SELECT 'bad.accdb', 'failed', NULL, NULL, NULL, NULL, NULL, false FROM n
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, even + parts + orders_, true FROM n""",
     "table_counts": """WITH counts AS (SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
   UNION ALL SELECT 'customer', count(*) FROM customer)
 SELECT coalesce(table_name, 'total') AS table_name, sum(n)::BIGINT AS row_count, grouping(table_name) = 1 AS is_total FROM counts GROUP BY ROLLUP (table_name)""",

@@ -10,7 +10,7 @@ from firmlake.operators import decode, ids, latest, quality, responses
 from firmlake.plans import parsing
 from firmlake.registry import RESPONSE_CODES, code_meanings, response_codes
 from firmlake.session import scratch_path
-from firmlake.sources import files, tables
+from firmlake.sources import files, storage, tables
 from firmlake.workload.tables import (
     ACCOUNT_DATES,
     SQL_CUSTOMERS,
@@ -68,7 +68,7 @@ def partition_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = tables.read_table(spark, path, records(spark, sf_dir).select(*LOG).schema)
     scans = {
         "one": tables.scan(log, "20240116"),
-        "latest": tables.scan_latest(log),
+        "latest": tables.scan_newest(spark, path, log.schema),
         "set": tables.scan(log, "20240104", "20240115"),
         "before": tables.scan_before(log, "20240110"),
         "window": tables.created_between(log, "2024-01-16 00:00:00", "2024-01-17 00:00:00"),
@@ -179,8 +179,11 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def continue_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids above those of a stored log, whose footers name the highest."""
+    path = scratch_path(spark, "log")
+    tables.overwrite_partitions(records(spark, sf_dir).select(*LOG), path)
     new = customers(spark, sf_dir).select("name", F.lit(0).alias("id"))
-    return ids.continue_ids(new, records(spark, sf_dir), [F.col("name")])
+    return ids.continue_ids(new, storage.highest_id(spark, path), [F.col("name")])
 
 
 def max_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +304,29 @@ DECLARED = T.StructType(
 
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     actual = profiles(spark, sf_dir).select("api_record_id", "company_name", "update_time", "social_credit_code", "dt")
-    return quality.schema_report(actual, DECLARED)
+    return quality.schema_report(actual, DECLARED, ["dt"])
+
+
+def stored_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by date, one whose ``dt`` is a plain column, and one that is not there, from folders and footers."""
+    path = scratch_path(spark, "tables")
+    actual = profiles(spark, sf_dir).select("api_record_id", "company_name", "update_time", "social_credit_code", "dt")
+    tables.overwrite_partitions(actual, f"{path}/dated")
+    tables.rebuild_snapshot(actual, f"{path}/flat")
+    reports = [quality.stored_schema_report(spark, f"{path}/{t}", DECLARED).withColumn("table_name", F.lit(t)) for t in ("dated", "flat", "none")]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in place of a stored table, twice."""
+    path = scratch_path(spark, "customers")
+    tables.rebuild_snapshot(customers(spark, sf_dir).select("name", "is_prepaid", "c_nationkey"), path)
+    fresh = table(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE concat(c_name, '-b') END AS name", "'new' AS is_prepaid"
+    )
+    for _ in range(2):
+        tables.upsert_into(spark, path, fresh, "name")
+    return spark.read.parquet(path)
 
 
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +366,8 @@ QUERIES = {
     "partition_counts": partition_counts,
     "repeated_success": repeated_success,
     "schema_report": schema_report,
+    "stored_schema": stored_schema,
+    "upsert_stored": upsert_stored,
     "sample_rows": sample_rows,
     "name_difference": name_difference,
 }
@@ -392,6 +419,9 @@ UNION ALL SELECT api_record_id, company_name, data_create_time, '20240101' FROM
 SELECT api_record_id, company_name, strftime(data_create_time, '%Y-%m-%d %H:%M:%S') AS data_create_time, dt FROM both_parts""",
     "upsert": f"""WITH {SQL_CUSTOMERS}
 SELECT name, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE is_prepaid END AS is_prepaid, c_nationkey FROM customers
+UNION ALL SELECT name || '-b', 'new', NULL FROM customers WHERE c_custkey % 3 <> 0""",
+    "upsert_stored": f"""WITH {SQL_CUSTOMERS}
+SELECT name, CASE WHEN c_custkey % 3 = 0 THEN 'new' ELSE is_prepaid END AS is_prepaid, c_nationkey FROM customers
 UNION ALL SELECT name || '-b', 'new', NULL FROM customers WHERE c_custkey % 3 <> 0""",
     "conform": """SELECT c_custkey::INTEGER AS c_custkey, NULL::BIGINT AS c_name,
   c_acctbal::DECIMAL(24,4)::VARCHAR AS c_acctbal, NULL::VARCHAR AS dt FROM customer""",
@@ -457,6 +487,16 @@ UNION ALL SELECT 'update_time', 'timestamp', 'timestamp_ntz', 'type differs', fa
 UNION ALL SELECT 'tax_number', 'string', NULL, 'missing', false, NULL
 UNION ALL SELECT 'social_credit_code', NULL, 'string', 'unknown', false, count(social_credit_code) FROM profiles
 UNION ALL SELECT 'dt', 'string', 'string', 'ok', true, count(dt) FROM profiles""",
+    "stored_schema": f"""WITH {SQL_PROFILES}, states AS (
+SELECT 'api_record_id' AS column_name, 'bigint' AS declared_type, 'bigint' AS actual_type, 'ok' AS state, false AS is_partition, count(api_record_id) AS filled FROM profiles
+UNION ALL SELECT 'company_name', 'string', 'string', 'ok', false, count(company_name) FROM profiles
+UNION ALL SELECT 'update_time', 'timestamp', 'timestamp_ntz', 'type differs', false, count(update_time) FROM profiles
+UNION ALL SELECT 'tax_number', 'string', NULL, 'missing', false, NULL
+UNION ALL SELECT 'social_credit_code', NULL, 'string', 'unknown', false, count(social_credit_code) FROM profiles
+UNION ALL SELECT 'dt', 'string', 'string', 'ok', true, count(dt) FROM profiles)
+SELECT *, 'ok' AS table_state, 'dated' AS table_name FROM states
+UNION ALL SELECT * REPLACE (false AS is_partition), 'not by dt', 'flat' FROM states
+UNION ALL SELECT * REPLACE (NULL AS actual_type, 'missing' AS state, false AS is_partition, NULL AS filled), 'missing', 'none' FROM states WHERE declared_type IS NOT NULL""",
     "sample_rows": f"WITH {SQL_RECORDS} SELECT id, input_param FROM records WHERE status_code = 0 ORDER BY create_time, id LIMIT 5",
     "name_difference": f"""WITH {SQL_RECORDS}, {SQL_CUSTOMERS} SELECT name FROM customers EXCEPT SELECT input_param FROM records""",
 }

@@ -4,7 +4,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from firmlake.operators import responses
 from firmlake.operators.latest import latest_success
 from firmlake.plans import parsing as P
 
@@ -131,6 +133,58 @@ def test_unreadable_payloads_fail_alone(spark, key):
     assert P.parse(records, key).count() == 0
 
 
+WHOLE = '{"result":{"total":0,"items":[]},"res":"{}"}'
+
+
+@pytest.mark.parametrize("key", sorted(P.PARSERS))
+def test_anything_after_a_document_fails(spark, key):
+    after = [" garbage", "}", "]", "]}", "}]}", "] x }", f",{WHOLE}", WHOLE, ',"k":1', ',"k"', ' // x', ',"p":0}', ',"d41d8cd98f00b204e9800998ecf8427e":0}']
+    assert statuses(spark, key, *[WHOLE + a for a in after], f"[{WHOLE}]", WHOLE[:-1]) == ["FAILED"] * (len(after) + 2)
+    assert statuses(spark, key, WHOLE, f" {WHOLE}\n\t ") == ["SUCCESS"] * 2
+
+
+def test_the_last_of_repeated_members_counts_at_every_depth(spark):
+    (row,) = parse(spark, "822", '{"result":{"total":9,"total":1,"items":[{"changeItem":"a","changeItem":"b"}]}}')
+    assert given(row) == {"company_name": "甲公司", "total": 1, "change_item": "b"}
+    (row,) = parse(spark, "819", '{"result":{"id":1,"staffList":{"total":1,"total":2,"result":[{"n":1,"n":3}]}}}')
+    assert (row["staff_list_total"], row["staff_list_json"]) == (2, '[{"n":3}]')
+
+
+def test_text_after_the_inner_document_is_skipped(spark):
+    assert statuses(spark, "P51060", {"res": "{} x"}, {"res": "{}}"}, {"res": "{} "}) == ["SKIP_EMPTY", "SKIP_EMPTY", "SUCCESS"]
+
+
+def test_stats_count_rows(spark):
+    texts = ['{"result":{"total":2,"items":[{},{}]}}', '{"result":{"items":[{}]}}', "broken"]
+    records = spark.createDataFrame([(i, "a", "d", t) for i, t in enumerate(texts)], RECORD)
+    assert {r.parse_status: (r.records, r.rows) for r in P.parse_stats(records, "822").collect()} == {"SUCCESS": (2, 3), "FAILED": (1, 0)}
+
+
+def test_merged_responses_go_into_the_parser(spark):
+    page = lambda n, **more: json.dumps({"error_code": 0, "re\"ason": "o,k", "result": {"total": 45, "items": [{"name": f"[{n}]", "type": "]"}]}, **more})
+    rows = [
+        ("a", 1, page(1), 1), ("a", 2, page(2), 1), ("a", 3, page(3), 1), ("a", 4, page(4), 1),  # more pages than the total has
+        ("b", 1, page(1), 1), ("b", 2, '{"error_code":300004,"reason":"slow"}', 1), ("b", 3, page(3), 1),
+        ("c", 1, page(1), 1), ("c", 2, "broken", 1), ("c", 3, page(3), 1),
+        ("d", 1, '{"error_code":300000,"reason":"none"}', 1), ("d", 2, page(2), 1),
+        ("e", 1, "broken", 1), ("f", 1, '{"error_code":0,"result":null}', 1), ("f", 2, page(2), 1),
+        ("g", 1, '{"error_code":0,"x":1,"result":{"total":3,"items":[{"name":"only"}]}}', 1), ("h", 2, page(2), 1),
+        ("i", 1, '{"error_code":0,"result":{"total":25}}', 1), ("i", 2, page(2), 1), ("a", 2, page(9), 0), ("j", 1, None, 1),
+    ]
+    pages = spark.createDataFrame(rows, "call STRING, page_num INT, payload STRING, at INT")
+    found = {r.call: r for r in responses.merge_responses(pages, ["call"], [F.col("at").desc()]).collect()}
+    assert {c: (r.status_code, r.pages_used) for c, r in found.items()} == {
+        "a": (0, 3), "b": (0, 1), "c": (0, 1), "d": (300000, 0), "e": (-1, 0), "f": (0, 1), "g": (0, 1), "i": (0, 2), "j": (-1, 0)
+    }
+    merged = json.loads(found["a"].output_result)
+    assert merged == {"error_code": 0, 're"ason': "o,k", "result": {"total": 45, "items": [{"name": f"[{n}]", "type": "]"} for n in (1, 2, 3)]}}
+    assert json.loads(found["i"].output_result)["result"] == {"total": 25, "items": [{"name": "[2]", "type": "]"}]}
+    assert [found[c].output_result for c in "degf"] == [rows[10][2], "broken", rows[15][2], rows[13][2]]
+    (parsed,) = parse(spark, "851", found["g"].output_result)
+    assert given(parsed) == {"company_name": "甲公司", "total": 3, "taxpayer_name": "only"}
+    assert [r["taxpayer_name"] for r in parse(spark, "851", found["a"].output_result)] == ["[1]", "[2]", "[3]"]
+
+
 def test_newest_success_keeps_ties(spark):
     rows = [(1, "a", 0, 1), (2, "a", 0, 3), (3, "a", 0, 3), (4, "a", 300000, 9), (5, None, 0, 1), (6, "b", 1, 1), (7, "c", 0, None)]
     records = spark.createDataFrame(rows, "id INT, input_param STRING, status_code INT, create_time INT").selectExpr(

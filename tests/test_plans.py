@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firmlake.operators import quality, responses
 from firmlake.plans import lists, reports, scopes
+from firmlake.sources import files, tables
 from firmlake.registry import INTERFACES, interface_registry, response_codes
 
 YES, NO = "是", "否"
@@ -249,6 +250,64 @@ def test_parse_report(spark, customers, report):
     assert rows[("819", "20260605")].total == 1 and not rows[("967", "20260604")].has_data
 
 
+def test_parse_report_covers_interfaces_without_data(spark, customers, report):
+    parsed = spark.createDataFrame([("851", "20260605", "both"), ("851", "20260601", "both")], "interface_key STRING, dt STRING, company_name STRING")
+    later = report.withColumn("create_time", F.col("create_time") + F.expr("INTERVAL 2 DAYS")).withColumn("dt", F.lit("20260607"))
+    full = reports.parse_report(parsed, report.union(later), customers, interface_registry(spark))
+    rows = {(str(r.report_date), r.interface_key): r for r in full.collect()}
+    assert len(rows) == 3 * 12  # every day and reported interface, the day between too
+    found = rows["2026-06-06", "851"]
+    assert (found.dt, found.total, found.has_data, found.note) == ("20260605", 2, True, None)
+    gap = rows["2026-06-07", "851"]
+    assert (gap.dt, gap.success_count, gap.total, gap.has_data, gap.note) == ("20260606", 0, 0, False, "无数据")
+    assert rows["2026-06-08", "851"].success_count == 1 and rows["2026-06-08", "851"].total == 0
+    totals = {str(r.report_date): r for r in reports.parse_totals(full).where("is_total = 1").collect()}
+    assert (totals["2026-06-06"].total, totals["2026-06-06"].with_data, totals["2026-06-07"].total) == (2, 1, 0)
+    day = spark.createDataFrame([(dt.date(2026, 6, 7),)], "report_date DATE")
+    assert reports.parse_report(parsed, report, customers, interface_registry(spark), day).count() == 12
+
+
+def test_a_monthly_partition_counts_on_each_day_with_a_success(spark, customers):
+    times = [dt.datetime(2026, 6, 6, 3), dt.datetime(2026, 6, 8, 3)]
+    log = spark.createDataFrame([(i, "967", "post", 0, "{}", t, "20260604") for i, t in enumerate(times)], RECORD)
+    parsed = spark.createDataFrame([("967", "20260604", "post")] * 3, "interface_key STRING, dt STRING, company_name STRING")
+    found = reports.parse_report(parsed, log, customers, interface_registry(spark)).where("interface_key = '967'").orderBy("report_date").collect()
+    assert [(r.dt, r.success_count, r.total) for r in found] == [("20260604", 1, 3), ("20260604", 0, 0), ("20260604", 1, 3)]
+
+
+def test_a_company_that_changes_class_counts_by_the_day(spark):
+    """Customers are those of the partition before each business date."""
+    days = [dt.datetime(2026, 6, d, 3) for d in (6, 7, 8)]
+    log = spark.createDataFrame([(i, "819", "c", 0, "{}", t, f"2026060{t.day - 1}") for i, t in enumerate(days)], RECORD)
+    listed = [("c", "否", "20260605"), ("c", "是", "20260606"), ("other", "是", "20260607")]
+    customers = spark.createDataFrame(listed, "name STRING, is_prepaid STRING, dt STRING")
+    found = reports.call_report(log, customers, interface_registry(spark)).where("interface_key = '819'").orderBy("report_date").collect()
+    assert [(r.total, r.non_prepaid_calls, r.prepaid_calls) for r in found] == [(1, 1, 0), (1, 0, 1), (1, 0, 0)]
+    parsed = spark.createDataFrame([("819", f"2026060{d}", "c") for d in (5, 6, 7)], "interface_key STRING, dt STRING, company_name STRING")
+    found = reports.parse_report(parsed, log, customers, interface_registry(spark)).where("interface_key = '819'").orderBy("report_date").collect()
+    assert [(r.non_prepaid, r.prepaid, r.uncategorized) for r in found] == [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
+
+
+@pytest.mark.parametrize("zone, day", [("UTC", "2026-06-05"), ("Asia/Shanghai", "2026-06-06")])
+def test_business_dates_follow_the_zone_of_the_session(spark, customers, zone, day):
+    """20:00 UTC is four in the morning of the next day in Shanghai."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        log = spark.range(1).selectExpr(
+            "1 AS id", "'819' AS interface_key", "'post' AS input_param", "0 AS status_code", "'{}' AS output_result",
+            "timestamp_seconds(unix_seconds(timestamp'2026-06-05 20:00:00Z')) AS create_time", f"date_format(date_sub('{day}', 1), 'yyyyMMdd') AS dt",
+        )
+        found = reports.call_report(log, customers, interface_registry(spark)).where("total > 0").first()
+        assert (str(found.report_date), found.total) == (day, 1)
+        window = tables.created_between(log, day, str(dt.date.fromisoformat(day) + dt.timedelta(days=1)))
+        assert window.count() == 1 and tables.created_between(log, "2026-06-04", "2026-06-05").count() == 0
+        name = spark.createDataFrame([("x", 1780689600000)], "filename STRING, modified_ms BIGINT")  # the same moment
+        assert name.select(files.file_date(F.col("filename"), F.col("modified_ms"))).first()[0] == day.replace("-", "")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_trace_ratio_and_repeats(spark, report):
     parsed = spark.createDataFrame([(1, "20260605")] * 3 + [(99, "20260605")], "api_record_id INT, dt STRING")
     row = quality.trace_ratio(parsed, report).first()
