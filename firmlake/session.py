@@ -61,9 +61,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     files.create(place).close()  # only a path that exists can be marked
     files.deleteOnExit(place)
     files.delete(place, False)
+    _MADE.append(path)
     return path
 
 
+_MADE: list[str] = []  # scratch paths of this process, in order
+
+
+def scratch_paths() -> list[str]:
+    """All scratch paths made so far, the last one last."""
+    return list(_MADE)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes scratch data that nothing reads any more."""
     place, files = hadoop_file(spark, path)
@@ -85,6 +94,13 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*stored: DataFrame) -> None:
+    """Removes what ``write_and_read`` has stored for DataFrames that nothing reads any more."""
+    for df in stored:
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            drop_path(df.sparkSession, folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder."""
     context = df.sparkSession.sparkContext
