@@ -6,6 +6,7 @@ import ctypes
 import gc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -136,9 +137,9 @@ def filter_places(ids: np.ndarray, bits: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(U64) * GOLDEN) >> U64(64 - bits)).astype(np.int64)
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
+def id_filter(ids: DataFrame, bits_each: int = 16) -> np.ndarray:
     """Bits that are set for each id of the single, non-null long column; of bounded size, so with many ids it lets more others pass."""
-    bits = int(np.clip((16 * ids.count()).bit_length(), *FILTER_BITS))
+    bits = int(np.clip((bits_each * ids.count()).bit_length(), *FILTER_BITS))
     found = ids.coalesce(64).mapInArrow(_marks(bits), "marks binary").repartition(1).mapInArrow(_either, "marks binary").collect()
     marks = np.zeros(1 << (bits - 3), np.uint8)
     for row in found:
@@ -151,6 +152,32 @@ def may_hold(marks: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _passes(spark: SparkSession, ids: DataFrame, column: str):
+    """Whether a row's id may be one of ``ids``: all of them, and few others."""
+    marks = spark.sparkContext.broadcast(id_filter(ids, 1024))
+
+    @F.pandas_udf("boolean")
+    def test(values: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(marks.value, values.to_numpy(np.int64)))
+
+    return F.col(column).isNotNull() & test(F.coalesce(F.col(column), F.lit(0)))
+
+
+def without_ids(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose long ``column`` is null or none of ``ids`` (a column of that name, distinct, stored).
+
+    Whole rows are not shuffled: a filter of bounded size lets through all but the wanted ids and a few others, and only those
+    few others meet a join, as ids first and then as rows.
+    """
+    spark = rows.sparkSession
+    passes = _passes(spark, ids, column)
+    others = write_and_read(rows.where(passes).select(column).distinct().join(ids, column, "left_anti"), "others")
+    kept = rows.where(~passes)
+    if others.isEmpty():
+        return kept
+    return kept.union(rows.where(passes & _passes(spark, others, column)).join(others, column, "left_semi").select(*rows.columns))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id on an edge of ``edges`` (a, b): component is the smallest id that it reaches.
 

@@ -4,9 +4,11 @@ Every permutation is evaluated once and gives two signature values: its smallest
 text. Both ends of a permutation agree for two texts with the probability of their Jaccard similarity, so 64 evaluations give
 128 values. They are banded; texts that share a band are candidates, and each link is confirmed on the full sets of shingles.
 
-Texts with the same words are one class and are signed once. In a bucket every class is first compared with the smallest one.
-What these links do not join yet is compared in blocks inside the tasks: a block pair gives back a spanning forest, never all
-pairs, so a bucket that holds a third of the rows is spread over many tasks and its output stays in proportion to its rows.
+Texts with the same words are one class and are signed once. Classes that buckets hold together form groups. A group of up to
+``BLOCK`` classes is compared in one task, to which each set of shingles goes once. In larger groups every class is first compared
+with the smallest one of its bucket, and what these links do not join yet is compared in blocks. A task gives back a spanning
+forest, never all pairs, so a bucket that holds a third of the rows is spread over many tasks and its output stays in
+proportion to its rows. Stored steps go as soon as nothing reads them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmlake.llm.common import U64, WordHashes, components, give_back, id_filter, list_array, may_hold, mix, shingle_set, signed, small_batches, words_of
-from firmlake.session import write_and_read
+from firmlake.session import drop_stored, write_and_read
 
 PERMUTATIONS = 64
 ROWS_PER_BAND = 5  # 25 bands of 5: a pair at similarity 0.8 shares none with probability 5e-5
@@ -120,6 +122,59 @@ def _block_links(percent: int):
     return run
 
 
+def _group_links(percent: int):
+    def run(key, table):
+        table = table.sort_by("id")
+        ids, sets = table.column("id").to_pylist(), [np.asarray(x.values) for x in table.column("shingles")]
+        root = list(range(len(ids)))
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        found = []
+        for i in range(len(ids)):
+            for j in range(i + 1, len(ids)):
+                a, b = top(i), top(j)
+                if a != b and similar(sets[i], sets[j], percent):
+                    root[max(a, b)] = min(a, b)
+                    found.append((ids[i], ids[j]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
+
+    return run
+
+
+def _large_links(candidates: DataFrame, sets: DataFrame, percent: int, block: int) -> tuple[DataFrame, ...]:
+    """Links (a, b) within buckets of large groups, and what was stored for them.
+
+    Every class is first compared with the smallest one of its bucket; what that does not join is compared in blocks.
+    """
+    pairs = candidates.where("id > lead").select("lead", "id").distinct()
+    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("lead"), F.col("shingles").alias("of_lead")), "lead")
+    common, sizes = F.size(F.array_intersect("shingles", "of_lead")), F.size("shingles") + F.size("of_lead")
+    plausible = F.least(F.size("shingles"), F.size("of_lead")) * 100 >= F.greatest(F.size("shingles"), F.size("of_lead")) * percent
+    linked = both.where(plausible).where(common * 100 >= (sizes - common) * percent)
+    # the same text twice under one smallest doc_id needs no link; classes of one doc_id are joined by sharing the id
+    direct = write_and_read(linked.select(F.col("lead").alias("a"), F.col("id").alias("b")), "links")
+    joined = write_and_read(components(direct), "components")
+
+    placed = candidates.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_buckets = write_and_read(
+        placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("bucket", F.ceil(F.col("n") / block).alias("blocks")),
+        "open-buckets",
+    )
+    units = (
+        placed.drop("n").join(open_buckets, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select("bucket", "id", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+    )
+    compared = units.join(sets, "id").groupBy("bucket", "left", "right").applyInArrow(_block_links(percent), "a long, b long")
+    compared = write_and_read(compared, "links")
+    return direct.union(compared), direct, joined, open_buckets, compared
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -153,31 +208,25 @@ def near_duplicates(
     marks = docs.sparkSession.sparkContext.broadcast(id_filter(candidates.select("id").distinct()))
     sets = write_and_read(source.where("doc_id is not null").mapInArrow(_sets(words, marks), "id long, shingles array<long>"), "shingles")
 
-    pairs = candidates.where("id > lead").select("lead", "id").distinct()
-    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("lead"), F.col("shingles").alias("of_lead")), "lead")
-    common, sizes = F.size(F.array_intersect("shingles", "of_lead")), F.size("shingles") + F.size("of_lead")
-    plausible = F.least(F.size("shingles"), F.size("of_lead")) * 100 >= F.greatest(F.size("shingles"), F.size("of_lead")) * percent
-    linked = both.where(plausible).where(common * 100 >= (sizes - common) * percent)
-    # the same text twice under one smallest doc_id needs no link; classes of one doc_id are joined by sharing the id
-    direct = write_and_read(linked.select(F.col("lead").alias("a"), F.col("id").alias("b")), "links")
-    joined = write_and_read(components(direct), "components")
-
-    placed = candidates.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_buckets = write_and_read(
-        placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("bucket", F.ceil(F.col("n") / block).alias("blocks")),
-        "open-buckets",
-    )
-    units = (
-        placed.drop("n").join(open_buckets, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select("bucket", "id", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
-    )
-    compared = units.join(sets, "id").groupBy("bucket", "left", "right").applyInArrow(_block_links(percent), "a long, b long")
-    final = write_and_read(components(direct.union(compared)), "components")
+    # classes that buckets hold together, directly or by others: most of these groups are small, and each set goes to its group once
+    together = write_and_read(components(candidates.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))), "together")
+    large = together.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > block).select("component")
+    large = write_and_read(large, "large-groups")
+    placed = together.join(large.withColumn("is_large", F.lit(True)), "component", "left")
+    placed = write_and_read(placed.select("id", "component", F.col("is_large").isNotNull().alias("is_large")), "placed")
+    in_groups = sets.join(placed.where("not is_large").select("id", "component"), "id")
+    links = write_and_read(in_groups.groupBy("component").applyInArrow(_group_links(percent), "a long, b long"), "links")
+    stored = [together, large, placed, links]
+    if not large.isEmpty():
+        rest = write_and_read(candidates.join(placed.where("is_large").select("id"), "id", "left_semi"), "candidates")
+        more = _large_links(rest, sets, percent, block)
+        links, stored = links.union(more[0]), [*stored, rest, *more]
+    final = write_and_read(components(links), "components")
+    drop_stored(sets, shared, candidates, *stored)
 
     groups = classes.select("key", "id").join(final, "id", "left").select("key", F.coalesce("component", "id").alias("component_id"))
     groups = write_and_read(groups, "groups")
+    drop_stored(final, classes)
     result = signs.select("doc_id", "n_shingles", "key").join(groups, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     result = result.select("doc_id", "n_shingles", component.alias("component_id"))

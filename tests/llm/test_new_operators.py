@@ -10,8 +10,9 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from firmlake.llm import crosstok, dac, hardnegatives, licenses, pieces
+from firmlake.llm import common, crosstok, dac, hardnegatives, licenses, pieces
 from firmlake.llm.queries import tokenizer_file
+from firmlake.session import write_and_read
 
 DOCS = "doc_id long, text string, words string, row string, blocks int, digest string"
 
@@ -253,3 +254,13 @@ def test_pieces_give_the_ids_of_whole_texts():
     found, per_text = pieces.cut(pa.array(texts))
     parts = found.to_pylist()
     assert ["".join(parts[e - n : e]) for e, n in zip(np.cumsum(per_text).tolist(), per_text.tolist(), strict=True)] == texts
+
+
+@pytest.mark.parametrize("bits", [(16, 26), (3, 3)])  # the second lets most others pass
+def test_rows_without_ids(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    rows = spark.createDataFrame([(i % 300 if i % 7 else None, f"t{i}") for i in range(900)], "doc_id long, text string")
+    for gone in ([], [0], list(range(0, 300, 3))):
+        ids = write_and_read(spark.createDataFrame([(g,) for g in gone], "doc_id long"), "gone")
+        got = Counter(map(tuple, common.without_ids(rows, "doc_id", ids).collect()))
+        assert got == Counter(tuple(r) for r in rows.collect() if r.doc_id not in gone)
