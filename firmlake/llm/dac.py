@@ -217,8 +217,23 @@ def _write(folder: str, tokenizer_file: str, end_id: int, ids_per_file: int):
             uri = out.close()
             return pa.RecordBatch.from_pydict({"file": [uri], "part": pa.array([part], pa.int32()), "number": pa.array([made], pa.int32()), "ids": pa.array([held], pa.int64())})
 
-        for batch in batches:
-            texts, numbers = pc.fill_null(batch.column("text"), ""), batch.column("doc_id").to_pylist()
+        def gathered() -> Iterator[tuple[pa.Array, list]]:
+            """Rows of several batches together: the more text, the fewer distinct pieces of it."""
+            some, size = [], 0
+            for batch in batches:
+                some.append(batch)
+                size += batch.column("text").nbytes
+                if size >= TEXT_AT_ONCE:
+                    yield rows(some)
+                    some, size = [], 0
+            if some:
+                yield rows(some)
+
+        def rows(some: list[pa.RecordBatch]) -> tuple[pa.Array, list]:
+            table = pa.Table.from_batches(some)
+            return pc.fill_null(table.column("text"), "").combine_chunks(), table.column("doc_id").to_pylist()
+
+        for texts, numbers in gathered():
             for a, b in slices(texts, TEXT_AT_ONCE):
                 some, sizes = encoder.encode(texts.slice(a, b - a))
                 ids.append(some)
