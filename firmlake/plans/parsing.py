@@ -539,6 +539,7 @@ def parse_stats(records: DataFrame, interface_key: str) -> DataFrame:
     """
     statuses = decode(records, interface_key).groupBy("parse_status").agg(F.count("*").alias("records"))
     rows = PARSERS[interface_key].rows(_with_status(records, interface_key, SUCCESS))
-    counted = rows.groupBy(F.lit(SUCCESS).alias("parse_status")).agg(F.count("*").alias("rows"))
-    joined = statuses.join(counted, "parse_status", "left")
-    return joined.select(F.lit(interface_key).alias("interface_key"), "parse_status", "records", F.coalesce("rows", F.lit(0)).alias("rows"))
+    counted = rows.agg(F.count("*").alias("rows")).select(F.lit(SUCCESS).alias("parse_status"), F.lit(0).alias("records"), "rows")
+    both = statuses.select("parse_status", "records", F.lit(0).alias("rows")).union(counted).groupBy("parse_status")
+    summed = both.agg(F.sum("records").alias("records"), F.sum("rows").alias("rows")).where("records > 0")
+    return summed.select(F.lit(interface_key).alias("interface_key"), "parse_status", "records", "rows")
