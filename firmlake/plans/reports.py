@@ -158,29 +158,33 @@ def call_totals(report: DataFrame) -> DataFrame:
     return summed.where(F.col("report_date").isNotNull())
 
 
-def abnormal_examples(records: DataFrame, registry: DataFrame, codes: DataFrame) -> DataFrame:
+def abnormal_examples(records: DataFrame, registry: DataFrame, codes: DataFrame, examples: int = EXAMPLES, reasons: int = REASONS,
+                      reason_records: int = REASON_RECORDS) -> DataFrame:
     """Per date, interface and abnormal code: count, meaning, first companies and the first reasons given.
 
-    The ranking keeps ten records of a code per task ahead of its shuffle; the lists hold no more than those.
+    The lists are samples: the companies of the first ``examples`` records by id, and up to ``reasons`` reasons of the first
+    ``reason_records`` of those. ``companies_listed`` says how many records are listed, ``is_sample`` whether there are more. The
+    ranking keeps as many records of a code per task ahead of its shuffle.
     """
     keys = ["report_date", "interface_key", "provider", "status_code"]
     abnormal = reported_records(records, registry).where(
         (F.col("status_code") != 0) & ~F.array_contains("normal_codes", F.col("status_code"))
     )
     counts = abnormal.groupBy(*keys).agg(F.count("*").alias("records"))
-    first = first_per(abnormal.select(*keys, "id", "input_param", "output_result"), keys, [F.col("id")], EXAMPLES)
+    first = first_per(abnormal.select(*keys, "id", "input_param", "output_result"), keys, [F.col("id")], examples)
     reason = failure_reason(F.col("output_result"))
     gathered = first.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("id", "input_param", reason.alias("reason")))).alias("examples")
     )
-    reasons = F.transform(F.slice("examples", 1, REASON_RECORDS), lambda e: e["reason"])
+    given = F.transform(F.slice("examples", 1, reason_records), lambda e: e["reason"])
     known = codes.withColumnRenamed("code", "status_code")
     joined = counts.join(gathered, keys).join(F.broadcast(known), ["provider", "status_code"], "left")
     return joined.select(
         "report_date", "interface_key", "status_code", "records",
         F.coalesce("meaning", unknown(F.col("status_code"))).alias("meaning"),
         F.array_join(F.transform("examples", lambda e: e["input_param"]), ", ").alias("companies"),
-        F.array_join(F.slice(F.filter(reasons, lambda r: r.isNotNull()), 1, REASONS), "; ").alias("reasons"),
+        F.array_join(F.slice(F.filter(given, lambda r: r.isNotNull()), 1, reasons), "; ").alias("reasons"),
+        F.size("examples").alias("companies_listed"), (F.col("records") > F.size("examples")).alias("is_sample"),
     )
 
 

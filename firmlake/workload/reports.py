@@ -198,7 +198,8 @@ reasoned AS (SELECT *, count(CASE WHEN rn <= 5 THEN reason END) OVER (PARTITION
 SELECT report_date::VARCHAR AS report_date, interface_key, r.status_code, count(*) AS records,
   coalesce(any_value(meaning), '未知错误码(' || r.status_code || ')') AS meaning,
   string_agg(CASE WHEN rn <= 10 THEN input_param END, ', ' ORDER BY id) AS companies,
-  coalesce(string_agg(CASE WHEN rn <= 5 AND nth <= 3 THEN reason END, '; ' ORDER BY id), '') AS reasons
+  coalesce(string_agg(CASE WHEN rn <= 5 AND nth <= 3 THEN reason END, '; ' ORDER BY id), '') AS reasons,
+  least(count(*), 10)::INTEGER AS companies_listed, count(*) > 10 AS is_sample
 FROM reasoned r LEFT JOIN codes c ON c.provider = r.provider AND c.status_code = r.status_code
 GROUP BY r.report_date, interface_key, r.status_code""",
     "alert_decision": f"""WITH {SQL_REPORT}, decided AS (

@@ -237,6 +237,9 @@ def test_abnormal_examples(spark):
     found = reports.abnormal_examples(spark.createDataFrame(rows, RECORD), interface_registry(spark), response_codes(spark)).first()
     assert (found.records, found.meaning, found.reasons) == (15, "未知错误码(-1)", "m1; r2; r3")
     assert found.companies == ", ".join(f"c{i}" for i in range(10))
+    assert (found.companies_listed, found.is_sample) == (10, True)
+    whole = reports.abnormal_examples(spark.createDataFrame(rows, RECORD), interface_registry(spark), response_codes(spark), 20, 20, 20).first()
+    assert (whole.companies_listed, whole.is_sample, whole.reasons.count(";")) == (15, False, 8)
 
 
 def test_parse_report(spark, customers, report):
