@@ -7,14 +7,18 @@ until one of them is 0 or 1, and the other goes on with the rest. A duel keeps t
 The duels form a reduction tree. A source's documents of about the same size are dealt out over groups of about ``GROUP``, each
 group is folded in order of size (neighbours weigh about the same, so little is lost when mass moves), and what is left of each
 group meets on the next level, in the end across the size classes of a source. A source that holds a third of all rows is many
-groups. Chance comes from hashes of the ids: reruns agree.
+groups. Repeated rows are one member of a group: a duel between equal fractions is an addition, which a partial aggregate does.
+Chance comes from hashes of the ids: reruns agree.
 
 Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmlake.llm.common import WORD
@@ -26,6 +30,7 @@ MOST_COPIES = 3
 CYCLE = 3  # weights 1, 2, 3, 1, ...
 BROADCAST_ROWS = 50_000  # a table of sources and size classes up to this size is sent to all tasks; a larger one is shuffled
 NAME_BYTES = 256  # ... if no name is longer
+UNIT = ["source", "size", "d", "t"]  # rows that agree in these (doc_id as d, the text's hash as t) are exchangeable
 
 UNIFORM = "(shiftrightunsigned(xxhash64(a.d, x.d, x.t, {level}), 11) * pow(2D, -53))"
 #: the next document loses the duel (or wins a whole copy) and leaves; otherwise the carried one does
@@ -79,43 +84,74 @@ def _duels(items: DataFrame, level: int) -> DataFrame:
     return folded.select("source", "class", F.explode(every).alias("one")).select("source", "class", "one.*")
 
 
+def _row_copies(narrow: DataFrame, decided: DataFrame) -> DataFrame:
+    """(uid, size, source_size, target, copies) of each row from the copies of its unit.
+
+    Of the rows of one unit the first ``extra`` in order of uid get a copy more. They are numbered by the input partition that
+    uid names: counts per unit and partition are added up first, so that no task gathers a unit that is repeated very often.
+    """
+    shared = ["source_size", "target"]
+    single = decided.where("n = 1").select("uid", "size", *shared, (F.col("whole") + F.col("extra")).cast("int").alias("copies"))
+    repeated = decided.where("n > 1")
+    if repeated.isEmpty():
+        return single
+    placed = narrow.withColumn("block", F.shiftright("uid", 33))
+
+    def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+        return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+    counts = placed.groupBy(*UNIT, "block").agg(F.count("*").alias("rows"))
+    ahead = F.sum("rows").over(Window.partitionBy(*UNIT).orderBy("block")) - F.col("rows")
+    known = counts.join(repeated, same(counts, repeated, UNIT)).select(*[counts[c] for c in counts.columns], "whole", "extra", *shared)
+    known = write_and_read(known.withColumn("ahead", ahead), "repeated")
+    joined = placed.join(known, same(placed, known, [*UNIT, "block"])).select(*[placed[c] for c in placed.columns], "whole", "extra", "ahead", *shared)
+    number = F.row_number().over(Window.partitionBy(*UNIT, "block").orderBy("uid")) + F.col("ahead")
+    copies = F.col("whole") + F.when(number <= F.col("extra"), 1).otherwise(0)
+    return single.union(joined.select("uid", "size", *shared, copies.cast("int").alias("copies")))
+
+
 def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, source) as struct ``row``, with size, source_size, target and copies (0 to 3).
 
     size is the number of words; null and blank texts have 0 words and may be taken or not at no cost. A null source is a source
-    of its own, the last one. Repeated rows are rounded one by one; null doc_ids are allowed. A table without words has target 0
-    everywhere; an empty table gives an empty result. Columns of any name stay inside ``row``.
+    of its own, the last one. Null doc_ids are allowed. Rows with one doc_id, text and source are one unit, whose fractions are
+    added up ahead of the duels; each of its rows gets the whole part of its share or one more, and which ones get more follows
+    the order in which the rows were read. A table without words has target 0 everywhere; an empty table gives an empty result.
+    Columns of any name stay inside ``row``.
+
+    The rows are stored once; the duels carry ids, sizes and fractions only.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    size_class = F.floor(2 * F.log2(F.col("size") + 1)).cast("int").alias("class")
-    sized = rows.withColumn("size", word_count(F.col("row.text"))).select("*", size_class)
-    sizes = docs.select("source", word_count(F.col("text")).alias("size"))
-    by_class = write_and_read(sizes.groupBy("source", size_class).agg(F.count("*").alias("documents"), F.sum("size").alias("size")), "sizes")
+    stored = write_and_read(
+        rows.select(F.monotonically_increasing_id().alias("uid"), word_count(F.col("row.text")).alias("size"), F.xxhash64("row.text").alias("t"), "row"), "rows"
+    )
+    narrow = stored.select("uid", F.col("row.source").alias("source"), "size", F.col("row.doc_id").alias("d"), "t")
+    units = write_and_read(narrow.groupBy(*UNIT).agg(F.count("*").alias("n"), F.min("uid").alias("uid")), "units")
+    units = units.withColumn("class", F.floor(2 * F.log2(F.col("size") + 1)).cast("int"))
+    by_class = write_and_read(units.groupBy("source", "class").agg(F.count("*").alias("documents"), F.sum(F.col("size") * F.col("n")).alias("size")), "sizes")
     targets = source_targets(by_class)
     known = by_class.join(targets, by_class["source"].eqNullSafe(targets["source"])).select(by_class["source"], "class", by_class["documents"], "source_size", "target")
     n_rows, longest, most = by_class.agg(F.count("*"), F.max(F.octet_length("source")), F.max("documents")).first()
     if n_rows <= BROADCAST_ROWS and (longest or 0) <= NAME_BYTES:
         known = F.broadcast(known)
-    joined = sized.join(known, F.col("row.source").eqNullSafe(known["source"]) & (sized["class"] == known["class"]))
+    joined = units.join(known, units["source"].eqNullSafe(known["source"]) & (units["class"] == known["class"]))
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(copies).cast("int")
+    share = (copies - whole) * F.col("n")  # of all rows of the unit together
     items = joined.select(
         known["source"],
         known["class"],
-        F.pmod(F.xxhash64("row.doc_id", "size", F.lit(0)), F.ceil(F.col("documents") / group)).alias("part"),
+        F.pmod(F.xxhash64("d", "size", "t", F.lit(0)), F.ceil(F.col("documents") / group)).alias("part"),
         F.struct(
-            F.col("row.doc_id").alias("d"), F.xxhash64("row.text").alias("t"), "size", (copies - whole).alias("p"), whole.alias("whole"),
-            "source_size", "target", "documents", "row",
+            "d", "t", "size", (share - F.floor(share)).alias("p"), F.floor(share).alias("sure"), whole.alias("whole"), "n", "uid",
+            "source_size", "target", "documents",
         ).alias("item"),
     )
     decided, level = [], 0
     while True:
-        stored = write_and_read(_duels(items, level), "duels")
-        decided.append(stored.where("copy is not null").select("item", "copy"))
-        going_on = stored.where("copy is null").select(
-            "source", "class",
-            F.expr("named_struct('d', item.d, 't', item.t, 'size', item.size, 'p', p, 'whole', item.whole, 'source_size', item.source_size, 'target', item.target, 'documents', item.documents, 'row', item.row)").alias("item"),
-        )
+        held = write_and_read(_duels(items, level), "duels")
+        decided.append(held.where("copy is not null").select("source", "item", "copy"))
+        going_on = held.where("copy is null").select("source", "class", F.col("item").withField("p", F.col("p")).alias("item"))
         level += 1
         if level > 1 and (most or 0) <= group ** (level - 1):  # the last level has met across the classes
             break
@@ -126,11 +162,11 @@ def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
             parts = F.ceil(F.col("item.documents") / group ** (level + 1))
             items = going_on.withColumn("part", F.pmod(F.xxhash64("item.d", "item.t", F.lit(level)), parts))
     u = F.expr("shiftrightunsigned(xxhash64(item.d, item.t, -1), 11) * pow(2D, -53)")
-    decided.append(going_on.select("item", F.when(u < F.col("item.p"), 1).otherwise(0).alias("copy")))
-    every = decided[0]
-    for part in decided[1:]:
-        every = every.union(part)
-    return every.select("item.row", "item.size", "item.source_size", "item.target", (F.col("item.whole") + F.col("copy")).alias("copies"))
+    decided.append(going_on.select("source", "item", F.when(u < F.col("item.p"), 1).otherwise(0).alias("copy")))
+    every = reduce(DataFrame.union, decided)
+    extra = F.col("item.sure") + F.col("copy")
+    every = every.select("source", "item.d", "item.t", "item.size", "item.n", "item.uid", "item.whole", "item.source_size", "item.target", extra.alias("extra"))
+    return stored.select("uid", "row").join(_row_copies(narrow, every), "uid").select("row", "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, group: int = GROUP) -> DataFrame:

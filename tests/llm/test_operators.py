@@ -211,6 +211,34 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_takes_repeated_rows_as_one_unit(spark):
+    rows = [(1, "a b c", "hot")] * 6000 + [(None, "a b", "hot")] * 500 + [(i, "w " * (1 + i % 50), "hot") for i in range(2, 2000)]
+    rows += [(i, "v " * (i % 90), "cold") for i in range(9000, 9600)] + [(1, "a b c", "cold")] * 2
+    docs = document_frame(spark, rows).repartition(7)
+    got = mixing.mix(docs, group=32).select("row.doc_id", "row.source", "row.text", "size", "target", "copies").collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter(rows)
+    copies: dict = {}
+    for r in got:
+        copies.setdefault((r.doc_id, r.text, r.source), Counter())[r.copies] += 1
+    for unit in copies.values():
+        assert max(unit) - min(unit) <= 1 and max(unit) <= 3
+    for source in ("hot", "cold"):
+        taken = sum(r.copies * r.size for r in got if r.source == source)
+        assert abs(taken - next(r.target for r in got if r.source == source)) <= 100
+    repeated, words = copies[1, "a b c", "hot"], sum(len(t.split()) for _, t, s in rows if s == "hot")
+    share = next(r.target for r in got if r.source == "hot") / words
+    assert abs(sum(c * n for c, n in repeated.items()) - 6000 * share) < 1
+    again = mixing.mix(docs.repartition(3), group=32).select("row.doc_id", "row.source", "row.text", "copies").collect()
+    assert Counter((r.doc_id, r.source, r.text, r.copies) for r in got) == Counter(map(tuple, again))
+
+
+def test_mix_carries_no_texts_through_the_duels(spark):
+    docs = document_frame(spark, [(i, f"w {i} " * (i % 40), f"s{i % 2}") for i in range(300)])
+    plan = mixing.mix(docs).select("row.doc_id", "copies")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in "".join(line for line in plan.splitlines() if "ReadSchema" in line)
+    assert "Python" not in plan and "InArrow" not in plan
+
+
 def test_tokens_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
