@@ -13,7 +13,7 @@ from firmlake.functions import calendar as cal
 from firmlake.functions.values import NO, YES, failure_reason, page_count
 from firmlake.operators.decode import unknown
 from firmlake.operators.latest import first_per
-from firmlake.registry import HALF_YEAR_MONTHS, INTERFACES, MAX_PAGES, MONTHLY_DAY, PAGE_SIZE
+from firmlake.registry import HALF_YEAR_MONTHS, INTERFACES, MONTHLY_DAY
 from firmlake.schemas import company_column
 from firmlake.sources.files import export_csv
 from firmlake.sources.tables import created_between
@@ -94,8 +94,20 @@ def expected_interfaces(records: DataFrame, registry: DataFrame, dates: DataFram
 
 
 def counted_calls(reported: DataFrame) -> DataFrame:
-    """Calls behind each record: its pages for a paged interface, else one."""
-    return reported.withColumn("calls", F.when(F.col("paged"), page_count(F.col("output_result"), PAGE_SIZE, MAX_PAGES)).otherwise(F.lit(1)))
+    """Calls behind each record: its pages for a paged interface, up to the interface's ``page_limit`` if it has one, else one."""
+    pages = page_count(F.col("output_result"), F.col("page_size"), F.col("page_limit"))
+    return reported.withColumn("calls", F.when(F.col("paged"), pages).otherwise(F.lit(1)))
+
+
+def page_limits(records: DataFrame, registry: DataFrame) -> DataFrame:
+    """Per date and paged interface: records, those that list more pages than the limit lets through, and the pages lost by it."""
+    paged = reported_records(records, registry.where("paged"))
+    listed = page_count(F.col("output_result"), F.col("page_size"))
+    lost = F.greatest(F.lit(0), F.coalesce(listed - F.col("page_limit"), F.lit(0)))
+    per_record = paged.select("report_date", "interface_key", "page_limit", listed.alias("listed"), lost.alias("lost"))
+    return per_record.groupBy("report_date", "interface_key", "page_limit").agg(
+        F.count("*").alias("records"), F.count_if(F.col("lost") > 0).alias("records_cut"), F.sum("listed").alias("pages_listed"), F.sum("lost").alias("pages_lost")
+    )
 
 
 def status_counts(records: DataFrame, registry: DataFrame) -> DataFrame:

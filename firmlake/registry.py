@@ -7,42 +7,41 @@ from pyspark.sql import DataFrame, SparkSession
 MONTHLY_DAY = 5
 HALF_YEAR_MONTHS = (1, 7)
 PAGE_SIZE = 20
-MAX_PAGES = 250
 
 REGISTRY_SCHEMA = """
     interface_key STRING, interface_name STRING, provider STRING, frequency STRING, post_paid_frequency STRING,
     prepaid_frequency STRING, charge_per_query BOOLEAN, normal_codes ARRAY<INT>, paged BOOLEAN,
     relation STRING, in_scope_from STRING, exclude_listed BOOLEAN, half_year_prepaid BOOLEAN, reported BOOLEAN,
-    retries BOOLEAN, stops_at_normal_code BOOLEAN"""
+    retries BOOLEAN, stops_at_normal_code BOOLEAN, page_size INT, page_limit INT"""
 
 # fixed values: one row per interface, columns as in REGISTRY_SCHEMA
 INTERFACES = [
     ("819", "企业基本信息（含主要人员）", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:1", "customers", True, False, True, True, True),
+     "1:1", "customers", True, False, True, True, True, None, None),
     ("851", "欠税公告", "registry", "daily", "daily", "monthly", True, [300000], True,
-     "1:N", "customers", True, False, True, False, False),
+     "1:N", "customers", True, False, True, False, False, 20, 250),
     ("1058", "企业天眼风险", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:N", "customers", True, False, True, True, False),
+     "1:N", "customers", True, False, True, True, False, None, None),
     ("822", "变更记录", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:N", "customers", True, False, True, True, False),
+     "1:N", "customers", True, False, True, True, False, None, None),
     ("854", "上市公司企业简介", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:1", "customers", True, False, True, True, False),
+     "1:1", "customers", True, False, True, True, False, None, None),
     ("1168", "组织机构", "registry", "monthly", "monthly", "monthly", True, [300000], False,
-     "1:1", "customers", True, False, True, False, False),
+     "1:1", "customers", True, False, True, False, False, None, None),
     ("1149", "企业规模", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:1", "customers", True, False, True, True, False),
+     "1:1", "customers", True, False, True, True, False, None, None),
     ("967", "主要指标-年度", "registry", "monthly", "monthly", "monthly", False, [300000], False,
-     "1:N", "customers", True, False, True, True, False),
+     "1:N", "customers", True, False, True, True, False, None, None),
     ("1114", "法律诉讼", "registry", "daily", "daily", "monthly", True, [300000], False,
-     "1:N", "customers", True, False, False, False, False),
+     "1:N", "customers", True, False, False, False, False, 20, 250),
     ("1041", "司法解析", "registry", "daily", "daily", "monthly", True, [300000], True,
-     "1:N", "customers", True, False, True, False, False),
+     "1:N", "customers", True, False, True, False, False, 20, 250),
     ("973", "现金流量表", "registry", "monthly", "monthly", "monthly", False, [300000], False,
-     "1:N", "customers", True, False, True, True, False),
+     "1:N", "customers", True, False, True, True, False, None, None),
     ("1001", "工商信息(分公司查总公司)", "registry", "daily", "daily", "monthly", False, [300000], False,
-     "1:1", "branches", True, False, True, True, True),
+     "1:1", "branches", True, False, True, True, True, None, None),
     ("P51060", "付款指数（PAYDEX®）", "credit", "monthly", "monthly", "half_year", False, [1, 1021, 2001], False,
-     "1:1", "customers", True, True, True, True, False),
+     "1:1", "customers", True, True, True, True, False, None, None),
 ]
 
 # fixed values: response codes per provider

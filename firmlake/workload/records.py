@@ -53,6 +53,12 @@ def latest_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.latest_success(coarse).select("id", "interface_key", "input_param", "dt")
 
 
+def latest_sieved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with older records left out ahead of the join."""
+    coarse = records(spark, sf_dir).withColumn("create_time", F.date_trunc("day", "create_time"))
+    return latest.latest_success(coarse, sieve_bits=27).select("id", "interface_key", "input_param", "dt")
+
+
 def newest_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col("update_time").desc_nulls_last(), F.col("api_record_id").desc()]
     return latest.first_per(profiles(spark, sf_dir), ["company_name"], order, 3).select("api_record_id", "company_name", "dt")
@@ -341,6 +347,7 @@ def name_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "latest_success": latest_success,
+    "latest_sieved": latest_sieved,
     "latest_by_day": latest_by_day,
     "newest_profiles": newest_profiles,
     "partition_scans": partition_scans,
@@ -500,3 +507,4 @@ UNION ALL SELECT * REPLACE (NULL AS actual_type, 'missing' AS state, false AS is
     "sample_rows": f"WITH {SQL_RECORDS} SELECT id, input_param FROM records WHERE status_code = 0 ORDER BY create_time, id LIMIT 5",
     "name_difference": f"""WITH {SQL_RECORDS}, {SQL_CUSTOMERS} SELECT name FROM customers EXCEPT SELECT input_param FROM records""",
 }
+ORACLE["latest_sieved"] = ORACLE["latest_by_day"]

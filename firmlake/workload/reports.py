@@ -37,6 +37,12 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated(reports.status_counts(records(spark, sf_dir), registry(spark)))
 
 
+def page_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of the paged interfaces with a limit of four pages, the other one without any."""
+    settings = registry(spark).withColumn("page_limit", F.when(F.col("interface_key") == "851", 4))
+    return dated(reports.page_limits(records(spark, sf_dir), settings))
+
+
 def call_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dated(report(spark, sf_dir).drop("normal_codes", "prepaid_frequency"))
 
@@ -112,6 +118,7 @@ def export_succeeded(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "export_succeeded": export_succeeded,
     "status_counts": status_counts,
+    "page_limits": page_limits,
     "call_report": call_report,
     "call_report_day": call_report_day,
     "call_report_total": call_report_total,
@@ -126,7 +133,8 @@ QUERIES = {
 }
 
 _parsed = ", ".join(c.format(keys=f"[{quoted(KEYS)}]", at="l_orderkey % 13 + 1", text="VARCHAR") for c in PARSED)
-_pages = "greatest(1, least(ceil(coalesce(try_cast(CASE WHEN output_result LIKE '{{%' THEN output_result->>'$.result.total' END AS INTEGER), 0) / 20.0)::BIGINT, 250))"
+_listed = "ceil(coalesce(try_cast(CASE WHEN output_result LIKE '{{%' THEN output_result->>'$.result.total' END AS INTEGER), 0) / 20.0)::BIGINT"
+_pages = f"greatest(1, least({_listed}, 250))"
 _label = "CASE {0} WHEN 'daily' THEN 'Daily' WHEN 'monthly' THEN 'Monthly' ELSE 'Half Year' END"
 _frequency = f"'账期: ' || {_label.format('post_paid_frequency')} || ' / 预付: ' || {_label.format('prepaid_frequency')}"
 _run_day = "CASE {0} WHEN 'daily' THEN true WHEN 'monthly' THEN day(report_date) = 5 ELSE day(report_date) = 5 AND month(report_date) IN (1, 7) END"
@@ -183,6 +191,10 @@ parse_report AS (SELECT report_date, interface_key, CASE r.frequency WHEN 'daily
 ORACLE = {
     "status_counts": f"""WITH {SQL_REPORT}
 SELECT report_date::VARCHAR AS report_date, interface_key, status_code, count(*) AS records, sum(calls)::BIGINT AS calls FROM called GROUP BY ALL""",
+    "page_limits": f"""WITH {SQL_REPORT}, paged AS (SELECT report_date, interface_key, CASE interface_key WHEN '851' THEN 4 END AS page_limit,
+  greatest(1, {_listed.format()}) AS listed FROM called WHERE interface_key IN ('851', '1041'))
+SELECT report_date::VARCHAR AS report_date, interface_key, page_limit, count(*) AS records, count(*) FILTER (WHERE listed > page_limit) AS records_cut,
+  sum(listed)::BIGINT AS pages_listed, sum(CASE WHEN listed > page_limit THEN listed - page_limit ELSE 0 END)::BIGINT AS pages_lost FROM paged GROUP BY ALL""",
     "call_report": f"""WITH {SQL_REPORT}
 SELECT * EXCLUDE (prepaid_frequency, normal_codes) REPLACE (report_date::VARCHAR AS report_date) FROM report""",
     "call_report_day": f"""WITH {SQL_REPORT}

@@ -24,7 +24,7 @@ if __name__ == "__main__":
             builder = builder.config(key, value)
         spark = builder.getOrCreate()
     else:
-        spark = build_session(master="local[8]", **conf)
+        spark = build_session(master="local[8]", zone="UTC", **conf)  # the SQL twins know no zones
     spark.sparkContext.setLogLevel("ERROR")
     oracle, bad = entry.oracle_sql(), 0
     for name, query in entry.queries().items():

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from firmlake.operators.latest import first_per, latest_success
+from firmlake.operators.latest import first_per, latest_success, sieve
 from firmlake.plans import parsing, reports
 from firmlake.registry import interface_registry
 from firmlake.session import scratch_path
@@ -61,6 +61,25 @@ def test_newest_success_of_a_hot_key(spark, skewed):
     assert re.search(r"hashpartitioning\([^)]*input_param#\d+, create_time#\d+", plan_of(newest)) or "BroadcastHashJoin" in plan_of(newest)
 
 
+@pytest.mark.parametrize("bits", [4, 20, 27])
+def test_sieve_leaves_old_payloads_behind(spark, skewed, bits):
+    wanted = skewed.where("input_param = 'c17'").select("input_param", "create_time")
+    kept = sieve(skewed, wanted, ["input_param", "create_time"], bits)
+    assert kept.where("input_param = 'c17'").count() == wanted.count() > 0
+    if bits == 27:
+        assert kept.count() == wanted.count()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        newest = latest_success(skewed, sieve_bits=bits)
+        assert {tuple(r) for r in newest.select("id").collect()} == {tuple(r) for r in latest_success(skewed).select("id").collect()}
+        plan = plan_of(latest_success(skewed, sieve_bits=bits))
+        above = plan[: plan.index("BroadcastHashJoin")]  # the sieve
+        assert "SortMergeJoin" in above and re.search(r"hashpartitioning\([^)]*create_time", above)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_first_rows_of_a_hot_key_are_cut_before_the_shuffle(skewed):
     top = first_per(skewed, ["input_param"], [F.col("id")], 3)
     assert plan_of(top).count("WindowGroupLimit") == 2
