@@ -15,11 +15,12 @@ Items are the query set. They go to the documents in blocks of a proven size, on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmlake.llm.common import U64, WordHashes, mix, shingle_set, shingles, small_batches, words_of
@@ -100,17 +101,19 @@ class ItemIndex:
 
 
 
+def _finder(spark: SparkSession, items: list[tuple[int | None, bytes]], words: int, percent: int):
+    block = spark.sparkContext.broadcast(items)  # on the driver's disk from here on, not in its memory
 
-def _finder(items: list[tuple[int | None, bytes]], words: int, percent: int):
     @F.arrow_udf(FOUND)
-    def found(texts: pa.Array) -> pa.Array:
-        index, known = ItemIndex(items, words, percent), WordHashes()
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index, known = ItemIndex(block.value, words, percent), WordHashes()  # once for all batches of a task
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_item_shingles", pa.int64()), ("n_shared", pa.int64())]))
-        rows = [
-            [{"item_id": i, "n_item_shingles": n, "n_shared": k} for i, n, k in index.find(known.of(words_of(text.as_py())))]
-            for text in texts
-        ]
-        return pa.array(rows, kind)
+        for texts in batches:
+            rows = [
+                [{"item_id": i, "n_item_shingles": n, "n_shared": k} for i, n, k in index.find(known.of(words_of(text.as_py())))]
+                for text in texts
+            ]
+            yield pa.array(rows, kind)
 
     return found
 
@@ -118,18 +121,20 @@ def _finder(items: list[tuple[int | None, bytes]], words: int, percent: int):
 def items_in(items: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = ITEM_BYTES) -> list:
     """Functions of a binary text, one for each block of ``items`` (item_id, text) of at most ``block_bytes`` of text or a single item.
 
-    Only one block of items is on the driver at a time while it is packed; null and blank items are left out.
+    The driver holds one block at a time: it packs it and hands it over as a broadcast, from which each task builds its index
+    once. Null and blank items are left out.
     """
-    small_batches(items.sparkSession)
+    spark = items.sparkSession
+    small_batches(spark)
     blocks, block, held = [], [], 0
     rows = items.where("text is not null").select("item_id", F.col("text").cast("binary").alias("text")).orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         if block and held + len(row.text) > block_bytes:
-            blocks.append(_finder(block, words, percent))
+            blocks.append(_finder(spark, block, words, percent))
             block, held = [], 0
         block.append((row.item_id, bytes(row.text)))
         held += len(row.text)
-    return [*blocks, _finder(block, words, percent)]
+    return [*blocks, _finder(spark, block, words, percent)]
 
 
 def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80, block_bytes: int = ITEM_BYTES) -> DataFrame:
