@@ -56,30 +56,33 @@ def reported_records(records: DataFrame, registry: DataFrame, monthly_day: int =
     return dated.where(F.col("dt") == own)
 
 
-def customer_classes(customers: DataFrame) -> DataFrame:
-    """Per name, how many distinct listings it has in each class (a name can be in several).
-
-    Listings with a ``dt`` are counted per partition, so a name may change its class from one to the next.
-    """
-    keys = ["dt", "name"] if "dt" in customers.columns else ["name"]
+def customer_classes(listings: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key, how many distinct listings it has in each class (a name can be in several); nulls where it has none (``listed``)."""
     flag = F.col("is_prepaid")
-    seen = lambda test: F.max(F.when(test, 1).otherwise(0))
-    # other flag texts are a few at most, and a missing flag is one more
-    others = F.collect_set(F.when(~flag.isin(YES, NO), flag))
-    return customers.groupBy(*keys).agg(
-        seen(flag == NO).alias("post_paid_listings"),
-        seen(flag == YES).alias("prepaid_listings"),
-        (F.size(others) + seen(flag.isNull())).alias("other_listings"),
+    some = F.count("listed") > 0
+    other = ~F.coalesce(flag.isin(YES, NO), F.lit(False))
+    return listings.select(*keys, "listed", "is_prepaid").distinct().groupBy(*keys).agg(
+        F.when(some, F.count_if(flag == NO)).alias("post_paid_listings"),
+        F.when(some, F.count_if(flag == YES)).alias("prepaid_listings"),
+        F.when(some, F.count_if(other)).alias("other_listings"),
     )
 
 
 def with_classes(per_company: DataFrame, customers: DataFrame, company: str) -> DataFrame:
-    """Counts per ``report_date`` and company with the company's listings; those of the day before where listings are dated."""
-    classes = customer_classes(customers).withColumnRenamed("name", company)
-    if "dt" not in classes.columns:
-        return per_company.join(classes, company, "left")
-    dated = per_company.withColumn("customer_dt", cal.key_of(F.date_sub("report_date", 1)))
-    return dated.join(classes.withColumnRenamed("dt", "customer_dt"), ["customer_dt", company], "left")
+    """Counts per ``report_date`` and company, a row for each key, with the company's listings.
+
+    Listings with a ``dt`` are those of the day before, so a name may change its class from one day to the next. The customer list
+    streams past the called companies and only what they meet is counted: the list itself is neither sorted nor grouped nor sent
+    to all tasks. A plan without the hint broadcasts it, as its size is guessed before its dates multiply it.
+    """
+    listed = customers.withColumnRenamed("name", company).withColumn("listed", F.lit(True))
+    if "dt" not in customers.columns:
+        wanted, met = per_company, [company]
+    else:
+        wanted, met = per_company.withColumn("customer_dt", cal.key_of(F.date_sub("report_date", 1))), ["customer_dt", company]
+        listed = listed.withColumnRenamed("dt", "customer_dt")
+    meeting = wanted.hint("shuffle_hash").join(listed.select(*met, "is_prepaid", "listed"), met, "left")
+    return customer_classes(meeting, wanted.columns)
 
 
 def expected_interfaces(records: DataFrame, registry: DataFrame, dates: DataFrame | None) -> DataFrame:

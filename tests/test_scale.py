@@ -94,6 +94,23 @@ def test_report_counts_a_hot_company_before_the_join(spark, skewed):
     assert report.abnormal_failure == 3000
 
 
+def test_customer_list_meets_the_called_companies_without_a_broadcast(spark):
+    """Each listing is taken on 40 dates; its size as the optimizer guesses it would allow a broadcast."""
+    flags = ["是", "是", "否", "x", "x", "y", None]
+    dates = F.explode(F.array(*[F.lit(f"202401{d:02d}") for d in range(40)])).alias("dt")
+    path = scratch_path(spark, "customers")
+    spark.createDataFrame([("a", f) for f in flags] + [("b", "否"), (None, "是")], "name STRING, is_prepaid STRING").write.parquet(path)
+    customers = spark.read.parquet(path).select("name", "is_prepaid", dates)
+    rows = [("2024-01-02", "a", 1), ("2024-01-02", "b", 2), ("2024-01-02", "c", 3), ("2024-01-02", None, 4), ("2025-01-02", "a", 5)]
+    called = spark.createDataFrame(rows, "day STRING, input_param STRING, total INT").selectExpr("date(day) AS report_date", "input_param", "total")
+    split = reports.with_classes(called, customers, "input_param")
+    plan = plan_of(split)
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+    found = {r["total"]: (r["post_paid_listings"], r["prepaid_listings"], r["other_listings"]) for r in split.collect()}
+    none = (None, None, None)
+    assert found == {1: (1, 1, 3), 2: (1, 0, 0), 3: none, 4: none, 5: none}
+
+
 def test_scans_are_pruned(spark):
     log = tables_queries.records(spark, SF_DIR).select(*tables_queries.LOG)
     path = scratch_path(spark, "log")
