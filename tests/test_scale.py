@@ -35,6 +35,21 @@ def test_payload_is_read_once(spark, key):
     assert len(re.findall(r"columnNameOfCorruptRecord,unread\), output_result#", plan_of(parsing.parse(log, key)))) == 1
 
 
+@pytest.mark.parametrize("key", sorted(parsing.PARSERS))
+def test_stats_read_a_payload_once_and_count_the_rows_of_the_parser(spark, key):
+    own = interfaces.stored_log(spark, SF_DIR, key, interfaces.PAYLOADS[key], 1)
+    odd = interfaces.stored_log(spark, SF_DIR, key, interfaces.ODD, 1)
+    lists = "[null, {}, {\"list\": null}, {\"list\": [{\"list\": null}, {\"list\": []}, {\"list\": [{}, {}]}]}]"
+    texts = [f'{{"result":{{"riskList":{lists}}}}}', f'{{"result":{{"riskList":{lists[:1] + lists[7:]}}}}}', None, "", "[]", '{"result":[{},{}]}']
+    hand = spark.createDataFrame([(k, "a", "20240101", t) for k, t in enumerate(texts)], "id BIGINT, input_param STRING, dt STRING, output_result STRING")
+    log = own.unionByName(odd).select("id", "input_param", "dt", "output_result").unionByName(hand)
+    stats = parsing.parse_stats(log, key)
+    assert len(re.findall(r"columnNameOfCorruptRecord,unread\), ", plan_of(parsing.parse_stats(own, key)))) == 1
+    found = {r["parse_status"]: (r["records"], r["rows"]) for r in stats.collect()}
+    assert {s: n for s, (n, _) in found.items()} == dict(parsing.parse_status(log, key).groupBy("parse_status").count().collect())
+    assert {s: n for s, (_, n) in found.items() if n} == {"SUCCESS": parsing.parse(log, key).count()}
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Every third record belongs to one company, a third of those share the newest time."""
