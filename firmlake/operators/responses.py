@@ -61,9 +61,14 @@ def merge_pages(
     )
 
 
+def _is_object(payload: Column) -> Column:
+    """True for the text of a JSON object: one that can be read and opens with a brace."""
+    return payload.rlike("^[\\s\ufeff]*\\{") & F.try_parse_json(payload).isNotNull()
+
+
 def _members(payload: Column) -> Column:
     """Members of a JSON object as a map of variants; null for anything else."""
-    return F.from_json(F.when(F.to_json(F.try_parse_json(payload)).startswith("{"), payload), "map<string,variant>")
+    return F.from_json(F.when(_is_object(payload), payload), "map<string,variant>")
 
 
 def _with_result(payload: Column, result: Column) -> Column:
@@ -92,8 +97,7 @@ def merge_responses(
     reads. Pages follow and stop as in ``merge_pages``; a later page that is no JSON object has failed.
     """
     payload = F.col("payload")
-    is_object = F.to_json(F.try_parse_json(payload)).startswith("{")
-    code = F.coalesce(F.when(is_object, F.get_json_object(payload, "$.error_code").try_cast("int")), F.lit(HTTP_ERROR))
+    code = F.coalesce(F.when(_is_object(payload), F.get_json_object(payload, "$.error_code").try_cast("int")), F.lit(HTTP_ERROR))
     listed = F.get_json_object(payload, "$.result.items")
     inside = F.regexp_replace(listed, r"^\[|\]$", "")
     decoded = pages.select(

@@ -21,6 +21,7 @@ from firmlake.workload.tables import (
     profiles,
     records,
     registry,
+    spread,
     table,
 )
 
@@ -223,7 +224,7 @@ PAGE_PAYLOAD = f"""CASE WHEN o_orderkey % 13 = 5 AND page_num = 2 THEN 'broken'
 
 def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page responses merged into stored records and parsed as tax arrears."""
-    calls = table(spark, sf_dir, "orders").selectExpr(
+    calls = spread(table(spark, sf_dir, "orders")).selectExpr(
         "o_orderkey", f"cast({CALL_TOTAL} AS int) AS total",
         f"explode(sequence(1, cast(ceil({CALL_TOTAL} / 20.0) AS int) + 1)) AS page_num",
     )

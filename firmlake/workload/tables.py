@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(orders: DataFrame) -> DataFrame:
+    """Orders dealt evenly to all tasks: their file is small and would be read by a few, while payloads and pages multiply its rows."""
+    return orders.repartition("o_orderkey", "o_custkey", "o_orderdate")
+
+
 def quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 

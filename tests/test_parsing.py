@@ -160,6 +160,13 @@ def test_stats_count_rows(spark):
     assert {r.parse_status: (r.records, r.rows) for r in P.parse_stats(records, "822").collect()} == {"SUCCESS": (2, 3), "FAILED": (1, 0)}
 
 
+def test_only_whole_objects_are_responses(spark):
+    texts = ['{"a":1}', ' \n\t{"a":{}}', "{}", "[{}]", '"{"', "7", "null", "", "{", '{"a":', "broken", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "payload STRING")
+    found = [r[0] for r in rows.select(F.coalesce(responses._is_object(F.col("payload")), F.lit(False))).collect()]
+    assert found == [True, True, True] + [False] * 9
+
+
 def test_merged_responses_go_into_the_parser(spark):
     page = lambda n, **more: json.dumps({"error_code": 0, "re\"ason": "o,k", "result": {"total": 45, "items": [{"name": f"[{n}]", "type": "]"}]}, **more})
     rows = [
