@@ -15,7 +15,7 @@ from firmlake.operators.latest import latest_success
 from firmlake.plans import parsing as P
 from firmlake.schemas import PARSED, parsed_schema
 from firmlake.session import scratch_path
-from firmlake.workload.tables import SPARK_NAME, SQL_NAME, filled, table
+from firmlake.workload.tables import SPARK_NAME, SQL_NAME, filled, spread, table
 
 CASES = 6
 
@@ -69,7 +69,7 @@ def as_records(orders: DataFrame, interface_key: str, payload: str) -> DataFrame
 
 
 def call_records(spark: SparkSession, sf_dir: str, interface_key: str, payload: str) -> DataFrame:
-    return as_records(table(spark, sf_dir, "orders"), interface_key, payload)
+    return as_records(spread(table(spark, sf_dir, "orders")), interface_key, payload)
 
 
 def stored_log(spark: SparkSession, sf_dir: str, interface_key: str, payload: str, files: int) -> DataFrame:

@@ -50,6 +50,11 @@ def test_stats_read_a_payload_once_and_count_the_rows_of_the_parser(spark, key):
     assert {s: n for s, (_, n) in found.items() if n} == {"SUCCESS": parsing.parse(log, key).count()}
 
 
+@pytest.mark.parametrize("name", ["parse_854", "parse_973", "parse_stats", "merged_records"])
+def test_orders_are_dealt_to_all_tasks_before_their_payloads(spark, name):
+    assert "REPARTITION_BY_COL" in plan_of(QUERIES[name](spark, SF_DIR))
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Every third record belongs to one company, a third of those share the newest time."""
