@@ -8,7 +8,8 @@ Texts with the same words are one class and are signed once. Classes that bucket
 ``BLOCK`` classes is compared in one task, to which each set of shingles goes once. In larger groups every class is first compared
 with the smallest one of its bucket, and what these links do not join yet is compared in blocks. A task gives back a spanning
 forest, never all pairs, so a bucket that holds a third of the rows is spread over many tasks and its output stays in
-proportion to its rows. Stored steps go as soon as nothing reads them.
+proportion to its rows. A set learns its group where it is made, or by one shuffle where there are more than ``SENT`` of them, so
+that it is shuffled to its group alone. Stored steps go as soon as nothing reads them.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ PERMUTATIONS = 64
 ROWS_PER_BAND = 5  # 25 bands of 5: a pair at similarity 0.8 shares none with probability 5e-5
 BLOCK = 256
 LANE = 65_536  # shingles multiplied at a time
+SENT = 250_000  # a table of classes and their groups up to this size is sent to all tasks; a larger one is shuffled
 
 
 def multipliers(count: int) -> np.ndarray:
@@ -85,6 +87,20 @@ def _sets(words: int, marks):
     return give_back(run)
 
 
+def _shared_members(marks):
+    """(bucket, id) of each class and bucket that may hold another class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("bands")
+            buckets, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            held = may_hold(marks.value, buckets)
+            ids = np.repeat(batch.column("id").to_numpy(), sizes)[held]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets[held]), pa.array(ids)], names=["bucket", "id"])
+
+    return give_back(run)
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union of two ascending arrays of distinct values."""
     small, large = sorted((len(a), len(b)))
@@ -196,17 +212,17 @@ def near_duplicates(
     )
     usable = signs.where("doc_id is not null and key is not null")
     classes = write_and_read(usable.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
-    members = classes.select("id", F.explode("bands").alias("bucket"))
+    members = classes.select("id", F.xxhash64("key").alias("mark"), F.explode("bands").alias("bucket"))
     shared = write_and_read(
-        members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark")).where("lead < last"),
+        members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last"), F.count("*").alias("n"), F.bit_xor("mark").alias("mark")).where("lead < last"),
         "buckets",
     )
+    # only members of these buckets are shuffled again, and few others
+    marks = docs.sparkSession.sparkContext.broadcast(id_filter(shared.select("bucket")))
     # buckets of the same members are compared once
     shared = write_and_read(shared.groupBy("n", "mark", "lead", "last").agg(F.min("bucket").alias("bucket")), "buckets")
+    members = classes.select("id", "bands").mapInArrow(_shared_members(marks), "bucket long, id long")
     candidates = write_and_read(members.join(shared, "bucket").select("bucket", "lead", "id", "n"), "candidates")
-    # no text is shuffled: a filter of bounded size leaves out most of those that are not wanted, the joins below all others
-    marks = docs.sparkSession.sparkContext.broadcast(id_filter(candidates.select("id").distinct()))
-    sets = write_and_read(source.where("doc_id is not null").mapInArrow(_sets(words, marks), "id long, shingles array<long>"), "shingles")
 
     # classes that buckets hold together, directly or by others: most of these groups are small, and each set goes to its group once
     together = write_and_read(components(candidates.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))), "together")
@@ -214,12 +230,16 @@ def near_duplicates(
     large = write_and_read(large, "large-groups")
     placed = together.join(large.withColumn("is_large", F.lit(True)), "component", "left")
     placed = write_and_read(placed.select("id", "component", F.col("is_large").isNotNull().alias("is_large")), "placed")
-    in_groups = sets.join(placed.where("not is_large").select("id", "component"), "id")
+    # no text is shuffled: a filter of bounded size leaves out most of those that are not wanted, the join all others
+    marks = docs.sparkSession.sparkContext.broadcast(id_filter(placed.select("id")))
+    sets = source.where("doc_id is not null").mapInArrow(_sets(words, marks), "id long, shingles array<long>")
+    sets = write_and_read(sets.join(F.broadcast(placed) if placed.count() <= SENT else placed, "id"), "shingles")
+    in_groups = sets.where("not is_large").select("id", "shingles", "component")
     links = write_and_read(in_groups.groupBy("component").applyInArrow(_group_links(percent), "a long, b long"), "links")
     stored = [together, large, placed, links]
     if not large.isEmpty():
         rest = write_and_read(candidates.join(placed.where("is_large").select("id"), "id", "left_semi"), "candidates")
-        more = _large_links(rest, sets, percent, block)
+        more = _large_links(rest, sets.where("is_large").select("id", "shingles"), percent, block)
         links, stored = links.union(more[0]), [*stored, rest, *more]
     final = write_and_read(components(links), "components")
     drop_stored(sets, shared, candidates, *stored)

@@ -8,7 +8,7 @@ The duels form a reduction tree. A source's documents of about the same size are
 group is folded in order of size (neighbours weigh about the same, so little is lost when mass moves), and what is left of each
 group meets on the next level, in the end across the size classes of a source. A source that holds a third of all rows is many
 groups. Repeated rows are one member of a group: a duel between equal fractions is an addition, which a partial aggregate does.
-Chance comes from hashes of the ids: reruns agree.
+Chance comes from hashes of the ids: reruns agree. The copies go back to the rows as two bits a row, so no text is shuffled.
 
 Only DataFrame functions are used.
 """
@@ -30,6 +30,8 @@ MOST_COPIES = 3
 CYCLE = 3  # weights 1, 2, 3, 1, ...
 BROADCAST_ROWS = 50_000  # a table of sources and size classes up to this size is sent to all tasks; a larger one is shuffled
 NAME_BYTES = 256  # ... if no name is longer
+BLOCK_BITS = 15  # rows of a bitmap of copies, as a power of two: what bitmap_construct_agg takes
+BITMAP_BYTES = 32 << 20  # bitmaps of copies up to this size are sent to all tasks, for over 100 million rows; beyond that the rows are shuffled
 UNIT = ["source", "size", "d", "t"]  # rows that agree in these (doc_id as d, the text's hash as t) are exchangeable
 
 UNIFORM = "(shiftrightunsigned(xxhash64(a.d, x.d, x.t, {level}), 11) * pow(2D, -53))"
@@ -110,17 +112,8 @@ def _row_copies(narrow: DataFrame, decided: DataFrame) -> DataFrame:
     return single.union(joined.select("uid", "size", *shared, copies.cast("int").alias("copies")))
 
 
-def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text, source) as struct ``row``, with size, source_size, target and copies (0 to 3).
-
-    size is the number of words; null and blank texts have 0 words and may be taken or not at no cost. A null source is a source
-    of its own, the last one. Null doc_ids are allowed. Rows with one doc_id, text and source are one unit, whose fractions are
-    added up ahead of the duels; each of its rows gets the whole part of its share or one more, and which ones get more follows
-    the order in which the rows were read. A table without words has target 0 everywhere; an empty table gives an empty result.
-    Columns of any name stay inside ``row``.
-
-    The rows are stored once; the duels carry ids, sizes and fractions only.
-    """
+def _decided(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` as stored (uid, row, ...), and (uid, size, source_size, target, copies) of each; see ``mix``."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     stored = write_and_read(
         rows.select(F.monotonically_increasing_id().alias("uid"), word_count(F.col("row.text")).alias("size"), F.xxhash64("row.text").alias("t"), "row"), "rows"
@@ -166,10 +159,51 @@ def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
     every = reduce(DataFrame.union, decided)
     extra = F.col("item.sure") + F.col("copy")
     every = every.select("source", "item.d", "item.t", "item.size", "item.n", "item.uid", "item.whole", "item.source_size", "item.target", extra.alias("extra"))
-    return stored.select("uid", "row").join(_row_copies(narrow, every), "uid").select("row", "size", "source_size", "target", "copies")
+    return stored, _row_copies(narrow, every)
+
+
+def mix(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text, source) as struct ``row``, with size, source_size, target and copies (0 to 3).
+
+    size is the number of words; null and blank texts have 0 words and may be taken or not at no cost. A null source is a source
+    of its own, the last one. Null doc_ids are allowed. Rows with one doc_id, text and source are one unit, whose fractions are
+    added up ahead of the duels; each of its rows gets the whole part of its share or one more, and which ones get more follows
+    the order in which the rows were read. A table without words has target 0 everywhere; an empty table gives an empty result.
+    Columns of any name stay inside ``row``.
+
+    The rows are stored once; the duels carry ids, sizes and fractions only.
+    """
+    stored, copies = _decided(docs, group)
+    return stored.select("uid", "row").join(copies, "uid").select("row", "size", "source_size", "target", "copies")
+
+
+def _bitmaps(copies: DataFrame) -> DataFrame:
+    """(block, low, high) from (uid, copies): the two bits of the copies of each 2 ** ``BLOCK_BITS`` neighbouring uids."""
+    inside = F.col("uid").bitwiseAND((1 << BLOCK_BITS) - 1)
+    placed = copies.where("copies > 0").select(F.shiftright("uid", BLOCK_BITS).alias("block"), inside.alias("at"), "copies")
+
+    dealt = placed.repartition("block")  # in front of any partial bitmaps, of which there would be one for each task and block
+    low, high = (F.when(F.col("copies").bitwiseAND(bit) > 0, F.col("at")).alias(name) for bit, name in ((1, "low"), (2, "high")))
+    return dealt.select("block", low, high).groupBy("block").agg(
+        *[F.expr(f"substring(bitmap_construct_agg({c}), 1, coalesce(max({c}) div 8 + 1, 0)) AS {c}") for c in ("low", "high")]
+    )
+
+
+def _bit(bitmap: str) -> str:
+    """SQL of the bit of ``uid`` in its block's bitmap, 0 where that ends before it or is missing."""
+    at = f"(uid & {(1 << BLOCK_BITS) - 1})"
+    return f"(shiftright(coalesce(cast(conv(hex(substring({bitmap}, cast({at} div 8 as int) + 1, 1)), 16, 10) as int), 0), cast({at} % 8 as int)) & 1)"
 
 
 def mixed(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them."""
-    taken = mix(docs, group).where("copies > 0")
-    return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("_")).select("row.*")
+    stored, copies = _decided(docs, group)
+    copies = write_and_read(copies.select("uid", "copies"), "copies")
+    bitmaps = write_and_read(_bitmaps(copies), "bitmaps")
+    size = bitmaps.agg(F.sum(F.octet_length("low") + F.octet_length("high"))).first()[0] or 0
+    if size <= BITMAP_BYTES:
+        placed = stored.select("uid", "row", F.shiftright("uid", BLOCK_BITS).alias("block")).join(F.broadcast(bitmaps), "block")
+        taken = placed.select("row", F.expr(f"{_bit('low')} + 2 * {_bit('high')}").alias("copies"))
+    else:
+        taken = stored.select("uid", "row").join(copies, "uid").select("row", "copies")
+    return taken.where("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("_")).select("row.*")
