@@ -19,6 +19,7 @@ from __future__ import annotations
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -210,9 +211,12 @@ RANGED = "unit binary, token long, n long, part int, left long, right long, upto
 RANGED_NAMES = [c.split(" ")[0] for c in RANGED.split(", ")]
 
 
-def beyond(ranges: list[tuple[int, tuple]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+Outside = tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]
+
+
+def beyond(ranges: list[tuple[int, tuple]]) -> Outside:
     """For each range (number, what it told): how often units of the ranges before it share so many bits or more with its first
-    unit, and those of the ranges after it with its last."""
+    unit, and those of the ranges after it with its last; either as (start and size by number, all sums)."""
     ranges = sorted(ranges, key=lambda r: r[1][0])
     out: dict[int, list[np.ndarray]] = {number: [] for number, _ in ranges}
 
@@ -239,10 +243,15 @@ def beyond(ranges: list[tuple[int, tuple]]) -> dict[int, tuple[np.ndarray, np.nd
                 pair = (before[1], own[0]) if step == 1 else (own[1], before[0])
                 outside = carried(by_last if step == 1 else by_first, outside, shared_bits(first, last), shared_bits(*pair))
             out[number].append(sums(outside))
-    return {number: (a, b) for number, (a, b) in out.items()}
+    sides = []
+    for side in range(2):
+        by_number = [out[i][side] if i in out else np.empty(0, np.int64) for i in range(max(out, default=-1) + 1)]
+        sizes = np.array([len(x) for x in by_number], np.int64)
+        sides.append((np.cumsum(sizes) - sizes, sizes, np.concatenate([np.empty(0, np.int64), *by_number])))
+    return tuple(sides)
 
 
-def far_counts(batch: pa.RecordBatch, others: dict[int, tuple[np.ndarray, np.ndarray]], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def far_counts(batch: pa.RecordBatch, others: Outside, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How often the whole unit so far was seen at each decision of the batch's units, and with a 1."""
     lists, upto = batch.column("upto"), batch.column("upto").flatten().to_numpy()
     sizes = np.diff(lists.offsets.to_numpy())
@@ -251,15 +260,15 @@ def far_counts(batch: pa.RecordBatch, others: dict[int, tuple[np.ndarray, np.nda
     run[first] = upto[first] + 1
     seen = np.repeat(batch.column("weight").flatten().to_numpy(), run)
     values = upto[first + sizes - 1] + 1  # one more than the unit's decisions
-    unit = np.repeat(np.arange(len(values)), values)
-    level = np.arange(len(unit)) - np.repeat(np.cumsum(values) - values, values)
+    start = np.cumsum(values) - values
     part = batch.column("part").to_numpy()
-    for number in np.unique(part).tolist():
-        for more, shared in zip(others[number], ("left", "right"), strict=True):
-            reach = np.where(part == number, np.minimum(batch.column(shared).to_numpy(), len(more) - 1), -1)
-            at = np.flatnonzero(level <= reach[unit])
-            seen[at] += more[level[at]]
-    here = np.flatnonzero(level < values[unit] - 1)
+    for (of_part, known, sums), shared in zip(others, ("left", "right"), strict=True):
+        levels = np.minimum(batch.column(shared).to_numpy() + 1, known[part])
+        level = np.arange(levels.sum()) - np.repeat(np.cumsum(levels) - levels, levels)
+        seen[np.repeat(start, levels) + level] += sums[np.repeat(of_part[part], levels) + level]
+    inside = np.ones(len(seen), bool)
+    inside[start + values - 1] = False
+    here = np.flatnonzero(inside)
     return seen[here], np.where(bits.ravel() == 1, seen[here + 1], seen[here] - seen[here + 1])
 
 
@@ -421,12 +430,16 @@ def _judge(sent):
     return give_back(run)
 
 
+def decided_nodes(four: DataFrame) -> int:
+    """Distinct decisions, each told by the bytes before it and the bits of its own byte, of runs of bytes whose last is their own."""
+    sets = four.groupBy(F.shiftright("four", 8).alias("before")).agg(F.collect_set(F.col("four").bitwiseAND(255)).alias("own"))
+    nodes = " + ".join(f"size(array_distinct(transform(own, x -> shiftright(x, {k}))))" for k in range(1, 9))
+    return sets.agg(F.coalesce(F.sum(F.expr(nodes)), F.lit(0))).first()[0]
+
+
 def table_sizes(four: DataFrame) -> tuple[int, ...]:
     """Bits of each table, for four slots or more per distinct counted decision; from the runs of four bytes (four)."""
-    node = F.explode(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda k: F.call_function("shiftright", F.col("four").bitwiseAND(255).bitwiseOR(256), k))).alias("node")
-    nodes = four.distinct().select(F.shiftright("four", 8).alias("before"), node).distinct()
-    longest = nodes.count()
-    middle = nodes.select(F.col("before").bitwiseAND(0xFFFF), "node").distinct().count()
+    middle, longest = (decided_nodes(four.select(F.col("four").bitwiseAND((1 << bits) - 1).alias("four"))) for bits in (24, 32))
     return (*SLOTS[:2], *(max(least, (4 * n - 1).bit_length()) for least, n in zip(SLOTS[2:], (middle, longest), strict=True)))
 
 
@@ -485,41 +498,52 @@ def frequent(tokens: DataFrame, most: int = FREQUENT) -> tuple[int, pa.Table]:
     return least, tokens.where(F.col("n") >= least).toArrow()
 
 
+class Places(dict):
+    """Place of a word's token in a table of keys, or behind the table's end for one that is not in it, whose key ``cold`` then has."""
+
+    def __init__(self, keys: np.ndarray):
+        super().__init__()
+        self.table = {key: at for at, key in enumerate(keys.tolist())}
+        self.cold: list[int] = []
+
+    def __missing__(self, word: bytes) -> int:
+        key = token_key(word)
+        at = self.table.get(key)
+        if at is None:
+            at = len(self.table) + len(self.cold)
+            self.cold.append(key)
+        self[word] = at
+        return at
+
+    def of(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Places of all words of the texts; what was learnt of words goes once there are ``KNOWN_UNITS``."""
+        if len(self) >= KNOWN_UNITS:
+            self.clear()
+            self.cold.clear()
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+
+
 def _score(table, denominator: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n, value = table.value
-        known = dict(zip(keys.tolist(), zip(n.tolist(), value.tolist(), strict=True), strict=True))
-        hashes: dict[bytes, int] = {}
+        places, known, cost = Places(keys), n > 0, np.log10((n + 0.1) / denominator)
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
-            n_tokens, n_known, base, score, rare, rare_n = [], [], [], [], [], []
-            for text in texts:
-                own = Counter(units_of(text))
-                own[b""] = 1
-                seen, values, times, cold, cold_n = [], [], [], [], []
-                for word, k in own.items():
-                    key = hashes.get(word)
-                    if key is None:
-                        key = token_key(word)
-                        if len(hashes) < KNOWN_UNITS:
-                            hashes[word] = key
-                    c = known.get(key)
-                    if c is None:
-                        cold.append(key)
-                        cold_n.append(k)
-                    else:
-                        seen.append(c[0])
-                        values.append(c[1])
-                        times.append(k)
-                n_tokens.append(own.total())
-                n_known.append(sum(k for k, c in zip(times, seen, strict=True) if c))
-                base.append(float(np.array(times, float) @ np.log10((np.array(seen, float) + 0.1) / denominator)) if seen else 0.0)
-                score.append(float(np.array(times, float) @ np.array(values, float)) if seen else 0.0)
-                rare.append(np.array(cold, np.int64))
-                rare_n.append(np.array(cold_n, np.int64))
+            units = [[*units_of(t), b""] for t in texts]
+            n_tokens = np.array([len(u) for u in units], np.int64)
+            at, row = places.of(units), np.repeat(np.arange(len(texts)), n_tokens)
+            seen = at < len(keys)
+            often, of = at[seen], row[seen]
+            n_known = np.bincount(of[known[often]], minlength=len(texts))
+            base, score = (np.bincount(of, x[often], len(texts)) for x in (cost, value))
+            # the others of each text, with how often it has them
+            cold, times = np.unique(row[~seen] << 40 | at[~seen] - len(keys), return_counts=True)
+            ends = np.searchsorted(cold >> 40, np.arange(len(texts) + 1)).tolist()
+            rare = np.array(places.cold, np.int64)[cold & (1 << 40) - 1]
+            rare, times = ([x[a:b] for a, b in zip(ends, ends[1:])] for x in (rare, times))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(score, pa.float64()), pa.array([len(t) for t in texts], pa.int64()), list_array(rare), list_array(rare_n)],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(n_known.astype(np.int64)), pa.array(base, pa.float64()),
+                 pa.array(score, pa.float64()), pa.array([len(t) for t in texts], pa.int64()), list_array(rare), list_array(times)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes", "rare", "rare_n"],
             )
 

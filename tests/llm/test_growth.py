@@ -4,9 +4,11 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from firmlake.llm import minhash, mixing
+from firmlake.llm import contextmix, minhash, mixing
 
 
 @pytest.fixture
@@ -65,3 +67,47 @@ def test_sets_are_shuffled_to_their_group_alone(spark, monkeypatch, no_small_tab
     assert carrying and sum(p.count("Exchange hashpartitioning") for p in carrying) == 1
     monkeypatch.setattr(minhash, "SENT", 0)
     assert {tuple(r) for r in minhash.near_duplicates(docs).collect()} == result
+
+
+def test_units_of_many_ranges_are_looked_up_together(spark, monkeypatch):
+    """Rows come in an order unlike that of the bytes, so each batch holds units of all ranges."""
+    chance = random.Random(2)
+    units = list({bytes(chance.choices(b"abc\xc3", k=chance.randrange(6))) for _ in range(150)})
+    n = {u: chance.randrange(4) for u in units}
+    monkeypatch.setattr(contextmix, "RANGE", (3, 1 << 24))
+    rows = contextmix.in_ranges(spark.createDataFrame([(bytearray(u), i, n[u]) for i, u in enumerate(units)], "unit binary, token long, n long"))
+    others = contextmix.beyond([(r.part, contextmix.pickle.loads(r.ends)) for r in rows.where("ends is not null").collect()])
+    assert len(others) == 2 and all(isinstance(x, np.ndarray) for side in others for x in side)
+    coded = {u: "".join(f"{x:08b}" for x in u + b"\0") for u in units}
+    table = rows.where("ends is null").drop("ends", "four").toArrow().take(pa.array(chance.sample(range(len(units)), len(units)))).combine_chunks()
+    for batch in table.to_batches():
+        some = batch.column("unit").to_pylist()
+        seen, ones = contextmix.far_counts(batch, others, contextmix.decisions(some, contextmix.SLOTS)[2])
+        begins = [coded[u][:i] for u in some for i in range(len(coded[u]))]
+        assert seen.tolist() == [sum(n[u] for u in units if coded[u].startswith(b)) for b in begins]
+        assert ones.tolist() == [sum(n[u] for u in units if coded[u].startswith(b + "1")) for b in begins]
+
+
+def test_places_of_words_beyond_what_is_remembered(monkeypatch):
+    monkeypatch.setattr(contextmix, "KNOWN_UNITS", 6)
+    words = [b"w%d" % i for i in range(20)]
+    keys = np.array([contextmix.token_key(w) for w in words[:9]], np.int64)
+    places = contextmix.Places(keys)
+    for start in (0, 7, 3, 14, 0):
+        texts = [words[start : start + 4], [], words[start + 2 : start + 6]]
+        at = places.of(texts).tolist()
+        found = [keys[i] if i < len(keys) else places.cold[i - len(keys)] for i in at]
+        assert found == [contextmix.token_key(w) for t in texts for w in t]
+        assert len(places) <= 12
+
+
+def test_decisions_are_counted_without_a_row_for_each(spark, monkeypatch):
+    chance = random.Random(6)
+    fours = [chance.randrange(1 << chance.choice([9, 16, 32])) for _ in range(3000)]
+    four = spark.createDataFrame([(x,) for x in fours + fours[:500]], "four long")
+    nodes = lambda mask: len({((x & mask) >> 8, (x & 255 | 256) >> k) for x in fours for k in range(1, 9)})
+    assert contextmix.decided_nodes(four) == nodes(-1)
+    assert contextmix.decided_nodes(four.limit(0)) == 0
+    monkeypatch.setattr(contextmix, "SLOTS", (8, 16, 2, 2))
+    assert contextmix.table_sizes(four) == (8, 16, *((4 * nodes(mask) - 1).bit_length() for mask in (0xFFFFFF, -1)))
+    assert contextmix.table_sizes(four.limit(0)) == (8, 16, 2, 2)
