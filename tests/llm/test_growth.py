@@ -1,6 +1,7 @@
 """Steps whose shuffles or time once grew faster than the input."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from firmlake.llm import contextmix, minhash, mixing
+from firmlake.llm import contextmix, minhash, mixing, multiindex
 
 
 @pytest.fixture
@@ -111,3 +112,82 @@ def test_decisions_are_counted_without_a_row_for_each(spark, monkeypatch):
     monkeypatch.setattr(contextmix, "SLOTS", (8, 16, 2, 2))
     assert contextmix.table_sizes(four) == (8, 16, *((4 * nodes(mask) - 1).bit_length() for mask in (0xFFFFFF, -1)))
     assert contextmix.table_sizes(four.limit(0)) == (8, 16, 2, 2)
+
+
+def vectors_near_each_other(chance) -> np.ndarray:
+    """Lone vectors, small groups around 0.9 and one large group of near copies."""
+    lone = chance.normal(size=(300, 24))
+    groups = np.repeat(chance.normal(size=(60, 24)), 5, axis=0) + chance.normal(size=(300, 24)) * 0.3
+    return np.concatenate([lone, groups, chance.normal(size=24) + chance.normal(size=(200, 24)) * 0.05, lone[:40]]).astype(np.float32)
+
+
+def linked_vectors(vectors: np.ndarray) -> dict:
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    least, before = np.arange(len(unit)), None
+    while before is None or (least != before).any():
+        before, least = least, np.minimum(least, np.where(linked, least[None, :], len(unit)).min(1))
+    return {i: (int(linked[i].sum()), int(least[i]), bool(least[i] == i)) for i in range(len(unit))}
+
+
+@pytest.mark.parametrize("element", ["float", "double"])
+def test_vectors_are_compared_in_rounds_and_blocks(spark, monkeypatch, element):
+    vectors = vectors_near_each_other(np.random.default_rng(4))
+    want = linked_vectors(vectors)
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], f"vec_id long, embedding array<{element}>").repartition(3)
+    rounds, keep = [], multiindex.write_and_read
+    monkeypatch.setattr(multiindex, "write_and_read", lambda df, name: rounds.append(name) or keep(df, name))
+    monkeypatch.setattr(multiindex, "TARGET_RECALL", 1.0)
+    for resident, visitor, round_, block, chunk, pairs in ((96 << 20, (3 << 20, 4 << 20), 1 << 28, 2048, 1 << 20, 1 << 22), (20_000, (9_000, 9_000), 1, 16, 3_000, 512)):
+        rounds.clear()
+        for name, value in {"RESIDENT_BYTES": resident, "VISITOR_BYTES": visitor, "ROUND_BYTES": round_, "ROUND_SHARE": 0, "BLOCK": block, "CHUNK_BYTES": chunk, "PAIRS": pairs}.items():
+            monkeypatch.setattr(multiindex, name, value)
+        got = multiindex.near_duplicate_vectors(rows, recall=1.0).collect()
+        assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
+        assert rounds.count("links") > 4 if round_ == 1 else rounds.count("links") == 1
+
+
+def test_shuffles_of_vectors_stay_small(spark, monkeypatch):
+    """Vectors once went with all their visits to each visited cell, and the files stayed."""
+    vectors = np.random.default_rng(5).normal(size=(3000, 64)).astype(np.float32)
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    began, most, keep = time.time() * 1000, [], multiindex.write_and_read
+
+    def kept(df, name):
+        stored = keep(df, name)
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        most.append(sum(f.length() for f in files if f.getName().startswith("shuffle_") and f.lastModified() >= began))
+        return stored
+
+    monkeypatch.setattr(multiindex, "write_and_read", kept)
+    result = multiindex.near_duplicate_vectors(rows)
+    assert max(most) <= 4 * vectors.nbytes
+    assert result.where("n_links = 0 and kept").count() == len(vectors)
+
+
+def test_reach_tells_the_cells_of_the_traversal():
+    chance = np.random.default_rng(6)
+    unit = multiindex.unit_rows(chance.normal(size=(40, 8)))
+    index = multiindex.MultiIndex(chance.normal(size=(9, 4)), chance.normal(size=(7, 4)), 1)
+    regions = multiindex.Regions([np.array([0, 2, 4, 8]), np.array([1, 3, 5, 6, 7])], [np.array([3, 4]), np.array([0, 1, 2]), np.array([5, 6])])
+    of_cells = regions.of_cells(index)
+    assert of_cells[0 * 7 + 0] == 1 and of_cells[8 * 7 + 3] == 0 and of_cells[7 * 7 + 6] == 5
+    for visits in (1, 5, 20, 62, 63):
+        index.visits = visits
+        a, b = index.parts(unit)
+        reach = index.reaches(a, b, spare=3)
+        seen = regions.visited(a, b, reach)
+        for i in range(len(unit)):
+            first, second = a[i].argsort(), b[i].argsort()
+            want = {(int(first[x]), int(second[y])) for x, y in multiindex.multi_sequence(a[i][first], b[i][second], visits)}
+            assert {(int(x), int(y)) for x, y in zip(*np.nonzero(a[i][:, None] + b[i][None, :] <= reach[i]), strict=True)} == want
+            assert set(np.flatnonzero(seen[i])) == {int(of_cells[x * 7 + y]) for x, y in want}
+
+
+def test_reach_takes_all_cells_that_are_as_far_away():
+    index = multiindex.MultiIndex(np.zeros((6, 1)), np.zeros((5, 1)), 3)
+    a, b = np.array([[0.0, 1, 1, 1, 1, 9], [0.0, 0, 0, 0, 0, 0]]), np.array([[0.0, 0, 0, 0, 9], [0.0, 0, 0, 0, 0]])
+    reach = index.reaches(a, b, spare=2)
+    assert [(x[:, None] + y[None, :] <= r).sum() for x, y, r in zip(a, b, reach, strict=True)] == [4, 30]
